@@ -18,6 +18,12 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+
+
 def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_quality import judge
 
@@ -54,5 +60,5 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op4_line_quality, op6_token_store, op7_secret_ledger, op8_byte_bpe, op10_source_mix)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op4_line_quality, op6_token_store, op7_secret_ledger, op8_byte_bpe, op10_source_mix)}
 ORACLES: dict[str, str] = {}
