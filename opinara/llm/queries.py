@@ -24,6 +24,12 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embed_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_quality import judge
 
@@ -60,5 +66,5 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op4_line_quality, op6_token_store, op7_secret_ledger, op8_byte_bpe, op10_source_mix)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_embedding_dedup, op4_line_quality, op6_token_store, op7_secret_ledger, op8_byte_bpe, op10_source_mix)}
 ORACLES: dict[str, str] = {}
