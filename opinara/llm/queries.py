@@ -30,6 +30,12 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+def op3_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import KINDS, pseudonymise
+
+    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "text", *(f"n_{k}" for k in KINDS))
+
+
 def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_quality import judge
 
@@ -60,11 +66,17 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_diff import main_text
+
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
 
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_embedding_dedup, op4_line_quality, op6_token_store, op7_secret_ledger, op8_byte_bpe, op10_source_mix)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_embedding_dedup, op3_pii_pseudonyms, op4_line_quality, op6_token_store, op7_secret_ledger, op8_byte_bpe, op9_page_text, op10_source_mix)}
 ORACLES: dict[str, str] = {}
