@@ -42,6 +42,12 @@ def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents")).drop("drop_lines")
 
 
+def op5_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .katz import katz_scores
+
+    return katz_scores(table(spark, sf_dir, "documents"))
+
+
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_store import read_documents, write_token_files
 
@@ -78,5 +84,5 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_embedding_dedup, op3_pii_pseudonyms, op4_line_quality, op6_token_store, op7_secret_ledger, op8_byte_bpe, op9_page_text, op10_source_mix)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_embedding_dedup, op3_pii_pseudonyms, op4_line_quality, op5_katz_scores, op6_token_store, op7_secret_ledger, op8_byte_bpe, op9_page_text, op10_source_mix)}
 ORACLES: dict[str, str] = {}
