@@ -1,11 +1,49 @@
-"""A pipeline of training-data operators over ``documents``."""
+"""A pipeline of training-data operators over ``documents``: quality rules, near-duplicate removal, pseudonyms, mixing and
+token ids. Every stage but the last takes and returns the columns of ``documents``."""
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from opinara.llm import line_quality, mixing, ngram_join, pii
+from opinara.llm.bpe import encode_documents
+from opinara.llm.common import cut
+
+#: No SQL for near duplicates, keyed permutations or merges; tests hold the rows against a brute-force version.
 ORACLE_SQL = None
-STAGES: list = []
 
 
-def run(spark, sf_dir):
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go; lines that many documents of a source share go from the others."""
+    return line_quality.apply(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, that of least doc_id: five-word shingles, Jaccard similarity 0.8 or more."""
+    return ngram_join.one_of_each(docs, width=5, num=80, den=100)
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data become format-preserving pseudonyms."""
+    return pii.pseudonymise(docs).select(*docs.columns)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources are mixed to their target weights; a document stays as often as the mix takes it."""
+    return mixing.mixed(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids: their number and digest, and the digest of the bytes they decode to."""
+    return encode_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [("quality rules", quality), ("n-gram Jaccard join", near_duplicates), ("PII pseudonyms", private), ("source mixing", mixture), ("byte-level BPE", encoded)]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

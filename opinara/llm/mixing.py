@@ -107,3 +107,16 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = (3, 1, 2), share: float
     part = F.aggregate(mine, F.lit(0).cast("long"), lambda acc, b: acc + F.least(F.col("_end"), (b + 1) * block) - F.greatest(F.col("_start"), b * block))
     taken = F.when(F.col("size") > 0, F.col("_passes") * F.col("size") + part).otherwise(F.lit(0)).cast("long")
     return laid.select("doc_id", "source", "size", F.col("source_size"), F.col("target").cast("double").alias("target"), taken.alias("taken"))
+
+
+def mixed(docs: DataFrame, *, seed: int = 7, **params) -> DataFrame:
+    """The mix as rows of ``docs``: each document as often as the words taken of it hold its size, what is left over being
+    one more copy with that probability (seeded), so that a source's words stay near its target with whole documents.
+
+    Documents taken 0 times and those without words are left out. Rows that repeat a doc_id share one decision.
+    """
+    taken = mix(docs, seed=seed, **params).where("size > 0").groupBy("doc_id").agg(F.max(F.col("taken") / F.col("size")).alias("_times"))
+    chance = F.pmod(_draw(seed + 3, "doc_id"), F.lit(1_000_000)) / 1_000_000
+    copies = taken.select(F.col("doc_id").alias("_id"), (F.floor("_times") + (F.col("_times") - F.floor("_times") > chance).cast("int")).cast("int").alias("_copies")).where("_copies > 0")
+    both = docs.where(word_count(F.col("text")) > 0).join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
+    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)

@@ -17,7 +17,7 @@ from datetime import date, timedelta
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 ROUNDS = 10
 KINDS = ("email", "iban", "date", "ssn", "ip", "card", "phone")
@@ -275,7 +275,5 @@ def pseudonymise(docs: DataFrame, *, key: bytes = TEST_KEY, text: str = "text",
             columns[where] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays([*columns, *(pa.array(counts[k], pa.int64()) for k in KINDS)], names=[*rest, *names])
 
-    schema = held.schema
-    for n in names:
-        schema = schema.add(n, "long")
+    schema = StructType([*held.schema.fields, *(StructField(n, LongType()) for n in names)])
     return held.mapInArrow(run, schema)
