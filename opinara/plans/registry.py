@@ -1,5 +1,25 @@
-"""All registered queries over the shared test tables, and their SQL."""
+"""All registered queries over the shared test tables, and their SQL where SQL can say it."""
 
-FLAGSHIP = ""
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+FLAGSHIP = "a19_compare_focal_to_pool"
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(run: Query) -> Query:
+        QUERIES[name] = run
+        if sql:
+            ORACLES[name] = sql
+        return run
+
+    return add
+
+
+from . import batch_queries, label_queries, report_queries, text_queries  # noqa: E402, F401
