@@ -20,7 +20,7 @@ def wilson(x: Column, n: Column, alpha: float = 0.05) -> tuple[Column, Column]:
     p = x / n
     middle = (p + z * z / (2 * n)) / (1 + z * z / n)
     half = z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n)) / (1 + z * z / n)
-    return F.greatest(middle - half, F.lit(0.0)), F.least(middle + half, F.lit(1.0))
+    return F.when(n.isNotNull(), F.greatest(middle - half, F.lit(0.0))), F.when(n.isNotNull(), F.least(middle + half, F.lit(1.0)))
 
 
 #: Coefficients of a rational Chebyshev fit of log(erfc(x) exp(x^2) / t), relative error about 1e-7.

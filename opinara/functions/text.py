@@ -9,6 +9,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Words that carry no content, by which short utterances are judged.
 STOPWORDS = (
@@ -45,7 +46,7 @@ def trimmed(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfc(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for part in parts:
         yield part.map(lambda t: t if t is None else unicodedata.normalize("NFC", t))
