@@ -27,11 +27,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, cut, mix, shingle_hashes
+from .common import checked_broadcast, cut, mix, shingle_hashes, slices
 from .components import components
 
 #: Sets in a block of a search task; shown hashes that a task holds before it settles what they have in common.
-BLOCK, HELD = 128, 1_500_000
+BLOCK, HELD = 128, 400_000
 _MU = 0.0085  # DivideSkip's weight of a merge against a probe
 
 
@@ -109,7 +109,7 @@ def stars(key: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np
 
 def _documents(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n, sid = [], []
             for text in batch.column("text").to_pylist():
                 h = shingle_hashes(text, width)
@@ -136,7 +136,7 @@ def _candidates(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
                 for at in range(0, len(out[0]), 100_000):
                     yield pa.record_batch([pa.array(x[at : at + 100_000]) for x in out], names=["key", "a", "b"])
 
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column("text").to_pylist():
                 h = shingle_hashes(text, width)
                 if not len(h) or (sid := set_id(h)) in seen:
@@ -227,7 +227,7 @@ def grouped(df: DataFrame, key: str, run: Callable[[list[dict]], Iterator[dict]]
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[dict] = []
         made: list[dict] = []
-        for batch in batches:
+        for batch in slices(batches):
             for row in batch.to_pylist():
                 if rows and row[key] != rows[0][key]:
                     made += run(rows)
@@ -337,7 +337,7 @@ def jaccard_components(docs: DataFrame, *, width: int = 5, num: int = 80, den: i
     wanted = cut(fam.join(sizes, "fam").join(shared, "sid").join(nodes, "sid"))
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_hashes(t, width) for t in batch.column("text").to_pylist()]
             own = pa.array([set_id(h) if len(h) else None for h in sets], pa.int64())
             part = batch.drop_columns(["text", "doc_id"]).append_column("hashes", pa.array([h.tobytes() for h in sets], pa.binary()))

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
+from .common import slices
+
 ROUNDS = 10
 KINDS = ("email", "iban", "date", "ssn", "ip", "card", "phone")
 #: Dates from FIRST on, so many days, are one format's numbers.
@@ -264,7 +266,7 @@ def pseudonymise(docs: DataFrame, *, key: bytes = TEST_KEY, text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         change = pseudonymiser(key, reverse)
-        for batch in batches:
+        for batch in slices(batches):
             texts, counts = [], {k: [] for k in KINDS}
             for t in batch.column(where).to_pylist():
                 made, n = (None, {}) if t is None else change(t)
