@@ -85,4 +85,17 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_embedding_dedup, op3_pii_pseudonyms, op4_line_quality, op5_katz_scores, op6_token_store, op7_secret_ledger, op8_byte_bpe, op9_page_text, op10_source_mix)}
-ORACLES: dict[str, str] = {}
+
+#: SQL of those operators that it can express at all: no keyed permutation, model, file format, merge order or seeded draw.
+ORACLES: dict[str, str] = {
+    "op1_ngram_join": r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 2])) END) AS s FROM w),
+        f AS (SELECT doc_id, unnest(s) AS g, len(s) AS n FROM s),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM f a JOIN f b ON a.g = b.g AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+        r AS (SELECT doc_id AS id, doc_id AS c FROM documents UNION SELECT r.id, p.b FROM r JOIN p ON r.c = p.a)
+        SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(c) AS component_id FROM s JOIN r ON r.id = s.doc_id GROUP BY s.doc_id, len(s)""",
+    "op2_embedding_dedup": """WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE len(list_filter(embedding, lambda x: x <> 0)) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+        r AS (SELECT vec_id AS id, vec_id AS c FROM embeddings UNION SELECT r.id, p.b FROM r JOIN p ON r.c = p.a)
+        SELECT e.vec_id, (SELECT count(*) FROM p WHERE a = e.vec_id) AS n_links, min(c) AS component_id, min(c) = e.vec_id AS kept FROM embeddings e JOIN r ON r.id = e.vec_id GROUP BY e.vec_id""",
+}
