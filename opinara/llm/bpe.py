@@ -1,16 +1,17 @@
 """Byte-level BPE over rank files, encoded and decoded by recursive DuckDB queries inside each Spark partition.
 
-Each worker process keeps one in-memory database with two tables made from the rank file: ``vocab(id, bytes)`` and
+Each worker process keeps one in-memory database with two tables made from the rank file: ``vocab(id, hex)`` and
 ``merges(l, r, made)``, where ``made`` is the id (so the rank) of the bytes of ``l`` and ``r`` together. A recursive query
 holds a row for each word and token position; at every step the rows of a word join ``merges`` with their neighbour, and
-the leftmost pair of least rank is contracted, until no pair of the word is left. Decoding joins ``vocab`` and aggregates
-the bytes in order of position. Only words that the process has not met are sent to the database.
+the leftmost pair of least rank is contracted, until no pair of the word is left. Ordered aggregation over the
+result lists the ids and, through ``vocab``, decodes them: the bytes of the ids in order of position. Only words that the process has not met are sent to the database.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .pieces import PieceCache
+from .pieces import PATTERN, PieceCache, split_safe
 
 #: A row is a token with the place and id of the one that follows it. ``best`` packs rank, place and following place.
 ENCODE = """
@@ -38,10 +39,12 @@ WITH RECURSIVE step(word, pos, id, nxt, nxt_id, live) AS (
      FROM now n LEFT JOIN pick p ON p.word = n.word
      WHERE p.word IS NULL OR n.pos <> p.gone)
 )
-SELECT word, list(id ORDER BY pos) AS ids, string_agg(id::VARCHAR, ',' ORDER BY pos) AS said FROM step WHERE NOT live GROUP BY word
+SELECT word, count(*) AS n, string_agg(s.id::VARCHAR, ',' ORDER BY pos) AS said, string_agg(v.hex, '' ORDER BY pos) AS back
+FROM step s JOIN vocab v ON v.id = s.id WHERE NOT live GROUP BY word
 """
-DECODE = "SELECT t.word, list(v.bytes ORDER BY t.pos) AS parts FROM coded t JOIN vocab v ON v.id = t.id GROUP BY t.word"
 
+#: Bytes of a word above which it is contracted by itself.
+LONG = 1024
 _CODERS: dict[tuple[str, str], PieceCache] = {}
 
 
@@ -53,13 +56,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Coder:
     """``encode(words)`` gives for each word (a match of the splitting pattern) its ids and the decoded bytes."""
 
-    def __init__(self, ranks: dict[bytes, int], batch: int = 20_000):
+    def __init__(self, ranks: dict[bytes, int], batch: int = 50_000):
         import duckdb
 
         self.ranks, self.batch = ranks, batch
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         ids, values = list(ranks.values()), list(ranks)
-        vocab = pa.table({"id": pa.array(ids, pa.int32()), "bytes": pa.array(values, pa.binary())})
+        vocab = pa.table({"id": pa.array(ids, pa.int32()), "hex": [v.hex() for v in values]})
         rows = [(ranks[b[:i]], ranks[b[i:]], made) for b, made in ranks.items() for i in range(1, len(b)) if b[:i] in ranks and b[i:] in ranks]
         left, right, made = (pa.array(x, pa.int32()) for x in zip(*rows, strict=True)) if rows else (pa.array([], pa.int32()),) * 3
         merges = pa.table({"l": left, "r": right, "made": made})
@@ -67,12 +70,19 @@ class Coder:
             self.db.register("given", table)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.db.unregister("given")
+        self.bytes = dict(zip(ids, values, strict=True))
+        self.pairs = {(a, b): c for a, b, c in rows}
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
 
     def encode(self, words: list[bytes]) -> list[tuple[int, str, bytes]]:
         out: list[tuple[int, str, bytes]] = []
         part, size = [], 0
         for w in words:  # batches bounded by bytes as well as by words
+            if len(w) > LONG:
+                out += self._encode(part) if part else []
+                out.append(self._encode_long(w))
+                part, size = [], 0
+                continue
             part.append(w)
             size += len(w)
             if len(part) >= self.batch or size >= 10 * self.batch:
@@ -88,32 +98,64 @@ class Coder:
         nxt_id[ends] = -1
         fresh = pa.table({"word": word, "pos": pos, "id": ids, "nxt": pos + 1, "nxt_id": nxt_id})
         self.db.register("fresh", fresh)
-        got = self.db.execute(ENCODE).fetchall()
-        coded = pa.table({"word": pa.array([k for k, ids, _ in got for _ in ids], pa.int32()), "pos": pa.array([i for _, ids, _ in got for i in range(len(ids))], pa.int64()), "id": pa.array([x for _, ids, _ in got for x in ids], pa.int32())})
-        self.db.register("coded", coded)
-        back = {k: b"".join(parts) for k, parts in self.db.execute(DECODE).fetchall()}
-        said = {k: (len(ids), text) for k, ids, text in got}
-        return [(*said.get(k, (0, "")), back.get(k, b"")) for k in range(len(words))]
+        got = self.db.execute(ENCODE).fetchnumpy()
+        out: list[tuple[int, str, bytes]] = [(0, "", b"")] * len(words)
+        for k, n, said, back in zip(got["word"].tolist(), got["n"].tolist(), got["said"].tolist(), got["back"].tolist(), strict=True):
+            out[k] = (n, said, bytes.fromhex(back))
+        return out
+
+
+    def _encode_long(self, word: bytes) -> tuple[int, str, bytes]:
+        """The same contractions for one very long word, for which a step for each would be too many: pairs wait in a heap
+        by rank and place, and a contraction only renews the pairs beside it."""
+        ids = self.byte[np.frombuffer(word, np.uint8)].tolist()
+        after, before = [*range(1, len(ids)), -1], [-1, *range(len(ids) - 1)]
+        heap = [(made, i, ids[i], ids[i + 1]) for i in range(len(ids) - 1) if (made := self.pairs.get((ids[i], ids[i + 1]))) is not None]
+        heapq.heapify(heap)
+        while heap:
+            made, i, a, b = heapq.heappop(heap)
+            j = after[i]
+            if ids[i] != a or j < 0 or ids[j] != b:
+                continue  # one of the two is gone
+            ids[i], ids[j], after[i] = made, -1, after[j]
+            if after[j] >= 0:
+                before[after[j]] = i
+            for x in (before[i], i):
+                if x >= 0 and after[x] >= 0 and (rank := self.pairs.get((ids[x], ids[after[x]]))) is not None:
+                    heapq.heappush(heap, (rank, x, ids[x], ids[after[x]]))
+        out = [i for i in ids if i >= 0]
+        return len(out), ",".join(map(str, out)), b"".join(self.bytes[i] for i in out)
 
 
 def _coder(path: str, pattern: str) -> PieceCache:
     if (path, pattern) not in _CODERS:
         import regex
 
-        split, coder, words = regex.compile(pattern), Coder(read_ranks(path)), {}
+        split, coder, words, known = regex.compile(pattern), Coder(read_ranks(path)), {}, pattern == PATTERN
+
+        def cut_words(piece: str) -> list[str]:
+            """The matches of the pattern; a run of letters, maybe with a comma or stop behind, is told without it."""
+            lead = ["\n"] if piece[:1] == "\n" and len(piece) > 1 else []
+            rest = piece[len(lead) :]
+            tail = [rest[-1]] if rest[-1:] in (",", ".") and len(rest) > 1 else []
+            head = rest[: len(rest) - len(tail)]
+            body = head[1:] if head[:1] == " " else head
+            if known and body.isalpha() and max(body) < "\u0250":
+                return [*lead, head, *tail]
+            return split.findall(piece)
 
         def encode(pieces: list[str]) -> list[tuple[int, str, bytes]]:
-            cut = [split.findall(p) for p in pieces]
-            if len(words) > 300_000:
+            cut = [cut_words(p) for p in pieces]
+            if len(words) > 1_200_000:
                 words.clear()
             new = list({w for ws in cut for w in ws} - words.keys())
             words.update(zip(new, coder.encode([w.encode("utf-8", "surrogatepass") for w in new]), strict=True))
             made = [[words[w] for w in ws] for ws in cut]
             for w in [w for w in new if len(w) > 64]:
                 del words[w]
-            return [(sum(x[0] for x in m), ",".join(x[1] for x in m), b"".join(x[2] for x in m)) for m in made]
+            return [m[0] if len(m) == 1 else (sum(x[0] for x in m), ",".join(x[1] for x in m), b"".join(x[2] for x in m)) for m in made]
 
-        _CODERS[path, pattern] = PieceCache(encode, entries=200_000)
+        _CODERS[path, pattern] = PieceCache(encode, entries=900_000, cut=split_safe if known else lambda t: [t])
     return _CODERS[path, pattern]
 
 
@@ -128,11 +170,13 @@ def encode_documents(docs: DataFrame, ranks: str, pattern: str, *, keep_ids: boo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(ranks, pattern)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part, n, ids, back, full = batch.slice(at, 256), [], [], [], []
-                for made in coder.encode_batch([t or "" for t in part.column("text").to_pylist()]):
-                    n.append(sum(m[0] for m in made))
-                    said, raw = ",".join([m[1] for m in made if m[0]]), b"".join([m[2] for m in made])
+            for at in range(0, batch.num_rows, 1024):
+                part, n, ids, back, full = batch.slice(at, 1024), [], [], [], []
+                for made in coder.encode_batch([t or "" for t in part.column("text").to_pylist()], at_once=True):
+                    if not made[0][0]:  # only the first piece can be empty
+                        del made[0]
+                    said, raw = ",".join([m[1] for m in made]), b"".join([m[2] for m in made])
+                    n.append(said.count(",") + 1 if said else 0)
                     ids.append(hashlib.sha256(said.encode()).hexdigest())
                     back.append(hashlib.sha256(raw).hexdigest())
                     if keep_ids:

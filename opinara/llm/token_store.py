@@ -8,8 +8,10 @@ Beside it an index file holds ``doc_id, start, n_tokens`` within the file. ``rea
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,23 +23,68 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, shared_dir
-from .pieces import PieceCache
+from .pieces import PieceCache, split_safe
 
 MANIFEST = "shard long, n_docs long, n_tokens long, n_sequences long"
 _CACHES: dict[tuple, PieceCache] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters by which byte-level vocabularies write bytes: printable ones as they are, others from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+
+def _encoder(path: str, dtype: str):
+    """A function from pieces to the bytes of their ids, and one that cuts texts into pieces. A run of letters, maybe with a comma or stop behind, is a single
+    match of the splitting pattern (and the mark another), so it goes to the library's BPE model at once; all other pieces
+    go through the library's whole encoder."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    if tokenizer.get_vocab_size() > np.iinfo(dtype).max + 1:
+        raise ValueError(f"ids of {path} do not fit {dtype}")
+    made = json.loads(tokenizer.to_str())
+    before = made["pre_tokenizer"] or {}
+    cuttable = made["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+    code = {2: "H", 4: "I", 8: "Q"}[np.dtype(dtype).itemsize]
+    packed = lambda ids: array(code, ids).tobytes()
+    whole = lambda ps: [packed(e.ids) for e in tokenizer.encode_batch_fast(ps, add_special_tokens=False)]
+    if not cuttable:  # whole texts, each by itself
+        return lambda texts: whole(texts) if texts else [], lambda text: [text]
+    model, letters = tokenizer.model, _byte_letters()
+    line_end = whole(["\n"])[0]
+    tails = dict(zip(("", ",", "."), whole(["", ",", "."]), strict=True))
+
+    def encode(pieces: list[str]) -> list[bytes]:
+        out, rest = [b""] * len(pieces), []
+        for k, piece in enumerate(pieces):
+            lead = b""
+            if piece[:1] == "\n" and len(piece) > 1:  # a line end before another character is a match by itself
+                lead, piece = line_end, piece[1:]
+            tail = piece[-1:] if piece[-1:] in (",", ".") else ""
+            head = piece[: len(piece) - len(tail)]
+            body = head[1:] if head[:1] == " " else head
+            if body.isalpha() and max(body) < "\u0250":
+                form = "".join([letters[b] for b in head.encode()]) if not head.isascii() else "\u0120" + body if len(head) > len(body) else body
+                out[k] = lead + packed([t.id for t in model.tokenize(form)]) + tails[tail]
+            else:
+                rest.append(k)
+        for k, made in zip(rest, whole([pieces[k] for k in rest]) if rest else [], strict=True):
+            out[k] = made
+        return out
+
+    return encode, split_safe
+
+
 def _cache(path: str, dtype: str) -> PieceCache:
     """One cache for each worker process and tokenizer file."""
     if (path, dtype) not in _CACHES:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        if tokenizer.get_vocab_size() > np.iinfo(dtype).max + 1:
-            raise ValueError(f"ids of {path} do not fit {dtype}")
-        _CACHES[path, dtype] = PieceCache(lambda ps: [np.array(e.ids, dtype).tobytes() for e in tokenizer.encode_batch_fast(ps, add_special_tokens=False)] if ps else [])
+        encode, cut = _encoder(path, dtype)
+        _CACHES[path, dtype] = PieceCache(encode, entries=800_000, cut=cut)
     return _CACHES[path, dtype]
 
 
@@ -120,7 +167,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, out: str | None = None, *
         yield pa.record_batch({"shard": [shard], "n_docs": [len(ids)], "n_tokens": [sum(sizes)], "n_sequences": [n_sequences]})
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    placed = slim.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    placed = slim.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return out, cut(placed.mapInArrow(write, MANIFEST))
 
 

@@ -68,6 +68,19 @@ def test_bpe_equals_the_library_and_comes_back(spark):
     assert bpe.encode_documents(frame(spark, []), ranks, P.PATTERN).collect() == []
 
 
+def test_very_long_words(spark, monkeypatch):
+    import tiktoken
+
+    ranks = bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+    own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    r = np.random.default_rng(0)
+    words = ["x" * 20_000, "ab" * 4000, "".join(map(chr, r.integers(0x4E00, 0x4F00, 5000))), "".join(map(chr, r.integers(97, 123, 9000))), "aab" * 2000 + "ba" * 500]
+    coder = bpe.Coder(ranks)
+    assert [m[1] for m in coder.encode([w.encode() for w in words])] == [",".join(map(str, own.encode_ordinary(w))) for w in words]
+    short = [w[:200] for w in words]
+    assert coder.encode([w.encode() for w in short]) == [coder._encode_long(w.encode()) for w in short]
+
+
 # ---- quality and secrets ------------------------------------------------------------------------
 
 
@@ -309,3 +322,15 @@ def test_mix(spark):
     assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, got), key=repr)
     assert mixing.mix(df.limit(0)).collect() == []
     assert mixing.mixed(df, block=8, shard=400).columns == df.columns
+
+
+def test_other_tokenizers_get_whole_texts(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    texts = ["Some Words, and  more", "", "x\ny z"]
+    out, manifest = token_store.write_token_files(frame(spark, texts), path, f"file://{tmp_path}/t")
+    got = {r["doc_id"]: r["n_tokens"] for r in token_store.read_documents(spark, out, manifest).collect()}
+    assert got == {i: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
