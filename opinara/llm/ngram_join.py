@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked_broadcast, cut, mix, shingle_hashes, slices
+from .common import checked_broadcast, cut, mix, shingle_hashes, slices, small
 from .components import components
 
 #: Sets in a block of a search task; shown hashes that a task holds before it settles what they have in common.
@@ -42,7 +42,8 @@ class Classes:
     """Size classes for the limit ``num / den``: [low, high) for pairs of one class, and the edges of neighbouring ones."""
 
     def __init__(self, num: int, den: int):
-        self.num, self.den, self.ratio = num, den, max(2**0.5, den / num + 0.01)
+        # wide classes show more of their own, narrow ones more across edges, the more so the lower the limit
+        self.num, self.den, self.ratio = num, den, 2**0.5 if den <= 1.15 * num else 2.0
         self.known: dict[int, list[tuple[int, int, int]]] = {}
         self.bounds = [1]
 
@@ -120,21 +121,49 @@ def _documents(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, sid long")
 
 
+#: Bytes kept of a shown hash, within its bucket. Hashes that differ elsewhere only make a candidate more.
+_LOW = 5
+_PARTS = ("key", "first", "names", "apart", "second")
+
+
+def _low_bytes(key: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_LOW])
+
+
 def _candidates(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """Rows ``a, b``: pairs of set ids that connect all sets that show a hash in common."""
+    """Rows ``a, b, n``: pairs of set ids that connect all sets that show a hash in common, and in how many they meet.
+
+    A task sends what it has for a range of the hashes as arrays in one row: some bytes of each hash, the place of its set
+    among the row's set ids, and the few rows that are pairs already.
+    """
+    buckets = max(16, min(8192, 4 * docs.rdd.getNumPartitions()))
 
     def show(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, seen, keys, ids, held = Classes(num, den), set(), [], [], 0
 
         def settle() -> Iterator[pa.RecordBatch]:
-            if keys:
-                key, sid = np.concatenate(keys), np.repeat(np.array(ids, np.int64), [len(k) for k in keys])
-                key, least, a, b = stars(key.view(np.int64), sid, sid)
-                pairs = np.unique(np.stack([a, b]), axis=1) if len(a) else np.empty((2, 0), np.int64)
-                # pairs settled here travel under their further id, so that a key of very many sets does not
-                out = [np.concatenate(x) for x in ((key, pairs[1]), (least, pairs[0]), (least, pairs[1]))]
-                for at in range(0, len(out[0]), 100_000):
-                    yield pa.record_batch([pa.array(x[at : at + 100_000]) for x in out], names=["key", "a", "b"])
+            if not keys:
+                return
+            key, sid = np.concatenate(keys), np.repeat(np.array(ids, np.int64), [len(k) for k in keys])
+            key, least, a, b = stars(key, sid, sid)
+            pairs = np.unique(np.stack([a, b]), axis=1) if len(a) else np.empty((2, 0), np.int64)
+            # pairs settled here travel under their further id, so that a key of very many sets does not
+            key, least, other = np.concatenate([key, mix(pairs[1].astype(np.uint64))]), np.concatenate([least, pairs[0]]), np.concatenate([least, pairs[1]])
+            bucket = ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+            order = np.argsort(bucket, kind="stable")
+            edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            out: dict[str, list] = {name: [] for name in ("bucket", *_PARTS)}
+            for n in range(buckets):
+                if edge[n] < edge[n + 1]:
+                    rows = order[edge[n] : edge[n + 1]]
+                    names, at = np.unique(np.concatenate([least[rows], other[rows]]), return_inverse=True)
+                    kind = np.uint16 if len(names) < 65536 else np.uint32
+                    first, second = at[: len(rows)].astype(kind), at[len(rows) :].astype(kind)
+                    apart = np.flatnonzero(first != second).astype(np.uint32)
+                    out["bucket"].append(n)
+                    for name, part in zip(_PARTS, (_low_bytes(key[rows]), first, names, apart, second[apart]), strict=True):
+                        out[name].append(part.tobytes())
+            yield pa.record_batch([pa.array(out["bucket"], pa.int32()), *(pa.array(out[p], pa.binary()) for p in _PARTS)], names=["bucket", *_PARTS])
 
         for batch in slices(batches):
             for text in batch.column("text").to_pylist():
@@ -153,13 +182,36 @@ def _candidates(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
         yield from settle()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches, pa.schema([("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64())]))
-        _, _, a, b = stars(*(table.column(c).to_numpy() for c in ("key", "a", "b")))
-        if len(a):
-            pairs, n = np.unique(np.stack([a, b]), axis=1, return_counts=True)
-            yield pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1]), pa.array(n.astype(np.int64))], names=["a", "b", "n"])
-
-    keyed = docs.mapInArrow(show, "key long, a long, b long").repartition("key")
+        held: list[dict] = []
+
+        def joined() -> Iterator[pa.RecordBatch]:
+            keys, firsts, seconds = [], [], []
+            for r in held:
+                raw = np.frombuffer(r["key"], np.uint8).reshape(-1, _LOW)
+                wide = np.zeros((len(raw), 8), np.uint8)
+                wide[:, :_LOW] = raw
+                kind = np.uint16 if len(r["first"]) == 2 * len(raw) else np.uint32
+                names, first = np.frombuffer(r["names"], np.int64), np.frombuffer(r["first"], kind).astype(np.int64)
+                second = first.copy()
+                second[np.frombuffer(r["apart"], np.uint32)] = np.frombuffer(r["second"], kind)
+                keys.append(wide.view("<u8").ravel())
+                firsts.append(names[first])
+                seconds.append(names[second])
+            _, _, a, b = stars(np.concatenate(keys), np.concatenate(firsts), np.concatenate(seconds))
+            if len(a):
+                pairs, n = np.unique(np.stack([a, b]), axis=1, return_counts=True)
+                yield pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1]), pa.array(n.astype(np.int64))], names=["a", "b", "n"])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and row["bucket"] != held[0]["bucket"]:
+                    yield from joined()
+                    held = []
+                held.append(row)
+        if held:
+            yield from joined()
+
+    keyed = docs.mapInArrow(show, "bucket int, " + ", ".join(f"{p} binary" for p in _PARTS)).repartition("bucket").sortWithinPartitions("bucket")
     return cut(keyed.mapInArrow(meet, "a long, b long, n long"))
 
 
@@ -289,7 +341,8 @@ def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
         return links
     # the hub against blocks of its family
     parts = F.ceil(F.col("size") / BLOCK)
-    hubs = many.groupBy("fam").agg(F.max_by("node", F.struct("shared", -F.col("node"))).alias("hub"))
+    hubs = cut(many.groupBy("fam").agg(F.max_by("node", F.struct("shared", -F.col("node"))).alias("hub")))
+    hubs = checked_broadcast(hubs)
     hub_sets = cut(many.select("node", "size", "hashes").join(hubs, F.col("node") == F.col("hub")).select("fam", "hub", "size", "hashes"))
     block = F.xxhash64("fam", F.pmod(F.xxhash64("node"), parts))
     own = many.select(block.alias("unit"), "node", "hashes", F.lit(0).alias("side"))
@@ -302,9 +355,11 @@ def _links(sets: DataFrame, num: int, den: int) -> DataFrame:
     cell = F.ceil((F.col("either") - F.col("overlap")) * den / (F.col("either") * (den - num))) - 1
     far = measured.select("node", F.greatest(cell, F.lit(0).cast("long")).alias("cell"))
     placed = cut(many.select("node", "fam").join(far, "node"))
-    cells = placed.groupBy("fam", "cell").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    to = lambda step, name: cells.select("fam", (F.col("cell") + step).alias("cell"), F.col("blocks").alias(name))
-    wide = placed.join(cells, ["fam", "cell"]).join(to(-1, "above"), ["fam", "cell"], "left").join(to(1, "below"), ["fam", "cell"], "left")
+    cells = cut(placed.groupBy("fam", "cell").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")))
+    few_cells = small(cells)
+    by = lambda df: F.broadcast(df) if few_cells else df
+    to = lambda step, name: by(cells.select("fam", (F.col("cell") + step).alias("cell"), F.col("blocks").alias(name)))
+    wide = placed.join(by(cells), ["fam", "cell"]).join(to(-1, "above"), ["fam", "cell"], "left").join(to(1, "below"), ["fam", "cell"], "left")
     wide = wide.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).join(many.select("node", "hashes"), "node")
     upto = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
     unit = lambda c, i, d, j: F.xxhash64("fam", c, i, d, j)
@@ -333,8 +388,10 @@ def jaccard_components(docs: DataFrame, *, width: int = 5, num: int = 80, den: i
     pairs = _candidates(slim.where("doc_id is not null"), width, num, den)
     fam = cut(components(pairs).withColumnsRenamed({"id": "sid", "component": "fam"}))
     shared = pairs.select(F.col("b").alias("sid"), "n").union(pairs.select(F.col("a").alias("sid"), "n")).groupBy("sid").agg(F.sum("n").alias("shared"))
-    sizes = fam.groupBy("fam").agg(F.count("*").alias("size"))
-    wanted = cut(fam.join(sizes, "fam").join(shared, "sid").join(nodes, "sid"))
+    # only sizes of large families matter; they are few, so the families' rows need not meet by family
+    large = cut(fam.groupBy("fam").agg(F.count("*").alias("size")).where(F.col("size") > BLOCK))
+    sized = fam.join(checked_broadcast(large), "fam", "left").withColumn("size", F.coalesce("size", F.lit(BLOCK)).cast("long"))
+    wanted = cut(sized.join(shared, "sid").join(nodes, "sid"))
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -355,5 +412,5 @@ def jaccard_components(docs: DataFrame, *, width: int = 5, num: int = 80, den: i
 def one_of_each(docs: DataFrame, **limits) -> DataFrame:
     """The rows of ``docs`` whose document is the least of its component, one row for each; rows without words stay."""
     groups = jaccard_components(docs, **limits)
-    rows = docs.join(groups.where("component_id <=> doc_id").select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return rows.select(*docs.columns)
+    kept = cut(groups.where("component_id <=> doc_id").select(F.col("doc_id").alias("_id")).distinct())
+    return docs.join(checked_broadcast(kept), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*docs.columns)
