@@ -1,10 +1,10 @@
 """Quality rules: base measures of a text, and lines that many documents of a host share.
 
 The line method hashes normalised lines, counts for each host the distinct documents that hold a line, removes lines above
-the limit and rejects documents that are depleted by it. Documents that are copies of each other are one witness, not many:
-a line's documents are told apart by the rest of what they say (the least hash among their other lines), so a family of
-copies does not make its own text boilerplate; taking one of a family is the work of deduplication. Everything is
-DataFrame operations. A line occurs once for each document before the shuffle, and counts are summed on the map side.
+the limit and rejects documents that are depleted by it. Documents of a host with one and the same text are one document,
+told apart from others by a hash of the whole text, so exact copies do not make their own text boilerplate; taking one of
+them is the work of deduplication. Everything is DataFrame operations. A line occurs once for each document before the
+shuffle, and counts are summed on the map side.
 """
 
 from __future__ import annotations
@@ -77,14 +77,11 @@ def line_keys(text: Column) -> Column:
 
 
 def frequent_lines(held: DataFrame, host: str, most: int, rate: float) -> DataFrame:
-    """``held(host, _keys array<long>)`` -> ``_host, _key``: the lines of a host that are above both limits."""
-    own = held.select(F.col(host).alias("_host"), F.array_distinct("_keys").alias("_keys")).where(F.size("_keys") > 0)
-    # the least two keys tell a document apart by its other lines; one line alone has none and so one common witness
-    ranked = own.withColumn("_least", F.slice(F.sort_array("_keys"), 1, 2))
-    rows = ranked.select("_host", F.explode("_keys").alias("_key"), "_least")
-    other = F.when(F.col("_least")[0] == F.col("_key"), F.get("_least", F.lit(1))).otherwise(F.col("_least")[0])
-    witness = rows.select("_host", "_key", F.coalesce(other, F.lit(0)).alias("_rest")).groupBy("_host", "_key", "_rest").agg(F.lit(1).alias("_one"))
-    counts = witness.groupBy("_host", "_key").agg(F.count("*").alias("_docs")).where(F.col("_docs") > most)
+    """``held(host, _doc long, _keys array<long>)`` -> ``_host, _key``: the lines of a host that are above both limits.
+    Rows of a host with one ``_doc`` are one document."""
+    rows = held.select(F.col(host).alias("_host"), "_doc", F.explode(F.array_distinct("_keys")).alias("_key"))
+    each = rows.groupBy("_host", "_key", "_doc").agg(F.lit(1).alias("_one"))
+    counts = each.groupBy("_host", "_key").agg(F.count("*").alias("_docs")).where(F.col("_docs") > most)
     hosts = held.groupBy(F.col(host).alias("_h")).agg(F.count("*").alias("_all"))
     return counts.join(hosts, F.col("_host").eqNullSafe(F.col("_h"))).where(F.col("_docs") > rate * F.col("_all")).select("_host", "_key")
 
@@ -99,13 +96,13 @@ def judge(docs: DataFrame, *, host: str = "source", most: int = MOST, rate: floa
     held = measures(docs.select("doc_id", F.col(host).alias("_host"), "text"))
     each = F.transform("_lines", lambda x: F.struct(F.xxhash64(normalised(x)).alias("k"), F.coalesce(F.regexp_count(x, F.lit(WORD)), F.lit(0)).alias("n")))
     kept = ("doc_id", "_host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
-    held = cut(held.select(*kept, each.alias("_each")))
-    bad = cut(frequent_lines(held.select("_host", F.transform("_each", lambda x: x["k"]).alias("_keys")), "_host", most, rate))
+    held = cut(held.select(*kept, F.xxhash64("text").alias("_doc"), each.alias("_each")))
+    bad = cut(frequent_lines(held.select("_host", "_doc", F.transform("_each", lambda x: x["k"]).alias("_keys")), "_host", most, rate))
     flat = held.select("doc_id", "_host", F.explode("_each").alias("_l")).select("doc_id", "_host", F.col("_l.k").alias("_key"), F.col("_l.n").alias("_n"))
     bad = F.broadcast(bad) if bad.limit(200_001).count() <= 200_000 else bad
     hit = flat.alias("f").join(bad.alias("b"), (F.col("f._key") == F.col("b._key")) & F.col("f._host").eqNullSafe(F.col("b._host")))
     hit = hit.groupBy(F.col("f.doc_id").alias("_id")).agg(F.count("*").alias("_lines"), F.sum("f._n").cast("long").alias("_gone"), F.collect_set("f._key").alias("_keys"))
-    out = held.drop("_each").join(hit, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    out = held.drop("_doc", "_each").join(hit, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     left = F.col("n_words") - F.coalesce("_gone", F.lit(0))
     depleted = F.col("_gone").isNotNull() & ((left < least_words) | (left < least_part * F.col("n_words")))
     return out.select(
