@@ -2,10 +2,11 @@
 
 A page becomes its text lines (blocks) in order. Pages are dealt and sorted by host and path, so that a page's neighbours
 in that order are the nearest by path; the one with the longer common path is its pair. The two pages' lines are aligned by
-longest common subsequence and lines that they share are deleted: what a site repeats from page to page is not a page's own
-text. Lines within an article (``<article>``, ``<main>``, ``role=main``) are never deleted by differencing, as two pages may
-carry the same article; and a page that has one keeps only its lines. Markup that is never text of the article (menus,
-headers, footers, asides, forms, scripts, styles, adverts, notices, comments) is left out in either case.
+longest common subsequence and lines that they share are deleted, within an article (``<article>``, ``<main>``,
+``role=main``) as elsewhere: what a site repeats from page to page is not a page's own text. Only where the shared lines make
+up half or more of the shorter of the two articles (a page without one counts as a whole) do the pages carry the same article, and its lines stay. Of what is left,
+markup that is never text of the article (menus, headers, footers, asides, forms, scripts, styles, adverts, notices,
+comments) goes too, and if an article holds half or more of the rest, the lines outside it.
 
 A range of the sort order is one task's, so a host with very many pages is spread over many tasks; a page at the edge of a
 range is paired with its neighbour on the other side.
@@ -137,18 +138,30 @@ def _common(a: str, b: str) -> int:
     return next((i for i in range(n) if a[i] != b[i]), n)
 
 
+def _size(lines: list[dict]) -> int:
+    return sum(len(x["text"]) for x in lines)
+
+
+def _main(lines: list[dict]) -> list[dict]:
+    """The lines of a page's article, or of the whole page if it has none, without those left out."""
+    text = [x for x in lines if not x["left"]]
+    return [x for x in text if x["article"]] or text
+
+
 def _own(page: dict, before: dict | None, after: dict | None) -> str:
     """The page's text after differencing with the nearer of its neighbours on the same host."""
     near = [p for p in (before, after) if p is not None and p["host"] == page["host"]]
     pair = max(near, key=lambda p: _common(p["path"], page["path"]), default=None)
     lines = page["lines"]
-    open_to = [k for k, x in enumerate(lines) if not x["article"]]
-    gone = set()
-    if pair is not None and open_to:
-        other = [x["text"] for x in pair["lines"] if not x["article"]]
-        gone = {k for k, hit in zip(open_to, shared([lines[k]["text"] for k in open_to], other), strict=True) if hit}
-    main = any(x["article"] for x in lines)
-    return "\n".join(x["text"] for k, x in enumerate(lines) if k not in gone and not x["left"] and (x["article"] or not main))
+    own = lines
+    if pair is not None:
+        hits = shared([x["text"] for x in lines], [x["text"] for x in pair["lines"]])
+        both = _size([x for x, hit in zip(lines, hits, strict=True) if hit and x["article"] and not x["left"]])
+        same = 2 * both >= min(_size(_main(lines)), _size(_main(pair["lines"])))
+        own = [x for x, hit in zip(lines, hits, strict=True) if not hit or same and x["article"]]
+    own = [x for x in own if not x["left"]]
+    inside = [x for x in own if x["article"]]
+    return "\n".join(x["text"] for x in (inside if 2 * _size(inside) >= _size(own) else own))
 
 
 def main_text(pages: DataFrame) -> DataFrame:

@@ -272,6 +272,20 @@ def test_main_text(spark):
     assert html_diff.main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+def test_differencing_decides_inside_articles(spark):
+    page = lambda own, outside="": f"<body><nav>Home</nav><article><h1>{own}</h1><p>{own} is said here at some length, and of {own} only<p>Share this with a friend</article>{outside}<footer>f</footer>"
+    said = lambda own: f"{own}\n{own} is said here at some length, and of {own} only"
+    long = "<div>The main text stands outside of the article, " + "and it is long " * 9 + "</div>"
+    small = lambda n: f"<div>Site name</div><article>Teaser {n}</article>" + long.replace("The", f"The {n}")
+    rows = [(1, "http://a.example/1", page("Cats")), (2, "http://a.example/2", page("Dogs", "<div>Link list of two</div>")), (3, "http://b.example/1", page("Birds")), (4, "http://b.example/2", page("Birds"))]
+    rows += [(5, "http://c.example/1", small(1)), (6, "http://c.example/2", small(2)), (7, "http://d.example/1", page("Fish")), (8, "http://d.example/2", "<div>Share this with a friend</div><div>Other text without an article</div>")]
+    got = {r["page_id"]: r["text"] for r in html_diff.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)).collect()}
+    assert (got[1], got[2]) == (said("Cats"), said("Dogs"))
+    assert got[3] == got[4] == said("Birds") + "\nShare this with a friend"
+    assert got[5].startswith("Teaser 1\nThe 1 main text") and got[6].startswith("Teaser 2\nThe 2 main text")
+    assert (got[7], got[8]) == (said("Fish"), "Other text without an article")
+
+
 def test_longest_common_subsequence():
     assert html_diff.shared(list("abcd"), list("bxd")) == [False, True, False, True]
     assert html_diff.shared(list("aab"), list("ab")) in ([True, False, True], [False, True, True])
