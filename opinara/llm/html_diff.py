@@ -8,14 +8,16 @@ up half or more of the shorter of the two articles (a page without one counts as
 markup that is never text of the article (menus, headers, footers, asides, forms, scripts, styles, adverts, notices,
 comments) goes too, and if an article holds half or more of the rest, the lines outside it.
 
-A range of the sort order is one task's, so a host with very many pages is spread over many tasks; a page at the edge of a
-range is paired with its neighbour on the other side.
+A range of the sort order is one task's, so a host with very many pages is spread over many tasks. The ranges are found from
+the URLs alone; the first and last page of each are also sent to the range beside it, as context only, so that a page at an
+edge is compared with its neighbour on the other side and the result does not hang on where the edges are.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
@@ -29,6 +31,8 @@ NEVER = frozenset("aside button canvas datalist dialog footer form head iframe n
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MARKS = frozenset("ad ads advert advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo related replies share sharing sidebar social sponsor sponsored subscribe topbar widget".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+#: Pages a range has, about, and the most ranges.
+PART, RANGES = 4096, 10_000
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "textarea", "title", "noscript", "iframe", "template")}
 _NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
@@ -164,6 +168,32 @@ def _own(page: dict, before: dict | None, after: dict | None) -> str:
     return "\n".join(x["text"] for x in (inside if 2 * _size(inside) >= _size(own) else own))
 
 
+def _place(url: str | None, page_id: int | None) -> tuple[str, str, int]:
+    """A page's place in the order: host, path, id (a null id is the least)."""
+    try:
+        at = urlsplit(url or "")
+        host, path = at.netloc.lower(), at.path
+    except ValueError:
+        host, path = "", url or ""
+    return host, path, -(2**63) if page_id is None else page_id
+
+
+def _edges(slim: DataFrame) -> list[tuple[tuple, tuple]]:
+    """The first and last place of each range, in order; they come from the URLs alone and are few."""
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [_place(u, i) for u, i in zip(batch.column("url").to_pylist(), batch.column("page_id").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.int64()), strict=False)] if rows else [pa.array([], t) for t in (pa.string(), pa.string(), pa.int64())], names=["host", "path", "id"])
+
+    urls = slim.select("page_id", "url")
+    n = min(RANGES, max(1, -(-urls.count() // PART)))
+    dealt = urls.mapInArrow(places, "host string, path string, id long").repartitionByRange(n, "host", "path", "id")
+    place = F.struct("host", "path", "id")
+    found = dealt.groupBy(F.spark_partition_id().alias("_r")).agg(F.min(place).alias("first"), F.max(place).alias("last")).collect()
+    return sorted((tuple(r["first"]), tuple(r["last"])) for r in found)
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """``pages(page_id, url, html)`` -> ``page_id, url, text, n_chars``, a row for each row.
 
@@ -171,35 +201,36 @@ def main_text(pages: DataFrame) -> DataFrame:
     neighbours; one page alone has no pair and keeps all that is not left out; an empty table gives no rows; other columns
     are ignored. Whole pages are read, whatever their length.
     """
+    slim = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    edges = _edges(slim)
+    firsts = [first for first, _ in edges]
     line = pa.struct([("text", pa.string()), ("article", pa.bool_()), ("left", pa.bool_())])
     lines = "array<struct<text:string,article:boolean,left:boolean>>"
+    types = [("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string()), ("id", pa.int64()), ("lines", pa.list_(line)), ("range", pa.int32()), ("context", pa.bool_())]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                hosts, paths, out = [], [], []
-                for url, page in zip(part.column("url").to_pylist(), part.column("html").to_pylist(), strict=True):
-                    try:
-                        at = urlsplit(url or "")
-                        hosts.append(at.netloc.lower())
-                        paths.append(at.path)
-                    except ValueError:
-                        hosts.append("")
-                        paths.append(url or "")
-                    out.append([{"text": t, "article": a, "left": o} for t, a, o in page_lines(page)])
-                yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(hosts), pa.array(paths), pa.array(out, pa.list_(line))], names=["page_id", "url", "host", "path", "lines"])
+                rows = []
+                for page in batch.slice(start, 512).to_pylist():
+                    place = _place(page["url"], page["page_id"])
+                    at = bisect_right(firsts, place) - 1
+                    row = (page["page_id"], page["url"], *place, [{"text": t, "article": a, "left": o} for t, a, o in page_lines(page["html"])])
+                    rows.append((*row, at, False))
+                    if place == edges[at][0] and at:
+                        rows.append((*row, at - 1, True))
+                    if place == edges[at][1] and at + 1 < len(edges):
+                        rows.append((*row, at + 1, True))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), types, strict=True)], names=[k for k, _ in types])
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settled() -> Iterator[dict]:
             before = page = None
-            for batch in batches:
-                for start in range(0, batch.num_rows, 128):
-                    for after in batch.slice(start, 128).to_pylist():
-                        if page is not None:
-                            yield {"page_id": page["page_id"], "url": page["url"], "text": _own(page, before, after)}
-                        before, page = page, after
-            if page is not None:
+            for after in (p for batch in batches for start in range(0, batch.num_rows, 128) for p in batch.slice(start, 128).to_pylist()):
+                if page is not None and not page["context"]:
+                    yield {"page_id": page["page_id"], "url": page["url"], "text": _own(page, before, after if after["range"] == page["range"] else None)}
+                before, page = page if page is not None and after["range"] == page["range"] else None, after
+            if page is not None and not page["context"]:
                 yield {"page_id": page["page_id"], "url": page["url"], "text": _own(page, before, None)}
 
         schema, rows = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())]), []
@@ -211,7 +242,6 @@ def main_text(pages: DataFrame) -> DataFrame:
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    slim = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    parsed = slim.mapInArrow(parse, f"page_id long, url string, host string, path string, lines {lines}")
-    placed = parsed.repartitionByRange("host", "path", "page_id").sortWithinPartitions("host", "path", "page_id")
+    parsed = slim.mapInArrow(parse, f"page_id long, url string, host string, path string, id long, lines {lines}, range int, context boolean")
+    placed = parsed.repartitionById(max(1, len(edges)), F.col("range")).sortWithinPartitions("range", "host", "path", "id")
     return placed.mapInArrow(difference, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))

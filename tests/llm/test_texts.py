@@ -272,6 +272,18 @@ def test_main_text(spark):
     assert html_diff.main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+def test_pages_meet_across_the_edges_of_ranges(spark, monkeypatch):
+    rows = [(i, f"http://{i // 2:02}.example/{i:02}", f"<div>Site {i // 2}</div><div>Own text {i}</div><div>Contact us</div>") for i in range(30)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for part in (1, 3, 7, 100):
+            monkeypatch.setattr(html_diff, "PART", part, raising=False)
+            assert sorted((r["page_id"], r["text"]) for r in html_diff.main_text(df).collect()) == [(i, f"Own text {i}") for i in range(30)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_differencing_decides_inside_articles(spark):
     page = lambda own, outside="": f"<body><nav>Home</nav><article><h1>{own}</h1><p>{own} is said here at some length, and of {own} only<p>Share this with a friend</article>{outside}<footer>f</footer>"
     said = lambda own: f"{own}\n{own} is said here at some length, and of {own} only"
