@@ -90,32 +90,42 @@ def judge(docs: DataFrame, *, host: str = "source", most: int = MOST, rate: floa
     """A row for each row of ``docs(doc_id, text, host)``: the measures, ``base_failed``, ``n_removed_lines``,
     ``n_left_words`` and ``kept``; ``drop_lines`` are the keys of the lines to remove.
 
-    Rows that repeat a doc_id are judged together as far as lines go. Null hosts are one host; a null or empty text fails
+    Rows that repeat a doc_id are judged each by its own text. Null hosts are one host; a null or empty text fails
     the base rule (no words); ties do not occur; an empty table gives no rows; extra columns are ignored.
     """
+    return _judged(docs, host=host, most=most, rate=rate, least_words=least_words, least_part=least_part).drop("_host", "_doc")
+
+
+def _judged(docs: DataFrame, *, host: str = "source", most: int = MOST, rate: float = RATE, least_words: int = LEAST_WORDS, least_part: float = LEAST_PART) -> DataFrame:
+    """``judge`` with ``_host`` and ``_doc``, which tell apart the texts of rows that repeat a doc_id."""
     held = measures(docs.select("doc_id", F.col(host).alias("_host"), "text"))
     each = F.transform("_lines", lambda x: F.struct(F.xxhash64(normalised(x)).alias("k"), F.coalesce(F.regexp_count(x, F.lit(WORD)), F.lit(0)).alias("n")))
     kept = ("doc_id", "_host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     held = cut(held.select(*kept, F.xxhash64("text").alias("_doc"), each.alias("_each")))
     bad = cut(frequent_lines(held.select("_host", "_doc", F.transform("_each", lambda x: x["k"]).alias("_keys")), "_host", most, rate))
-    flat = held.select("doc_id", "_host", F.explode("_each").alias("_l")).select("doc_id", "_host", F.col("_l.k").alias("_key"), F.col("_l.n").alias("_n"))
+    flat = held.select("doc_id", "_host", "_doc", F.posexplode("_each").alias("_at", "_l")).select("doc_id", "_host", "_doc", "_at", F.col("_l.k").alias("_key"), F.col("_l.n").alias("_n"))
     bad = F.broadcast(bad) if bad.limit(200_001).count() <= 200_000 else bad
     hit = flat.alias("f").join(bad.alias("b"), (F.col("f._key") == F.col("b._key")) & F.col("f._host").eqNullSafe(F.col("b._host")))
-    hit = hit.groupBy(F.col("f.doc_id").alias("_id")).agg(F.count("*").alias("_lines"), F.sum("f._n").cast("long").alias("_gone"), F.collect_set("f._key").alias("_keys"))
-    out = held.drop("_doc", "_each").join(hit, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    # rows that repeat a text give the same places, so a set holds them once
+    hit = hit.groupBy(F.col("f.doc_id").alias("_id"), F.col("f._host").alias("_h"), F.col("f._doc").alias("_d")).agg(F.collect_set(F.struct("f._at", "f._n", "f._key")).alias("_hits"))
+    gone = F.aggregate("_hits", F.lit(0).cast("long"), lambda a, x: a + x["_n"])
+    hit = hit.select("_id", "_h", "_d", F.size("_hits").alias("_lines"), gone.alias("_gone"), F.array_distinct(F.transform("_hits", lambda x: x["_key"])).alias("_keys"))
+    out = held.drop("_each").join(hit, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_host").eqNullSafe(F.col("_h")) & (F.col("_doc") == F.col("_d")), "left")
     left = F.col("n_words") - F.coalesce("_gone", F.lit(0))
     depleted = F.col("_gone").isNotNull() & ((left < least_words) | (left < least_part * F.col("n_words")))
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         F.coalesce("_lines", F.lit(0)).cast("long").alias("n_removed_lines"), left.alias("n_left_words"),
-        (~F.col("base_failed") & ~depleted).alias("kept"), F.coalesce("_keys", F.array().cast("array<bigint>")).alias("drop_lines"),
+        (~F.col("base_failed") & ~depleted).alias("kept"), F.coalesce("_keys", F.array().cast("array<bigint>")).alias("drop_lines"), "_host", "_doc",
     )
 
 
 def apply(docs: DataFrame, **limits) -> DataFrame:
-    """The kept documents with all their columns, their text without the lines to remove; ``n_chars``, if there, follows."""
-    verdict = judge(docs, **limits).where("kept").select(F.col("doc_id").alias("_id"), "drop_lines")
-    both = docs.join(verdict, F.col("doc_id").eqNullSafe(F.col("_id")))
+    """The kept rows with all their columns, each once and by the verdict on its own text; their text without the lines to remove; ``n_chars``, if there, follows."""
+    host = limits.get("host", "source")
+    verdict = _judged(docs, **limits).where("kept").select(F.col("doc_id").alias("_id"), F.col("_host").alias("_h"), F.col("_doc").alias("_d"), "drop_lines").dropDuplicates(["_id", "_h", "_d"])
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col(host).eqNullSafe(F.col("_h")) & (F.xxhash64("text") == F.col("_d"))
+    both = docs.join(verdict, same)
     bare = F.array_join(F.filter(F.split("text", "\n", -1), lambda x: ~F.array_contains("drop_lines", F.xxhash64(normalised(x)))), "\n")
     out = both.withColumn("text", F.when(F.size("drop_lines") > 0, bare).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
