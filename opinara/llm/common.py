@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -21,20 +23,34 @@ BROADCAST_ROWS = 500_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder's path under the folder that the cluster shares (spark.checkpoint.dir)."""
+    """A new folder's path under the folder that the cluster shares (spark.checkpoint.dir).
+
+    Only a local session may leave it unset, as in tests; on a cluster a folder of one machine would lose rows.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:  # no cluster has named one: a local session, as in tests
-        base = "file://" + tempfile.mkdtemp(prefix="opinara-")
-        spark.sparkContext.setCheckpointDir(base)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and the executors share")
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="opinara-"))
         base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, *cluster_by: str) -> DataFrame:
+def cut(df: DataFrame) -> DataFrame:
     """The rows of ``df`` written to the shared folder and read back: lineage ends there and survives lost executors."""
     spark, path = df.sparkSession, shared_dir(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._table = path
+    return out
+
+
+def spent(*tables: DataFrame) -> None:
+    """Delete tables made by ``cut`` that no later step reads."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table._table)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
@@ -72,26 +88,6 @@ def word_count(text: Column) -> Column:
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[list(SPACE_BYTES)] = True
 _FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i modulo 2**64 for i up to n at least; kept per process up to 16 million."""
-    have = _POWERS.get("up")
-    if have is None or len(have) <= n:
-        size = 1 << max(16, int(n).bit_length())
-        with np.errstate(over="ignore"):
-            up, down = np.ones(size, np.uint64), np.ones(size, np.uint64)
-            up[1:], down[1:] = np.uint64(_BASE), np.uint64(_INVERSE)
-            up, down = np.multiply.accumulate(up), np.multiply.accumulate(down)
-        if size > 1 << 24:
-            return up, down
-        _POWERS["up"], _POWERS["down"] = up, down
-    return _POWERS["up"], _POWERS["down"]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit integers (the finaliser of splitmix64)."""
     with np.errstate(over="ignore"):
@@ -100,36 +96,69 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(text: str | None, fold: bool = True) -> np.ndarray:
-    """A 64-bit hash of each word of the whole text, in order; A-Z are lower-cased first if ``fold``."""
-    raw = (text or "").encode("utf-8", "surrogatepass")
+#: Words of more bytes than this are hashed one by one. Each (place, byte) of a shorter one has a random number of its own,
+#: so no pattern of letters cancels out, as powers of one base modulo 2**64 let it.
+_SHORT = 64
+_NUMBERS = mix(mix(np.arange(1, _SHORT * 256 + 1, dtype=np.uint64)) + np.uint64(0x9E3779B97F4A7C15))
+
+
+def words_of_texts(texts: Sequence[str | None], fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit hashes of the words of whole texts, in order and end to end, and where each text's begin (and all end).
+
+    A-Z are lower-cased first if ``fold``; a null or blank text has no words.
+    """
+    parts = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    raw = b"\n".join(parts)
     if fold:
         raw = raw.translate(_FOLD)
     b = np.frombuffer(raw, np.uint8)
-    if not len(b):
-        return np.empty(0, np.uint64)
     inside = np.zeros(len(b) + 2, np.int8)
     inside[1:-1] = ~_IS_SPACE[b]
     edge = np.diff(inside)
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    bounds = np.searchsorted(start, np.cumsum([0, *(len(x) + 1 for x in parts)]))
     if not len(start):
-        return np.empty(0, np.uint64)
-    up, down = _powers(len(b))
-    with np.errstate(over="ignore"):
-        total = np.zeros(len(b) + 1, np.uint64)
-        np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[: len(b)], out=total[1:])
-        h = (total[end] - total[start]) * down[start]
-        return mix(h + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        return np.empty(0, np.uint64), bounds
+    size = end - start
+    first = np.cumsum(size) - size
+    place = np.arange(first[-1] + size[-1])
+    place -= np.repeat(first, size)
+    long = np.flatnonzero(size > _SHORT)
+    if len(long):
+        np.minimum(place, _SHORT - 1, out=place)
+    place <<= 8
+    place |= b[inside[1:-1].view(bool)]
+    h = mix(np.bitwise_xor.reduceat(_NUMBERS.take(place), first))
+    for i in long:
+        h[i] = int.from_bytes(hashlib.blake2b(raw[start[i] : end[i]], digest_size=8).digest(), "little")
+    return h, bounds
 
 
-def shingle_hashes(text: str | None, width: int = 3) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the runs of ``width`` words; a shorter text is one run; none without words."""
-    w = word_hashes(text)
-    if not len(w):
-        return w
-    width = min(width, len(w))
+def word_hashes(text: str | None, fold: bool = True) -> np.ndarray:
+    """A 64-bit hash of each word of the whole text, in order."""
+    return words_of_texts([text], fold)[0]
+
+
+def _runs(w: np.ndarray, width: int) -> np.ndarray:
+    h = np.full(max(0, len(w) - width + 1), width, np.uint64)
     with np.errstate(over="ignore"):
-        h = np.full(len(w) - width + 1, width, np.uint64)
         for i in range(width):
-            h = mix(h * np.uint64(0xA0761D6478BD642F) + w[i : len(w) - width + 1 + i])
-    return np.unique(h)
+            h = mix(h * np.uint64(0xA0761D6478BD642F) + w[i : i + len(h)])
+    return h
+
+
+def shingle_sets(texts: Sequence[str | None], width: int) -> list[np.ndarray]:
+    """For each text its set: sorted distinct 64-bit hashes of the runs of ``width`` words; a shorter text is one run; none
+    without words."""
+    w, bounds = words_of_texts(texts)
+    h, out = _runs(w, width), []
+    for low, high in itertools.pairwise(bounds.tolist()):
+        own = h[low : high - width + 1] if high - low >= width else _runs(w[low:high], high - low) if high > low else w[:0]
+        own = np.sort(own)
+        out.append(own[np.append(True, own[1:] != own[:-1])] if len(own) else own)
+    return out
+
+
+def shingle_hashes(text: str | None, width: int = 3) -> np.ndarray:
+    """The set of one text; see ``shingle_sets``."""
+    return shingle_sets([text], width)[0]

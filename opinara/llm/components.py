@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, spent
 
 
 def _stars(links: DataFrame) -> DataFrame:
@@ -36,7 +36,9 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if mark == tuple(state) or not state[0]:
             break
-        mark, now = tuple(state), cut(_stars(now))
+        mark, before = tuple(state), now
+        now = cut(_stars(before))
+        spent(before)
     else:
         raise RuntimeError("components did not settle")
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(now.select(F.col("b"), F.col("b")).distinct())

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinara.llm import embed_dedup, ngram_join
+from opinara.llm.common import word_hashes
 from opinara.llm.components import components
 
 
@@ -50,10 +51,12 @@ def family(seed, n_copies, n_words, most):
     return out
 
 
-@pytest.mark.parametrize(("width", "num", "block"), [(3, 90, 128), (3, 90, 8), (5, 80, 8)])
+@pytest.mark.parametrize(("width", "num", "block"), [(3, 90, 128), (3, 90, 8), (5, 80, 8), (2, 40, 16), (3, 100, 8)])
 def test_join_equals_brute_force(spark, monkeypatch, width, num, block):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
-    monkeypatch.setattr(ngram_join, "HELD", 3000)
+    monkeypatch.setattr(ngram_join, "CHUNK", 3000)
+    monkeypatch.setattr(ngram_join, "ASKING", 16)
+    monkeypatch.setattr(ngram_join, "HUBS", 3)
     texts = [t for s, (c, n, m) in enumerate([(40, 60, 6), (30, 148, 14), (12, 12, 2), (10, 400, 30), (6, 5, 1), (6, 3, 1)]) for t in family(s, c, n, m)]
     texts += ["", None, " \t\n", "One", "one", "ONE two", "one two", "a b c a b c", "c a b c a b", "x " * 3000]
     random.Random(1).shuffle(texts)
@@ -73,6 +76,18 @@ def test_join_edges(spark):
     assert kept.columns == ["doc_id", "text", "extra"] and 2 not in {r[0] for r in kept.collect()}
 
 
+def test_words_of_like_letters_are_told_apart(spark):
+    a, b = "a", "b"
+    for _ in range(10):  # a sequence and its complement, which powers of one base modulo 2**64 do not tell apart
+        a, b = a + b, b + a
+    cases = [a, b, a[:64], b[:64], a[:16], b[:16], "ab", "ba"]
+    assert len({int(word_hashes(x)[0]) for x in cases}) == len(cases)
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    assert {r[2] for r in ngram_join.jaccard_components(df, width=3, num=90).collect()} == set(range(len(cases)))
+    with pytest.raises(ValueError, match="limit"):
+        ngram_join.jaccard_components(df, num=0)
+
+
 def test_index_finds_all_with_the_overlap():
     r = np.random.default_rng(0)
     sets = [np.unique(r.integers(0, 120, r.integers(5, 80)).astype(np.uint64)) for _ in range(60)]
