@@ -94,6 +94,21 @@ ORACLES: dict[str, str] = {
         p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM f a JOIN f b ON a.g = b.g AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
         r AS (SELECT doc_id AS id, doc_id AS c FROM documents UNION SELECT r.id, p.b FROM r JOIN p ON r.c = p.a)
         SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(c) AS component_id FROM s JOIN r ON r.id = s.doc_id GROUP BY s.doc_id, len(s)""",
+    "op4_line_quality": r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+        s AS (SELECT r, CASE WHEN len(w) < 6 THEN [] ELSE list_transform(range(1, len(w) - 3), lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4])) END AS s FROM w),
+        g AS (SELECT r, unnest(s) AS g, generate_subscripts(s, 1) AS i FROM s),
+        c AS (SELECT r, count(DISTINCT i + k) AS n FROM (SELECT r, i FROM g QUALIFY count(*) OVER (PARTITION BY r, g) > 1), range(5) o(k) GROUP BY r),
+        x AS (SELECT r, source, coalesce(md5(text), '') AS m, unnest(list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(lower(t), '[\x09\x0B-\x0D]', ' ', 'g'), '[0-9]+', '0', 'g'), ' {2,}', ' ', 'g'), chr(10)), lambda v: trim(v, ' ')), lambda v: v <> '')) AS x FROM d),
+        h AS (SELECT source, count(DISTINCT coalesce(md5(text), '')) AS a FROM d GROUP BY source),
+        f AS (SELECT x.source, x.x FROM x JOIN h ON x.source IS NOT DISTINCT FROM h.source GROUP BY x.source, x.x, h.a HAVING count(DISTINCT m) > 5 AND count(DISTINCT m) > 0.002::DOUBLE * h.a),
+        b AS (SELECT x.r, count(*) AS n, sum(len(string_split(x.x, ' '))) AS gone FROM x JOIN f ON x.x = f.x AND x.source IS NOT DISTINCT FROM f.source GROUP BY x.r),
+        m AS (SELECT d.doc_id, len(w.w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+            len(w.l) - len(list_distinct(w.l)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, coalesce(b.n, 0) AS n_removed_lines, CAST(len(w.w) - coalesce(b.gone, 0) AS BIGINT) AS n_left_words, b.n IS NOT NULL AS hit
+            FROM d JOIN w USING (r) LEFT JOIN c USING (r) LEFT JOIN b USING (r))
+        SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+            n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, CAST(n_removed_lines AS BIGINT) AS n_removed_lines, n_left_words,
+            NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT (hit AND (n_left_words < 10 OR n_left_words < 0.3::DOUBLE * n_words)) AS kept FROM m""",
     "op2_embedding_dedup": """WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE len(list_filter(embedding, lambda x: x <> 0)) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
         r AS (SELECT vec_id AS id, vec_id AS c FROM embeddings UNION SELECT r.id, p.b FROM r JOIN p ON r.c = p.a)

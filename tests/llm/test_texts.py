@@ -4,6 +4,7 @@ import collections
 import hashlib
 import itertools
 import math
+import random
 import re
 import zlib
 
@@ -115,12 +116,45 @@ def test_shared_lines_go_but_copies_stay(spark):
 
 
 def test_blocks_of_shared_lines_go(spark):
-    said = lambda i: " ".join(hashlib.md5(f"{i} {k}".encode()).hexdigest().translate({48 + d: 103 + d for d in range(10)}) for k in range(30))  # noqa: E731  letters only
-    block = "\n".join(" ".join(said(1000 + k).split()[:8]) for k in range(4))
+    said = lambda i: " ".join(hashlib.md5(f"{i} {k}".encode()).hexdigest().translate({48 + d: 103 + d for d in range(10)}) for k in range(150))  # noqa: E731  letters only
+    block = "\n".join(" ".join(said(1000 + k).split()[:3]) for k in range(40))
     df = spark.createDataFrame([(i, f"{said(i)}\n{block}", "h") for i in range(21)], "doc_id long, text string, source string")
-    assert {r["n_removed_lines"] for r in line_quality.judge(df).collect()} == {4}
-    assert {r["text"] for r in line_quality.apply(df).collect()} == {said(i) for i in range(21)}
-    assert {r["n_removed_lines"] for r in line_quality.judge(df.limit(20)).collect()} == {0}
+    assert {r["n_removed_lines"] for r in line_quality.judge(df, most=20).collect()} == {40}
+    assert {r["text"] for r in line_quality.apply(df, most=20).collect()} == {said(i) for i in range(21)}
+    assert {r["n_removed_lines"] for r in line_quality.judge(df.limit(20), most=20).collect()} == {0}
+
+
+def plain_verdicts(rows, most, rate, least_words, least_part):
+    """(doc_id, text, host) -> (doc_id, removed lines, words left, kept), by counting texts in sets."""
+    flat = lambda t: [x for x in (" ".join(re.findall(r"[^\x20\x09-\x0d]+", re.sub("[0-9]+", "0", y.lower()))) for y in (t or "").split("\n")) if x]
+    held, texts, out = collections.defaultdict(set), collections.defaultdict(set), []
+    for _, t, h in rows:
+        texts[h].add(t)
+        for x in flat(t):
+            held[h, x].add(t)
+    for i, t, h in rows:
+        gone = [x for x in flat(t) if len(held[h, x]) > most and len(held[h, x]) > rate * len(texts[h])]
+        n, *_, repeat = plain_measures(t)
+        left = n - sum(len(x.split(" ")) for x in gone)
+        out.append((i, len(gone), left, n >= 10 and 100 * repeat <= 20 * n and not (gone and (left < least_words or left < least_part * n))))
+    return out
+
+
+def test_verdicts_equal_a_plain_twin(spark):
+    r = random.Random(5)
+    shared = [" ".join(f"s{k}w{j}" for j in range(r.randrange(1, 9))) for k in range(12)]
+    rows = []
+    for i in range(150):
+        lines = [" ".join(f"o{r.randrange(10**6)}" if r.random() < 0.9 else str(r.randrange(99)) for _ in range(r.randrange(1, 12))) for _ in range(r.randrange(4))]
+        lines += [r.choice(["", " ", "\t"]) + (x.upper() if r.random() < 0.3 else x.replace(" ", "  ")) for x in r.sample(shared, r.randrange(6))]
+        r.shuffle(lines)
+        rows.append((i if r.random() < 0.9 else None, "\n".join(lines), r.choice(["a", "a", "a", "b", None])))
+    rows += rows[:20] + [(7, None, "a"), (8, "", None), (8, "one two", "b")]
+    df = spark.createDataFrame([(*x, 1, "k") for x in rows], "doc_id long, text string, source string, _key int, kept string").repartition(5)
+    limits = {"most": 6, "rate": 0.1, "least_words": 5, "least_part": 0.4}
+    got = [(x["doc_id"], x["n_removed_lines"], x["n_left_words"], x["kept"]) for x in line_quality.judge(df, **limits).collect()]
+    want = plain_verdicts(rows, **limits)
+    assert sorted(got, key=repr) == sorted(want, key=repr) and 20 < sum(x[3] for x in want) < sum(plain_measures(t)[0] >= 10 for _, t, _ in rows)
 
 
 def test_rows_that_repeat_a_doc_id_stay_as_many(spark):
