@@ -45,6 +45,8 @@ FROM step s JOIN vocab v ON v.id = s.id WHERE NOT live GROUP BY word
 
 #: Bytes of a word above which it is contracted by itself.
 LONG = 1024
+#: Words and pieces of text that a worker remembers; together with the tables some 300 MB.
+WORDS, PIECES = 400_000, 300_000
 _CODERS: dict[tuple[str, str], PieceCache] = {}
 
 
@@ -56,11 +58,11 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Coder:
     """``encode(words)`` gives for each word (a match of the splitting pattern) its ids and the decoded bytes."""
 
-    def __init__(self, ranks: dict[bytes, int], batch: int = 50_000):
+    def __init__(self, ranks: dict[bytes, int], batch: int = 20_000):
         import duckdb
 
         self.ranks, self.batch = ranks, batch
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "100MB"})
         ids, values = list(ranks.values()), list(ranks)
         vocab = pa.table({"id": pa.array(ids, pa.int32()), "hex": [v.hex() for v in values]})
         rows = [(ranks[b[:i]], ranks[b[i:]], made) for b, made in ranks.items() for i in range(1, len(b)) if b[:i] in ranks and b[i:] in ranks]
@@ -70,22 +72,21 @@ class Coder:
             self.db.register("given", table)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.db.unregister("given")
-        self.bytes = dict(zip(ids, values, strict=True))
-        self.pairs = {(a, b): c for a, b, c in rows}
+        self.pairs: dict[tuple[int, int], int] | None = None  # only for very long words
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
 
     def encode(self, words: list[bytes]) -> list[tuple[int, str, bytes]]:
         out: list[tuple[int, str, bytes]] = []
         part, size = [], 0
-        for w in words:  # batches bounded by bytes as well as by words
+        for w in words:  # batches bounded by the rows they make as well as by words
             if len(w) > LONG:
                 out += self._encode(part) if part else []
                 out.append(self._encode_long(w))
                 part, size = [], 0
                 continue
             part.append(w)
-            size += len(w)
-            if len(part) >= self.batch or size >= 10 * self.batch:
+            size += len(w) ** 2  # the query keeps the rows of all its steps
+            if len(part) >= self.batch or size >= 200 * self.batch:
                 out += self._encode(part)
                 part, size = [], 0
         return out + (self._encode(part) if part else [])
@@ -104,10 +105,12 @@ class Coder:
             out[k] = (n, said, bytes.fromhex(back))
         return out
 
-
     def _encode_long(self, word: bytes) -> tuple[int, str, bytes]:
         """The same contractions for one very long word, for which a step for each would be too many: pairs wait in a heap
         by rank and place, and a contraction only renews the pairs beside it."""
+        if self.pairs is None:
+            self.bytes = {i: b for b, i in self.ranks.items()}
+            self.pairs = dict(((a, b), c) for a, b, c in self.db.execute("SELECT l, r, made FROM merges").fetchall())
         ids = self.byte[np.frombuffer(word, np.uint8)].tolist()
         after, before = [*range(1, len(ids)), -1], [-1, *range(len(ids) - 1)]
         heap = [(made, i, ids[i], ids[i + 1]) for i in range(len(ids) - 1) if (made := self.pairs.get((ids[i], ids[i + 1]))) is not None]
@@ -146,7 +149,7 @@ def _coder(path: str, pattern: str) -> PieceCache:
 
         def encode(pieces: list[str]) -> list[tuple[int, str, bytes]]:
             cut = [cut_words(p) for p in pieces]
-            if len(words) > 1_200_000:
+            if len(words) > WORDS:
                 words.clear()
             new = list({w for ws in cut for w in ws} - words.keys())
             words.update(zip(new, coder.encode([w.encode("utf-8", "surrogatepass") for w in new]), strict=True))
@@ -155,7 +158,7 @@ def _coder(path: str, pattern: str) -> PieceCache:
                 del words[w]
             return [m[0] if len(m) == 1 else (sum(x[0] for x in m), ",".join(x[1] for x in m), b"".join(x[2] for x in m)) for m in made]
 
-        _CODERS[path, pattern] = PieceCache(encode, entries=900_000, cut=split_safe if known else lambda t: [t])
+        _CODERS[path, pattern] = PieceCache(encode, entries=PIECES, cut=split_safe if known else lambda t: [t])
     return _CODERS[path, pattern]
 
 
