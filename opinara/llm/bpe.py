@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import give_back
 from .pieces import PATTERN, PieceCache, split_safe
 
 #: A row is a token with the place and id of the one that follows it. ``best`` packs rank, place and following place.
@@ -43,10 +44,18 @@ SELECT word, count(*) AS n, string_agg(s.id::VARCHAR, ',' ORDER BY pos) AS said,
 FROM step s JOIN vocab v ON v.id = s.id WHERE NOT live GROUP BY word
 """
 
+#: Every way to cut a token's bytes into two tokens.
+MERGES = """
+CREATE TABLE merges AS
+SELECT a.id AS l, b.id AS r, v.id AS made
+FROM (SELECT id, hex, unnest(range(1, len(hex) // 2)) AS at FROM vocab) v
+JOIN vocab a ON a.hex = v.hex[: 2 * v.at] JOIN vocab b ON b.hex = v.hex[2 * v.at + 1 :]
+"""
+
 #: Bytes of a word above which it is contracted by itself.
 LONG = 1024
-#: Words and pieces of text that a worker remembers; together with the tables some 300 MB.
-WORDS, PIECES = 400_000, 300_000
+#: Words and pieces of text that a worker remembers; together with the tables some 250 MB.
+WORDS, PIECES = 250_000, 200_000
 _CODERS: dict[tuple[str, str], PieceCache] = {}
 
 
@@ -63,15 +72,10 @@ class Coder:
 
         self.ranks, self.batch = ranks, batch
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "100MB"})
-        ids, values = list(ranks.values()), list(ranks)
-        vocab = pa.table({"id": pa.array(ids, pa.int32()), "hex": [v.hex() for v in values]})
-        rows = [(ranks[b[:i]], ranks[b[i:]], made) for b, made in ranks.items() for i in range(1, len(b)) if b[:i] in ranks and b[i:] in ranks]
-        left, right, made = (pa.array(x, pa.int32()) for x in zip(*rows, strict=True)) if rows else (pa.array([], pa.int32()),) * 3
-        merges = pa.table({"l": left, "r": right, "made": made})
-        for name, table in (("vocab", vocab), ("merges", merges)):
-            self.db.register("given", table)
-            self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
-            self.db.unregister("given")
+        self.db.register("given", pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "hex": [v.hex() for v in ranks]}))
+        self.db.execute("CREATE TABLE vocab AS SELECT * FROM given")
+        self.db.unregister("given")
+        self.db.execute(MERGES)
         self.pairs: dict[tuple[int, int], int] | None = None  # only for very long words
         self.byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
 
@@ -186,6 +190,7 @@ def encode_documents(docs: DataFrame, ranks: str, pattern: str, *, keep_ids: boo
                         full.append(([int(x) for x in said.split(",")] if said else [], raw.decode("utf-8", "replace")))
                 more = [pa.array([x[0] for x in full], pa.list_(pa.int32())), pa.array([x[1] for x in full])] if keep_ids else []
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids), pa.array(back), *more], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids", "decoded"] if keep_ids else [])])
+        give_back()
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return slim.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids)

@@ -207,11 +207,12 @@ def stars(key: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 def _candidates(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """``docs(doc_id, text)`` -> a table of documents, short lists and pairs; see ``_short_lists``. Texts are read once."""
-    # buckets follow the input, so that a bucket's elements stay within a task's memory
-    bits = min(30, max(8, (8 * docs.rdd.getNumPartitions() - 1).bit_length()))
+    # buckets and partitions follow the input, so that a task's part of the index stays within its memory
+    parts = 2 * docs.rdd.getNumPartitions()
+    bits = min(30, max(8, (4 * parts - 1).bit_length()))
     entered = docs.mapInArrow(_enter(width, bits), _ROWS)
-    told = grouped(entered, "bucket", _lengths, _ROWS, None)
-    return cut(grouped(told, "chunk", _short_lists(num, den), "kind int, x long, y long, z long", None))
+    told = grouped(entered, "bucket", _lengths, _ROWS, None, parts)
+    return cut(grouped(told, "chunk", _short_lists(num, den), "kind int, x long, y long, z long", None, parts))
 
 
 def _pairs(shown: DataFrame) -> DataFrame:
@@ -281,9 +282,9 @@ def _forest(n: int, pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def grouped(df: DataFrame, key: str, run: Callable[[list[dict]], Iterator], schema: str, out: pa.Schema | None) -> DataFrame:
+def grouped(df: DataFrame, key: str, run: Callable[[list[dict]], Iterator], schema: str, out: pa.Schema | None, parts: int | None = None) -> DataFrame:
     """``run`` over the rows of each value of ``key``, one value at a time, after one shuffle and a sort. It gives dicts in
-    the schema ``out``, or Arrow batches if that is None."""
+    the schema ``out``, or Arrow batches if that is None. ``parts`` is the number of partitions, if not the session's."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[dict] = []
@@ -304,7 +305,8 @@ def grouped(df: DataFrame, key: str, run: Callable[[list[dict]], Iterator], sche
         if rows:
             yield from settled()
 
-    return df.repartition(key).sortWithinPartitions(key).mapInArrow(walk, schema)
+    dealt = df.repartition(parts, key) if parts else df.repartition(key)
+    return dealt.sortWithinPartitions(key).mapInArrow(walk, schema)
 
 
 def _search(num: int, den: int) -> Callable[[list[dict]], list[dict]]:
