@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from .text import trimmed, word_count
 
 #: How a piece begins that goes on with the thought before.
-CONTINUES = r"(?iU)^(and|but|so|because|also|then|however|though|although|which|that|plus|aur|lekin|par|phir|kyunki|isliye|matlab)\b"
-PRONOUN = r"(?iU)^(it|they|this|that|these|those|he|she|we|ye|yeh|woh|iska|uska)\b"
+CONTINUES = r"(?iU)^\s*(and|but|so|because|also|then|however|though|although|which|that|plus|aur|lekin|par|phir|kyunki|isliye|matlab)\b"
+PRONOUN = r"(?iU)^\s*(it|they|this|that|these|those|he|she|we|ye|yeh|woh|iska|uska)\b"
 #: Words of a text below which it is one utterance, and of a piece above which a pronoun begins a new one.
 WHOLE_BELOW, GLUE_BELOW = 8, 25
 
@@ -24,24 +24,32 @@ def split_sentences(text: Column) -> Column:
 
 
 def spans(text: Column, whole_below: int = WHOLE_BELOW, glue_below: int = GLUE_BELOW) -> Column:
-    """``array<struct<s,e,w>>``: start, end and words of each utterance; blank ones are left out."""
-    bare = lambda x: F.regexp_replace(x, r"(?U)^\s+", "")
+    """``array<struct<s,e,w>>``: start, end and words of each utterance; blank ones are left out.
+
+    The fold holds one open utterance and the closed ones behind it, so a piece that is glued copies nothing.
+    """
     pieces = F.transform(
         split_sentences(text),
-        lambda x: F.struct(F.length(x).alias("n"), bare(x).rlike(CONTINUES).alias("c"), bare(x).rlike(PRONOUN).alias("r"), word_count(x).alias("w")),
+        lambda x: F.struct(F.length(x).alias("n"), x.rlike(CONTINUES).alias("c"), x.rlike(PRONOUN).alias("r"), word_count(x).alias("w")),
     )
     none = F.array().cast("array<struct<s:int,e:int,w:int>>")
-
-    def step(acc: Column, x: Column) -> Column:
-        last = F.get(acc, F.size(acc) - 1)
-        longer = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last["s"].alias("s"), (last["e"] + x["n"]).alias("e"), (last["w"] + x["w"]).alias("w"))))
-        end = F.coalesce(last["e"], F.lit(0))
-        another = F.concat(acc, F.array(F.struct(end.alias("s"), (end + x["n"]).alias("e"), x["w"].alias("w"))))
-        return F.when((F.size(acc) > 0) & (x["c"] | (x["r"] & (last["w"] < glue_below))), longer).otherwise(another)
-
-    glued = F.filter(F.aggregate(pieces, none, step), lambda x: x["w"] > 0)
-    one = F.array(F.struct(F.lit(0).alias("s"), F.length(text).alias("e"), word_count(text).alias("w")))
-    return F.when(F.coalesce(word_count(text), F.lit(0)) == 0, none).when(word_count(text) < whole_below, one).otherwise(glued)
+    open_ = lambda a: F.struct(a["s"].alias("s"), a["e"].alias("e"), a["w"].alias("w"))
+    closed = lambda a: F.when(a["w"] > 0, F.concat(a["done"], F.array(open_(a)))).otherwise(a["done"])
+
+    def step(a: Column, x: Column) -> Column:
+        glued = (a["e"] > 0) & (x["c"] | (x["r"] & (a["w"] < glue_below)))
+        return F.struct(
+            F.when(glued, a["s"]).otherwise(a["e"]).alias("s"),
+            (a["e"] + x["n"]).alias("e"),
+            (F.when(glued, a["w"]).otherwise(0) + x["w"]).alias("w"),
+            F.when(glued, a["done"]).otherwise(closed(a)).alias("done"),
+        )
+
+    start = F.struct(F.lit(0).alias("s"), F.lit(0).alias("e"), F.lit(0).alias("w"), none.alias("done"))
+    glued = F.aggregate(pieces, start, step, closed)
+    n = word_count(text)
+    one = F.array(F.struct(F.lit(0).alias("s"), F.length(text).alias("e"), n.alias("w")))
+    return F.when(F.coalesce(n, F.lit(0)) == 0, none).when(n < whole_below, one).otherwise(glued)
 
 
 def utterance_id(source: Column, source_id: Column, start: Column, end: Column) -> Column:

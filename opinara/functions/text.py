@@ -31,13 +31,13 @@ URL = r"(?i)https?://|www\."
 #: What an unfinished text still holds.
 PLACEHOLDERS = (
     ("«[^»]*»", "guillemet placeholder"),
-    (r"\bTODO\b", "TODO"),
-    (r"\bXXX\b", "XXX"),
-    (r"\bTBD\b", "TBD"),
-    (r"\bFIXME\b", "FIXME"),
-    (r"\?\?+", "question marks"),
-    (r"(?i)\bplaceholder\b", "placeholder"),
-    (r"(?i)lorem ipsum", "lorem ipsum"),
+    (r"(?i)\bTODO\b", "TODO marker"),
+    (r"\bXXX\b", "XXX marker"),
+    (r"(?i)\bTBD\b", "TBD marker"),
+    (r"(?i)\bFIXME\b", "FIXME marker"),
+    (r"(?U)(?<![\w?])\?{2,}(?![\w?])", "bare question-mark placeholder"),
+    (r"(?i)\bplaceholder\b", "the word placeholder"),
+    (r"(?i)\blorem ipsum\b", "lorem ipsum"),
 )
 
 
@@ -107,7 +107,7 @@ def word_count(text: Column) -> Column:
 
 
 def content_tokens(text: Column, stopwords: Sequence[str] = STOPWORDS) -> Column:
-    tokens = F.regexp_extract_all(F.lower(text), F.lit(r"(?U)[\w']+"), F.lit(0))
+    tokens = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_']+"), F.lit(0))
     return F.filter(tokens, lambda t: ~t.isin(*stopwords))
 
 

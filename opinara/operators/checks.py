@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.functions.text import placeholder_kinds
+from opinara.functions.text import placeholder_kinds, trimmed
 
 CANON = lambda c: F.regexp_replace(F.trim(c.cast("string")), r"^(-?\d+)\.0+$", "$1")
 
@@ -87,7 +87,7 @@ def check_constraints(df: DataFrame, key: str, rules: list[Rule], unique: bool =
 def placeholder_findings(texts: DataFrame, file: str = "file", text: str = "text") -> DataFrame:
     """``file, line, kind, text`` for each line and pattern."""
     lines = texts.select(F.col(file).alias("file"), F.posexplode(F.split(F.col(text), "\n")).alias("_n", "_t"))
-    return lines.select("file", (F.col("_n") + 1).alias("line"), F.explode(placeholder_kinds(F.col("_t"))).alias("kind"), F.substring("_t", 1, 200).alias("text"))
+    return lines.select("file", (F.col("_n") + 1).alias("line"), F.explode(placeholder_kinds(F.col("_t"))).alias("kind"), F.substring(trimmed(F.col("_t")), 1, 200).alias("text"))
 
 
 def placeholder_sweep(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
@@ -100,9 +100,11 @@ def placeholder_sweep(spark: SparkSession, path: str, strict: bool = False) -> D
 
 
 def table_fingerprint(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """One row that says what a table holds whatever the order of its rows."""
-    h = F.xxhash64(*(columns or df.columns))
-    return df.agg(F.count("*").alias("n_rows"), F.bit_xor(h).alias("mixed"), F.sum(h.cast("decimal(38,0)")).alias("summed"))
+    """One row that says what a table holds whatever the order of its rows: the number of rows, and the exclusive or and
+    sum of 60 bits of each row's MD5. A null is told apart from an empty value."""
+    cells = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in columns or df.columns]
+    h = F.conv(F.substring(F.md5(F.concat_ws("|", *cells)), 1, 15), 16, 10).cast("long")
+    return df.agg(F.count("*").alias("n_rows"), F.bit_xor(h).alias("mixed"), F.sum(h.cast("decimal(38,0)")).cast("string").alias("summed"))
 
 
 def frozen(df: DataFrame, recorded: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -117,3 +119,13 @@ def frozen(df: DataFrame, recorded: DataFrame, columns: list[str] | None = None)
 def offending_values(df: DataFrame, column: str, allowed: DataFrame) -> DataFrame:
     """Values seen that are not allowed."""
     return df.select(column).where(F.col(column).isNotNull()).distinct().join(allowed.select(F.col(allowed.columns[0]).alias(column)), column, "left_anti")
+
+
+def missing_ids(asked: DataFrame, returned: DataFrame, id: str = "utterance_id") -> DataFrame:
+    """Ids that were asked for and did not come back, each once."""
+    return asked.select(id).distinct().join(returned.select(id), id, "left_anti")
+
+
+def common_ids(first: DataFrame, second: DataFrame, id: str = "utterance_id") -> DataFrame:
+    """Ids that both tables hold, each once: the pairs that can be compared."""
+    return first.select(id).distinct().join(second.select(id), id, "left_semi")

@@ -54,12 +54,12 @@ def blind_sheet(df: DataFrame, n: int, seed: int, keys: tuple[str, ...] = ("sour
 def disagreement_sheet(df: DataFrame, flag: str, n: int, factor: float, seed: int, id: str = "utterance_id") -> DataFrame:
     """n rows with the disagreeing ones oversampled ``factor`` to one; ``sampling_weight`` is share of all by share drawn."""
     of_bad = int(n * factor / (1 + factor))
-    order = Window.partitionBy(flag).orderBy(draw(seed, id), id)
     sizes = df.groupBy(flag).agg(F.count("*").alias("_n")).withColumnRenamed(flag, "_f")
-    want = F.when(F.col(flag), of_bad).otherwise(n - of_bad)
-    ranked = df.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= want).join(F.broadcast(sizes), F.col(flag) == F.col("_f"))
+    # a literal limit for each side leaves no task more rows to sort out than it asks for
+    side = lambda bad, k: df.where(F.col(flag) == bad).orderBy(draw(seed, id), id).limit(k).withColumn("_want", F.lit(k))
+    ranked = side(True, of_bad).unionByName(side(False, n - of_bad)).join(F.broadcast(sizes), F.col(flag) == F.col("_f"))
     total = df.agg(F.count("*").alias("_total"))
-    drawn = F.least(F.col("_n"), want)
+    drawn = F.least(F.col("_n"), F.col("_want"))
     taken = sizes.agg(F.sum(F.least("_n", F.when(F.col("_f"), of_bad).otherwise(n - of_bad))).alias("_taken"))
     out = ranked.join(F.broadcast(total)).join(F.broadcast(taken))
     return out.withColumn("sampling_weight", (F.col("_n") / F.col("_total")) / (drawn / F.col("_taken"))).withColumn("stratum", F.when(F.col(flag), "disagree").otherwise("agree")).select(*df.columns, "stratum", "sampling_weight")
@@ -87,22 +87,36 @@ def top_k_verbatims(df: DataFrame, k: int = 3, stance: str = "temporal_stance")
     return top.join(F.broadcast(sizes), F.col("opportunity_area").eqNullSafe(F.col("_a")) & F.col(stance).eqNullSafe(F.col("_s"))).drop("_a", "_s")
 
 
-def batch_rows(df: DataFrame, size: int, id: str, cell: tuple[str, ...] = ()) -> DataFrame:
+def batch_rows(df: DataFrame, size: int, id: str, cell: tuple[str, ...] = (), lane_rows: int = 100_000) -> DataFrame:
     """Consecutive batches of ``size`` in order of id, with ``batch_no`` and ``batch_id``, named by the first id and size.
 
-    Ids are spread over a fixed number of hash lanes first, so numbering needs no global order; batches do not cross lanes.
+    A table of more than ``lane_rows`` rows is dealt by hash of the id into lanes of about so many, so numbering needs no
+    global order; batches do not cross lanes.
     """
-    lanes = Window.partitionBy(*cell, "_lane").orderBy(id)
-    out = df.withColumn("_lane", F.pmod(F.crc32(F.col(id).cast("string").cast("binary")), F.lit(64)))
-    out = out.withColumn("batch_no", F.floor((F.row_number().over(lanes) - 1) / size))
+    lanes = F.ceil(F.greatest(F.count("*"), F.lit(1)) / lane_rows).alias("_lanes")
+    out = df.join(F.broadcast(df.agg(lanes)))  # one row
+    out = out.withColumn("_lane", F.pmod(F.crc32(F.col(id).cast("string").cast("binary")), F.col("_lanes")))
+    order = Window.partitionBy(*cell, "_lane").orderBy(id)
+    out = out.withColumn("batch_no", F.floor((F.row_number().over(order) - 1) / size))
     first = F.min(id).over(Window.partitionBy(*cell, "_lane", "batch_no"))
-    return out.withColumn("batch_id", F.concat(F.substring(F.sha1(first.cast("string")), 1, 12), F.lit(f"_{size}"))).drop("_lane")
+    return out.withColumn("batch_id", F.concat(F.substring(F.sha1(first.cast("string")), 1, 12), F.lit(f"_{size}"))).drop("_lane", "_lanes")
 
 
 def rolling_usage(ledger: DataFrame, rpm: int, tpm: int, seconds: int = 60) -> DataFrame:
-    """Calls and tokens of a lane in the trailing minute at each call, and whether they are over a limit."""
-    w = Window.partitionBy("lane").orderBy(F.unix_seconds("at")).rangeBetween(-(seconds - 1), 0)
-    out = ledger.withColumns({"calls": F.count("*").over(w), "tokens": F.sum(F.coalesce("prompt_tokens", F.lit(0)) + F.coalesce("completion_tokens", F.lit(0))).over(w)})
+    """Calls and tokens of a lane in the trailing minute at each call, and whether they are over a limit.
+
+    Calls are first summed for each lane and second. A window is one task's, so time is cut into stretches of 64 windows,
+    each of which also gets the seconds of one window before it: no task holds a whole lane.
+    """
+    at, stretch = F.unix_seconds("at"), 64 * seconds
+    spent = F.coalesce("prompt_tokens", F.lit(0)) + F.coalesce("completion_tokens", F.lit(0))
+    each = ledger.select("lane", at.alias("_s"), spent.alias("_t")).groupBy("lane", "_s").agg(F.count("*").alias("_calls"), F.sum("_t").alias("_tokens"))
+    own, later = F.floor(F.col("_s") / stretch), F.floor((F.col("_s") + seconds - 1) / stretch)
+    dealt = each.withColumn("_own", own).withColumn("_part", F.explode(F.array_distinct(F.array(own, later))))
+    w = Window.partitionBy("lane", "_part").orderBy("_s").rangeBetween(-(seconds - 1), 0)
+    sums = dealt.select("lane", "_s", "_own", "_part", F.sum("_calls").over(w).alias("calls"), F.sum("_tokens").over(w).alias("tokens")).where("_own = _part")
+    sums = sums.select(F.col("lane").alias("_lane"), F.col("_s").alias("_second"), "calls", "tokens")
+    out = ledger.join(sums, F.col("lane").eqNullSafe(F.col("_lane")) & at.eqNullSafe(F.col("_second"))).drop("_lane", "_second")
     return out.withColumn("over_limit", (F.col("calls") > rpm) | (F.col("tokens") > tpm))
 
 

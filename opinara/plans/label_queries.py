@@ -69,7 +69,8 @@ def f18(spark, d):
     return responses(spark, d).select("batch_id", F.coalesce(F.size(parsed), F.lit(-1)).cast("long").alias("n"))
 
 
-@query("f22_build_requests")
+@query("f22_build_requests", FAULTS + """, m AS (SELECT batch_id, concat('Label these: [', string_agg(concat('{"id":"', CAST(utterance_id AS STRING), '","text":', CAST(to_json(utterance_text) AS STRING), '}'), ',' ORDER BY CAST(utterance_id AS STRING)), ']') AS payload FROM k GROUP BY batch_id)
+    SELECT batch_id, payload, CAST(floor((floor(length(payload) / CAST(3.2 AS DOUBLE)) + 32) * CAST(1.5 AS DOUBLE)) AS BIGINT) AS est_tokens FROM m""")
 def f22(spark, d):
     return labels.build_requests(requests(spark, d), "Label these: {items}")
 
@@ -85,7 +86,7 @@ def j09(spark, d):
 def u02(spark, d):
     rows = view(spark, d, "labelled").select("utterance_id")
     a, b = rows.where("utterance_id % 2 = 0"), rows.where("utterance_id % 3 = 0")
-    both = a.intersect(b).select(F.lit(1).alias("k")).unionByName(a.exceptAll(b).select(F.lit(0).alias("k")))
+    both = checks.common_ids(a, b).select(F.lit(1).alias("k")).unionByName(checks.missing_ids(a, b).select(F.lit(0).alias("k")))
     return both.agg(F.count_if(F.col("k") == 1).alias("n_both"), F.count_if(F.col("k") == 0).alias("n_left"))
 
 

@@ -22,4 +22,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-from . import batch_queries, label_queries, report_queries, text_queries  # noqa: E402, F401
+from . import batch_queries, file_queries, label_queries, report_queries, text_queries  # noqa: E402, F401

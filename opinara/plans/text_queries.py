@@ -22,6 +22,30 @@ WORDS = r"len(list_filter(string_split_regex(%s, '\s+'), lambda x: x <> ''))"
 TOKENS = rf"list_filter(regexp_extract_all(lower(%s), '[\p{{L}}\p{{N}}_\x27]+'), lambda x: x NOT IN ('{STOP}'))"
 
 
+#: The said texts as ``nn.t``: composed, without invisible marks, runs of one character cut to three, spaces joined. SQL has
+#: no back-references, so runs are told by comparing a character with the three before it.
+STRIP = r"regexp_replace(%s, '[\x{200B}-\x{200D}\x{2060}\x{FEFF}\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g')"
+CAPS = "array_to_string(list_filter(c, lambda x, i: NOT coalesce(i > 3 AND x = c[i - 1] AND x = c[i - 2] AND x = c[i - 3] AND x NOT IN (chr(10), chr(13), chr(133), chr(8232), chr(8233)), false)), '')"
+NORMED = f", q AS (SELECT *, string_split({STRIP % '@RAW@'}, '') AS c FROM said), nn AS (SELECT source, source_id, brand, {TRIM % rf"regexp_replace(regexp_replace({CAPS}, '[ \t]+', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g')"} AS t FROM q)"
+#: Utterances as ``u(source, source_id, t, s, e)``: pieces end where a run of sentence ends stands before white space, and a
+#: recursive query walks a text's pieces with the words of the open utterance.
+BEGINS = r"regexp_matches(piece, '(?i)^[\s\x0b\x85\xa0]*(%s)($|[^\p{L}\p{N}\p{M}_])')"
+UTTERED_OF = (with_views("said") + NORMED).replace("WITH ", "WITH RECURSIVE ", 1) + rf""", x AS (SELECT *, {WORDS % 't'} AS tw, list_filter(string_split(regexp_replace(t, '([.!?\n]+)([\s\x0b\x85\xa0])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda v: v <> '') AS l FROM nn),
+    y AS (SELECT source_id, unnest(l) AS piece, generate_subscripts(l, 1) AS k FROM x WHERE tw >= 8),
+    p AS (SELECT source_id, k, length(piece) AS n, {WORDS % 'piece'} AS w, {BEGINS % S.CONTINUES.split('(', 2)[2].split(')')[0]} AS c, {BEGINS % S.PRONOUN.split('(', 2)[2].split(')')[0]} AS r, sum(length(piece)) OVER (PARTITION BY source_id ORDER BY k) - length(piece) AS o FROM y),
+    f AS (SELECT source_id, k, o, n, w, 1 AS g, w AS gw FROM p WHERE k = 1
+        UNION ALL SELECT p.source_id, p.k, p.o, p.n, p.w, CASE WHEN p.c OR p.r AND f.gw < 25 THEN f.g ELSE f.g + 1 END, CASE WHEN p.c OR p.r AND f.gw < 25 THEN f.gw + p.w ELSE p.w END FROM f JOIN p ON p.source_id = f.source_id AND p.k = f.k + 1),
+    g AS (SELECT source_id, min(o) AS s, max(o + n) AS e FROM f GROUP BY source_id, g HAVING sum(w) > 0),
+    u AS (SELECT source, source_id, t, CAST(s AS INT) AS s, CAST(e AS INT) AS e FROM x JOIN g USING (source_id) UNION ALL SELECT source, source_id, t, 0, CASE WHEN tw = 0 THEN 0 ELSE CAST(length(t) AS INT) END FROM x WHERE tw < 8)"""
+
+
+def uttered(raw: str = "raw_text") -> str:
+    return UTTERED_OF.replace("@RAW@", raw)
+
+
+SAID_IN_U = TRIM % "substr(t, s + 1, e - s)"
+
+
 def said(spark, d):
     return view(spark, d, "said")
 
@@ -31,7 +55,7 @@ def normal(spark, d):
     return prepare.normalise(said(spark, d), compose=False)
 
 
-@query("f01_f04_normalise")
+@query("f01_f04_normalise", with_views("said") + NORMED.replace("@RAW@", "nfc_normalize(raw_text)") + " SELECT source_id, t AS normalised_text FROM nn")
 def f01(spark, d):
     return said(spark, d).select("source_id", T.normalise(F.col("raw_text")).alias("normalised_text"))
 
@@ -41,7 +65,7 @@ def f02(spark, d):
     return said(spark, d).select("source_id", T.collapse_space(T.strip_invisible(F.col("raw_text"))).alias("normalised_text"))
 
 
-@query("f03_cap_runs")
+@query("f03_cap_runs", with_views("said") + f", q AS (SELECT source_id, string_split(raw_text, '') AS c FROM said) SELECT source_id, {CAPS} AS capped FROM q")
 def f03(spark, d):
     return said(spark, d).select("source_id", T.cap_runs(F.col("raw_text")).alias("capped"))
 
@@ -62,23 +86,23 @@ def f06(spark, d):
     return said(spark, d).select("source_id", T.detect_language(F.col("raw_text")).alias("language"))
 
 
-@query("f07_emphasis_caps", with_views("said") + r"SELECT source_id, regexp_matches(raw_text, '(^|[^\p{L}\p{N}\p{M}_])[A-Z]{4,}($|[^\p{L}\p{N}\p{M}_])') AS has_caps_emphasis, regexp_matches(raw_text, '!{2,}') AS has_exclamation_run FROM said")
+@query("f07_emphasis_caps", with_views("said") + r"SELECT source_id, regexp_matches(raw_text, '(^|[^\p{L}\p{N}\p{M}_])[A-Z]{4,}($|[^\p{L}\p{N}\p{M}_])') AS has_caps_emphasis, regexp_matches(raw_text, '!{2,}') AS has_exclamation_run, len(list_filter(c, lambda x, i: coalesce(i > 2 AND x = c[i - 1] AND x = c[i - 2] AND x NOT IN (chr(10), chr(13), chr(133), chr(8232), chr(8233)), false))) > 0 AS has_repeated_chars FROM (SELECT *, string_split(raw_text, '') AS c FROM said) x")
 def f07(spark, d):
     flags = T.emphasis_flags(F.col("raw_text"))
-    return said(spark, d).select("source_id", flags["has_caps_emphasis"].alias("has_caps_emphasis"), flags["has_exclamation_run"].alias("has_exclamation_run"))
+    return said(spark, d).select("source_id", *(flags[k].alias(k) for k in ("has_caps_emphasis", "has_exclamation_run", "has_repeated_chars")))
 
 
-@query("f08_f13_segment")
+@query("f08_f13_segment", uttered() + f" SELECT source, source_id, sha1(concat_ws('|', source, CAST(source_id AS STRING), CAST(s AS STRING), CAST(e AS STRING))) AS utterance_id, s AS start, e AS \"end\", {SAID_IN_U} AS utterance_text FROM u")
 def f08(spark, d):
     return S.segment(normal(spark, d)).select("source", "source_id", "utterance_id", F.col("span.start").alias("start"), F.col("span.end").alias("end"), "utterance_text")
 
 
-@query("f13_span_faults")
+@query("f13_span_faults", uttered() + " SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_bad, count(*) FILTER (WHERE s = 0 AND e = length(t)) AS n_whole FROM u")
 def f13(spark, d):
     return S.span_faults(S.segment(normal(spark, d)))
 
 
-@query("a05_segment_report")
+@query("a05_segment_report", uttered() + " SELECT count(DISTINCT (source, source_id)) AS n_reviews, count(*) AS n_utterances, count(*) / count(DISTINCT (source, source_id)) AS ratio FROM u")
 def a05(spark, d):
     return prepare.segment_report(S.segment(normal(spark, d)))
 
@@ -117,25 +141,35 @@ def f23(spark, d):
     return table(spark, d, "documents").select("doc_id", T.estimate_tokens(F.col("text"), 0.5).alias("est_tokens"))
 
 
-@query("f25_table_fingerprint")
+PRINTED = """SELECT count(*) AS n_rows, bit_xor(h) AS mixed, CAST(sum(h) AS VARCHAR) AS summed FROM (SELECT CAST(concat('0x', substr(md5(concat_ws('|', coalesce(concat('=', CAST(doc_id AS STRING)), ''), coalesce('=' || text, ''),
+    coalesce('=' || lang, ''), coalesce('=' || source, ''), coalesce('=' || CAST(n_chars AS STRING), ''))), 1, 15)) AS BIGINT) AS h FROM documents) x"""
+
+
+@query("f25_table_fingerprint", PRINTED)
 def f25(spark, d):
     return checks.table_fingerprint(table(spark, d, "documents"))
 
 
-@query("f25_frozen", "SELECT true AS unchanged")
+@query("f25_frozen", f"WITH a AS ({PRINTED}), b AS ({PRINTED} WHERE h <> (SELECT CAST(concat('0x', substr(md5(concat_ws('|', '=0', '=' || text, '=' || lang, '=' || source, '=' || CAST(n_chars AS STRING))), 1, 15)) AS BIGINT) FROM documents WHERE doc_id = 0)) SELECT 'same rows' AS given, a = a AS unchanged FROM a UNION ALL SELECT 'one row less', a = b FROM a, b")
 def f25_frozen(spark, d):
     rows = table(spark, d, "documents")
-    return checks.frozen(rows, checks.table_fingerprint(rows.repartition(7)))
+    then = checks.table_fingerprint(rows.repartition(7))
+    given = {"same rows": rows, "one row less": rows.where("doc_id <> 0")}
+    same, less = (checks.frozen(df, then).select(F.lit(name).alias("given"), "unchanged") for name, df in given.items())
+    return same.unionByName(less)
+
+
+PLANTED = "SELECT doc_id, CASE WHEN doc_id % 50 = 0 THEN concat(text, chr(10), 'todo: the «baseline» of ', source, chr(10), '  Lorem ipsum, a Placeholder, tbd??  ', chr(10), 'what ?? XXX xxx fixme', chr(10), 'a??b and c???') ELSE text END AS text FROM {documents}"
 
 
 @query(
     "q05_placeholder_findings",
-    r"""WITH lines AS (SELECT doc_id AS file, unnest(string_split(text, chr(10))) AS t, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line FROM documents),
-    p AS (SELECT * FROM (VALUES ('«[^»]*»', 'guillemet placeholder'), ('\bTODO\b', 'TODO'), ('\bXXX\b', 'XXX'), ('\bTBD\b', 'TBD'), ('\bFIXME\b', 'FIXME'), ('\?\?+', 'question marks'), ('(?i)\bplaceholder\b', 'placeholder'), ('(?i)lorem ipsum', 'lorem ipsum')) v(pattern, kind))
-    SELECT file, CAST(line AS INT) AS line, kind, substr(t, 1, 200) AS text FROM lines JOIN p ON regexp_matches(t, pattern)""",
+    rf"""WITH d AS ({PLANTED.format(documents="documents")}), lines AS (SELECT doc_id AS file, unnest(string_split(text, chr(10))) AS t, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line FROM d),
+    p AS (SELECT * FROM (VALUES ('«[^»]*»', 'guillemet placeholder'), ('(?i)\bTODO\b', 'TODO marker'), ('\bXXX\b', 'XXX marker'), ('(?i)\bTBD\b', 'TBD marker'), ('(?i)\bFIXME\b', 'FIXME marker'), ('(^|[^\p{{L}}\p{{M}}\p{{N}}_?])\?{{2,}}($|[^\p{{L}}\p{{M}}\p{{N}}_?])', 'bare question-mark placeholder'), ('(?i)\bplaceholder\b', 'the word placeholder'), ('(?i)\blorem ipsum\b', 'lorem ipsum')) v(pattern, kind))
+    SELECT file, CAST(line AS INT) AS line, kind, substr({TRIM % 't'}, 1, 200) AS text FROM (SELECT * FROM lines WHERE regexp_matches(t, '(?i)«|\?\?|todo|xxx|tbd|fixme|placeholder|lorem')) l JOIN p ON regexp_matches(t, pattern)""",
 )
 def q05(spark, d):
-    return checks.placeholder_findings(table(spark, d, "documents"), "doc_id")
+    return checks.placeholder_findings(spark.sql(PLANTED, documents=table(spark, d, "documents")), "doc_id")
 
 
 # ---- sources -----------------------------------------------------------------------------------
@@ -186,7 +220,7 @@ def s12(spark, d):
     item = F.struct("turn", F.concat_ws("-", "conv_id", "turn").alias("id"), "text", F.col("role").alias("author"))
     threads = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(item)).alias("t"))
     slim = F.transform("t", lambda x: F.struct(x["id"].alias("id"), x["text"].alias("text"), x["author"].alias("author")))
-    payload = F.to_json(F.struct(slim[0].alias("top"), F.slice(slim, 2, 100000).alias("replies")))
+    payload = F.to_json(F.struct(slim[0].alias("top"), F.slice(slim, F.lit(2), F.size(slim)).alias("replies")))
     return shapes.flatten_threads(threads.select(F.col("conv_id").alias("thread_id"), payload.alias("payload")))
 
 
@@ -276,9 +310,11 @@ def a02(spark, d):
     return prepare.repeat_count(near(spark, d))
 
 
+ONE_BRAND = "regexp_matches(t, 'German|und') AND NOT brand = 'de'"
+TWO_BRANDS = "(regexp_matches(t, 'German|und') OR regexp_matches(t, 'the')) AND NOT (brand = 'de' AND regexp_matches(t, 'German|und') OR brand = 'en' AND regexp_matches(t, 'the'))"
 REASON = f"""CASE WHEN {TRIM % 't'} = '' THEN 'no_text' WHEN k < 3 THEN 'too_short' WHEN w >= 10 AND near_dup_of IS NOT NULL THEN 'near_dup'
     WHEN regexp_matches(t, '(?i)https?://|www\\.') AND k < 15 THEN 'spam' WHEN w >= 10 AND n_ids > 5 THEN 'spam'
-    WHEN source = 'forum' AND regexp_matches(t, 'German|und') AND NOT (brand = 'de' AND regexp_matches(t, 'German|und') OR brand = 'en' AND regexp_matches(t, 'the')) THEN 'wrong_brand' END"""
+    WHEN regexp_matches(t, '{T.GENERIC}') OR regexp_matches(t, '{T.CRASH}') THEN 'not_shopping' WHEN source = 'forum' AND @BRANDS@ THEN 'wrong_brand' END"""
 SCORED = NEAR + f""", s AS (SELECT *, {REASON} AS reason FROM (SELECT n.*, raw_text AS t, CASE WHEN n_ids > 5 THEN n_ids ELSE 0 END AS n_ids,
     {WORDS % 'raw_text'} AS w, len({TOKENS % 'raw_text'}) AS k FROM n JOIN c USING (text_sha1)) x)"""
 BRANDS = {"de": "German|und", "en": "the"}
@@ -289,12 +325,12 @@ def scored(spark, d):
     return rows.withColumn("reason", prepare.drop_reason(BRANDS))
 
 
-@query("p03_drop_reason")
+@query("p03_drop_reason", SCORED.replace("@BRANDS@", TWO_BRANDS) + " SELECT source_id, reason FROM s")
 def p03(spark, d):
     return scored(spark, d).select("source_id", "reason")
 
 
-@query("p03_drop_reason_single_brand", SCORED.replace(" OR brand = 'en' AND regexp_matches(t, 'the')", "") + " SELECT source_id, reason FROM s")
+@query("p03_drop_reason_single_brand", SCORED.replace("@BRANDS@", ONE_BRAND) + " SELECT source_id, reason FROM s")
 def p03_single(spark, d):
     rows = prepare.with_repeats(near(spark, d)).withColumns({"utterance_text": F.col("raw_text"), "brand_fixed": F.col("source") != "forum"})
     return rows.select("source_id", prepare.drop_reason({"de": "German|und"}).alias("reason"))
@@ -305,7 +341,7 @@ def j13(spark, d):
     return prepare.with_repeats(near(spark, d), 1).select("source_id", "n_ids")
 
 
-@query("p04_filter_utterances")
+@query("p04_filter_utterances", SCORED.replace("@BRANDS@", TWO_BRANDS) + " SELECT source_id, coalesce(reason, 'kept') AS side, CASE WHEN reason IS NULL THEN '' ELSE substr(t, 1, 280) END AS text FROM s")
 def p04(spark, d):
     kept, dropped = prepare.filter_utterances(scored(spark, d).drop("reason"), prepare.drop_reason(BRANDS))
     return kept.select("source_id", F.lit("kept").alias("side"), F.lit("").alias("text")).unionByName(dropped.select("source_id", F.col("reason").alias("side"), F.col("utterance_text").alias("text")))
@@ -318,7 +354,7 @@ def a03(spark, d):
     return out.withColumn("n_en", F.coalesce(F.element_at("languages", "en"), F.lit(0))).drop("languages")
 
 
-DROPS = SCORED.replace(" OR brand = 'en' AND regexp_matches(t, 'the')", "") + """, g AS (SELECT source, reason, count(*) AS n FROM s GROUP BY source, reason),
+DROPS = SCORED.replace("@BRANDS@", ONE_BRAND) + """, g AS (SELECT source, reason, count(*) AS n FROM s GROUP BY source, reason),
     r AS (SELECT source, sum(n) AS n_rows FROM g GROUP BY source UNION ALL SELECT NULL, sum(n) FROM g),
     k AS (SELECT source, reason, sum(n) AS n_dropped FROM g WHERE reason IS NOT NULL GROUP BY GROUPING SETS ((source, reason), (source), (reason), ()))
     SELECT k.source, k.reason, CAST(n_dropped AS BIGINT) AS n_dropped, n_dropped / n_rows AS rate FROM k JOIN r ON k.source IS NOT DISTINCT FROM r.source"""

@@ -24,6 +24,24 @@ SOURCES = [("play", True, True, True, "app_store_review"), ("appstore", True, Tr
 AREA_COLUMNS = "opportunity_area string, name string, tree_node string, detectability string, addressability int, proximity_weight double"
 SOURCE_COLUMNS = "source string, denominator_eligible boolean, brand_established_by_surface boolean, surface_implies_post_purchase boolean, structurally_matched_group string"
 
+#: Rows for what the shared documents lack: links, empty praise, failures, two scripts, open accents, long runs, marks that
+#: cannot be seen, pieces that go on with the one before.
+SAID = [
+    (-1, "Bahut confuse hu, lu ya nahi SIZE ka issue hai", "en", "play"),
+    (-2, "Buy cheap shoes today at https://shop.example and www.example", "en", "play"),
+    (-3, "thank you app", "en", "appstore"),
+    (-4, "App not working!!", "en", "play"),
+    (-5, '\u092f\u0939 \u092c\u0939\u0941\u0924 \u0905\u091a\u094d\u091b\u093e \u0939\u0948 \u0914\u0930 \u092e\u0941\u091d\u0947 \u092a\u0938\u0902\u0926 \u0939\u0948', "hi", "play"),
+    (-6, 'Cafe\u0301 tre\u0300s bon, mais u\u0308ber alles reste a\u0300 faire chez vous', "fr", "forum"),
+    (-7, "sooooooo bad, I waited!!!! for weeks and weeeeks", "en", "forum"),
+    (-8, 'zero\u200bwidth and \ufeffmarks \u2060stay   out\t\tof texts', "en", "appstore"),
+    (-9, "Delivery was late and the fabric felt cheap", "en", "forum"),
+    (-10, "The dress looked lovely in the picture. The cloth felt thin when it came home. But the return was quick and easy.", "en", "play"),
+    (-11, "I ordered two sizes last week from here. It came late and torn. They refused to take it back at all! Why?? Nobody says.", "en", "forum"),
+    (-12, 'One parcel came. \U0001f600\U0001f600 The other one did not come...\r\nWhich is sad for all of us! \n\n\n\nNo answer since then', "en", "play"),
+    (-13, "   ", "en", "play"),
+]
+
 VIEWS = {
     "labelled": """
         SELECT d.doc_id AS utterance_id, d.text AS utterance_text, d.lang AS brand,
@@ -39,7 +57,8 @@ VIEWS = {
         SELECT d.doc_id AS source_id, d.text AS raw_text, d.lang AS brand,
                CASE CAST(substr(d.source, 4) AS INT) % 3 WHEN 0 THEN 'play' WHEN 1 THEN 'appstore' ELSE 'forum' END AS source,
                1000000 - d.doc_id AS captured_at, CASE WHEN d.doc_id % 20 = 0 THEN NULL ELSE d.doc_id END AS posted_at
-        FROM {documents} d""",
+        FROM {documents} d
+        UNION ALL SELECT source_id, raw_text, brand, source, 2000000 - source_id, NULL FROM (VALUES """ + ", ".join(f"({i}, '{t}', '{b}', '{s}')" for i, t, b, s in SAID) + """) AS v(source_id, raw_text, brand, source)""",
     "event_cells": """
         SELECT event_id, event_type AS source, concat('b', CAST(user_id % 3 AS STRING)) AS brand,
                concat('k', CAST(event_id % 5 AS STRING)) AS opportunity_area, 'post_purchase' AS temporal_stance,

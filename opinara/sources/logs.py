@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -13,6 +16,17 @@ ENVELOPE = (
 KEY = ("source", "brand", "source_id")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder's path under the one that all machines share (spark.checkpoint.dir); only a local session may leave
+    that unset, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and the executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="opinara-")
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def read_raw(spark: SparkSession, root: str, source: str | None = None, brand: str | None = None) -> DataFrame:
     """Well-formed rows of ``root/source=*/brand=*/*.jsonl``; the folders prune by source and brand."""
     rows = spark.read.schema(f"{ENVELOPE}, _torn string").option("columnNameOfCorruptRecord", "_torn").json(root)
