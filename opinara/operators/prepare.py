@@ -47,6 +47,15 @@ def with_repeats(df: DataFrame, limit: int = 5) -> DataFrame:
     return df.join(heavy, F.col("text_sha1") == F.col("_h"), "left").withColumn("n_ids", F.coalesce("_n", F.lit(0))).drop("_h", "_n")
 
 
+def mark_copies(df: DataFrame, limit: int = 5, order: tuple[str, ...] = ("captured_at", "source", "brand", "source_id")) -> DataFrame:
+    """``near_dup_of`` and ``n_ids`` as by ``mark_near_duplicates`` and ``with_repeats``, from one aggregate and one join."""
+    key = F.concat_ws(":", "source", "source_id")
+    each = df.groupBy("text_sha1").agg(F.min(F.struct(*order)).alias("_o"), F.count("*").alias("_n"), F.count_distinct("source_id").alias("_ids")).where("_n > 1")
+    each = each.select(F.col("text_sha1").alias("_h"), F.concat_ws(":", "_o.source", F.col("_o.source_id").cast("string")).alias("_first"), "_ids")
+    both = df.join(each, F.col("text_sha1") == F.col("_h"), "left")
+    return both.withColumns({"near_dup_of": F.when(F.col("_first") != key, F.col("_first")), "n_ids": F.when(F.col("_ids") > limit, F.col("_ids")).otherwise(0)}).drop("_h", "_first", "_ids")
+
+
 def drop_reason(brands: dict[str, str] | None = None, *, text: str = "utterance_text", min_tokens: int = 3, min_words: int = 10, repeat_limit: int = 5, url_tokens: int = 15) -> Column:
     """The first rule that a row of ``text, source, brand, source_id, near_dup_of, n_ids[, brand_fixed]`` breaks; null: keep.
 

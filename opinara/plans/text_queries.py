@@ -300,6 +300,10 @@ def near(spark, d):
     return prepare.mark_near_duplicates(said(spark, d).withColumn("text_sha1", T.text_hash(F.col("raw_text"))))
 
 
+def copies(spark, d):
+    return prepare.mark_copies(said(spark, d).withColumn("text_sha1", T.text_hash(F.col("raw_text"))))
+
+
 @query("a01_near_duplicates", NEAR + " SELECT source_id, near_dup_of FROM n")
 def a01(spark, d):
     return near(spark, d).select("source_id", "near_dup_of")
@@ -321,7 +325,7 @@ BRANDS = {"de": "German|und", "en": "the"}
 
 
 def scored(spark, d):
-    rows = prepare.with_repeats(near(spark, d)).withColumns({"utterance_text": F.col("raw_text"), "brand_fixed": F.col("source") != "forum"})
+    rows = copies(spark, d).withColumns({"utterance_text": F.col("raw_text"), "brand_fixed": F.col("source") != "forum"})
     return rows.withColumn("reason", prepare.drop_reason(BRANDS))
 
 
@@ -332,7 +336,7 @@ def p03(spark, d):
 
 @query("p03_drop_reason_single_brand", SCORED.replace("@BRANDS@", ONE_BRAND) + " SELECT source_id, reason FROM s")
 def p03_single(spark, d):
-    rows = prepare.with_repeats(near(spark, d)).withColumns({"utterance_text": F.col("raw_text"), "brand_fixed": F.col("source") != "forum"})
+    rows = copies(spark, d).withColumns({"utterance_text": F.col("raw_text"), "brand_fixed": F.col("source") != "forum"})
     return rows.select("source_id", prepare.drop_reason({"de": "German|und"}).alias("reason"))
 
 
@@ -362,7 +366,7 @@ DROPS = SCORED.replace("@BRANDS@", ONE_BRAND) + """, g AS (SELECT source, reason
 
 @query("a04_drop_report", DROPS)
 def a04(spark, d):
-    rows = prepare.with_repeats(near(spark, d)).withColumns({"utterance_text": F.col("raw_text"), "brand_fixed": F.col("source") != "forum"})
+    rows = copies(spark, d).withColumns({"utterance_text": F.col("raw_text"), "brand_fixed": F.col("source") != "forum"})
     return prepare.drop_report(rows.withColumn("reason", prepare.drop_reason({"de": "German|und"})))
 
 
