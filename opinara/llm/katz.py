@@ -39,21 +39,21 @@ HOT = 8
 
 @dataclass(frozen=True)
 class Discounts:
-    """Factors for counts 1..K, then 1: Katz's if Good-Turing's are proper, else those of taking off half a count."""
+    """Factors for counts 1..K, and up to which count ``k`` they discount: Katz's by Good-Turing for the greatest k up to K
+    for which all are proper, between 0 and 1; if none is, as for a few texts, those of taking off half a count."""
 
     d: tuple[float, ...]
+    k: int
 
     @staticmethod
     def of(n: list[int]) -> Discounts:
         """``n[r - 1]``: how many items were seen r times, for r up to K + 1."""
-        half = tuple((r - 0.5) / r for r in range(1, K + 1))
-        if min(n[: K + 1]) <= 0:
-            return Discounts(half)
-        over = (K + 1) * n[K] / n[0]
-        if over >= 1:
-            return Discounts(half)
-        d = tuple(((r + 1) * n[r] / (r * n[r - 1]) - over) / (1 - over) for r in range(1, K + 1))
-        return Discounts(d if all(0 < x < 1 for x in d) else half)
+        for k in range(K, 0, -1):
+            if min(n[: k + 1]) > 0 and (over := (k + 1) * n[k] / n[0]) < 1:
+                d = tuple(((r + 1) * n[r] / (r * n[r - 1]) - over) / (1 - over) for r in range(1, k + 1))
+                if all(0 < x < 1 for x in d):
+                    return Discounts((*d, *(1.0,) * (K - k)), k)
+        return Discounts(tuple((r - 0.5) / r for r in range(1, K + 1)), K)
 
     def __call__(self, c: np.ndarray) -> np.ndarray:
         """d(c) * c as doubles."""
@@ -135,8 +135,9 @@ def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
     return (((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
 
 
-def _by(df: DataFrame, key: str, run, schema: str = _ROWS) -> DataFrame:
-    """``run`` over the rows (lists of dicts) of each key after one shuffle; rows of a key are whole in one task."""
+def _by(df: DataFrame, key: str, parts: int, run, schema: str = _ROWS) -> DataFrame:
+    """``run`` over the rows (lists of dicts) of each key after one shuffle; rows of a key are whole in one task. A bucket is
+    a partition of its own."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[dict] = []
@@ -149,7 +150,8 @@ def _by(df: DataFrame, key: str, run, schema: str = _ROWS) -> DataFrame:
         if rows:
             yield from run(rows)
 
-    return df.repartition(key).sortWithinPartitions(key).mapInArrow(walk, schema)
+    dealt = df.repartitionById(parts, F.col(key)) if key == "bucket" else df.repartition(parts, key)
+    return dealt.sortWithinPartitions(key).mapInArrow(walk, schema)
 
 
 STATS = "*stats"
@@ -218,7 +220,7 @@ def _load(uri: str, rows: list[dict]) -> tuple[dict[str, np.ndarray], np.ndarray
 
 
 def _ask(uri: str, hot: np.ndarray, buckets: int):
-    """A chunk's distinct pairs with known contexts: context, 48 bits of the word, training count, the word's count."""
+    """A chunk's distinct pairs with known contexts: context, word, training count, the word's count."""
 
     def run(rows: list[dict]) -> Iterator[pa.RecordBatch]:
         chunk, count = _load(uri, rows)
@@ -231,8 +233,8 @@ def _ask(uri: str, hot: np.ndarray, buckets: int):
             lo, hi = edge[b], edge[b + 1]
             if lo < hi:
                 s = slice(*np.searchsorted(start, (lo, hi)))
-                word = (chunk["word"][w[lo:hi]] >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-                parts = [names[start[s]].tobytes(), length[s].astype(np.uint32).tobytes(), word.tobytes(), n[lo:hi].tobytes(), count[w[lo:hi]].tobytes()]
+                times = n[lo:hi]
+                parts = [names[start[s]].tobytes(), length[s].astype(np.uint32).tobytes(), chunk["word"][w[lo:hi]].tobytes(), np.minimum(times, 255).astype(np.uint8).tobytes(), count[w[lo:hi]].tobytes(), times[times >= 255].tobytes()]
                 yield pa.RecordBatch.from_pylist([{"bucket": b, "chunk": rows[0]["chunk"], "key": np.array([s.stop - s.start, hi - lo], np.int64).tobytes(), "value": b"".join(parts)}], _ROW)
 
     return run
@@ -241,14 +243,14 @@ def _ask(uri: str, hot: np.ndarray, buckets: int):
 def _read_ask(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     contexts, pairs = np.frombuffer(row["key"], np.int64)
     data, at, out = row["value"], 0, []
-    for kind, n in ((np.uint64, contexts), (np.uint32, contexts), (np.uint8, 6 * pairs), (np.uint32, pairs), (np.uint32, pairs)):
+    for kind, n in ((np.uint64, contexts), (np.uint32, contexts), (np.uint64, pairs), (np.uint8, pairs), (np.uint32, pairs)):
         size = int(n) * np.dtype(kind).itemsize
         out.append(np.frombuffer(data, kind, int(n), at))
         at += size
     name, length, word, n, c = out
-    wide = np.zeros((int(pairs), 8), np.uint8)
-    wide[:, :6] = word.reshape(-1, 6)
-    return name, length, wide.view("<u8").ravel(), n, c
+    n = n.astype(np.uint32)
+    n[n == 255] = np.frombuffer(data, np.uint32, -1, at)
+    return name, length, word, n, c
 
 
 _MADE = np.dtype([("low", "<u4", (K,)), ("more", "<f8"), ("below", "<f8")])  # of a context: see the module's text
@@ -276,16 +278,16 @@ def _pair_answers(words: Words, hot: np.ndarray, keep: str | None):
             made["low"][:, r - 1] = np.bincount(of, total == r, len(context))
         made["more"] = np.bincount(of, np.where(total > K, total, 0), len(context))
         made["below"] = np.bincount(of, np.where(total > 0, below, 0), len(context))
-        some_low, end = made["low"].any(axis=1), 0
+        least, end = np.where(made["low"].any(axis=1), (made["low"] > 0).argmax(axis=1) + 1, 255).astype(np.uint8), 0
         for r, a in zip(rows, asked, strict=True):
             begin, end = end, end + len(a[2])
             got = total[group[begin:end]]
-            # with the counts go whether a context has pairs seen K times or less, and its sums, the latter only to contexts that have a pair
-            # not seen in training
+            # with the counts go the least count that a context's pairs have, if it is K or less, and its sums, the latter
+            # only to contexts that have a pair not seen in training
             unseen = np.logical_or.reduceat(got == 0, np.append(0, np.cumsum(a[1].astype(np.int64))[:-1]))
             sums = made[np.searchsorted(context, a[0][unseen])]
             small = np.minimum(got, 255).astype(np.uint8)
-            yield pa.RecordBatch.from_pylist([{"bucket": r["bucket"], "chunk": r["chunk"], "key": np.array([len(got), unseen.sum()], np.int64).tobytes(), "value": small.tobytes() + got[got >= 255].tobytes() + sums.tobytes() + np.packbits(unseen).tobytes() + np.packbits(some_low[np.searchsorted(context, a[0])]).tobytes()}], _ROW)
+            yield pa.RecordBatch.from_pylist([{"bucket": r["bucket"], "chunk": r["chunk"], "key": np.array([len(got), unseen.sum()], np.int64).tobytes(), "value": small.tobytes() + got[got >= 255].tobytes() + sums.tobytes() + np.packbits(unseen).tobytes() + least[np.searchsorted(context, a[0])].tobytes()}], _ROW)
         seen = total[total > 0]
         yield pa.RecordBatch.from_pylist([_row(rows[0]["bucket"], STATS, np.empty(0), np.bincount(np.minimum(seen, K + 2), minlength=K + 3)[1 : K + 2].astype(np.int64))], _ROW)
         mine = np.isin(context, hot)
@@ -295,7 +297,7 @@ def _pair_answers(words: Words, hot: np.ndarray, keep: str | None):
     return run
 
 
-_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, words_k int, pairs_k int"
 
 
 def _score(uri: str, words: Words, pairs: Discounts, hot: np.ndarray, hot_sums: np.ndarray, buckets: int):
@@ -317,12 +319,12 @@ def _score(uri: str, words: Words, pairs: Discounts, hot: np.ndarray, hot_sums:
             own = v[lo : lo + n]
             context = own[np.append(True, own[1:] != own[:-1])]
             at = n + 4 * int(large.sum())
-            bits = np.unpackbits(np.frombuffer(data, np.uint8, -1, at + m * _MADE.itemsize)).astype(bool)
-            sums[context[bits[: len(context)]]] = np.frombuffer(data, _MADE, m, at)
-            some_low[context] = bits[(len(context) + 7) // 8 * 8 :][: len(context)]
+            bits = np.frombuffer(data, np.uint8, (len(context) + 7) // 8, at + m * _MADE.itemsize)
+            sums[context[np.unpackbits(bits, count=len(context)).astype(bool)]] = np.frombuffer(data, _MADE, m, at)
+            some_low[context] = np.frombuffer(data, np.uint8, len(context), at + m * _MADE.itemsize + len(bits)) <= pairs.k
         here = np.isin(names, hot)
         sums[here] = hot_sums[np.searchsorted(hot, names[here])]
-        some_low[here] = sums["low"][here].any(axis=1)
+        some_low[here] = sums["low"][here][:, : pairs.k].any(axis=1)
         # a context whose pairs all are frequent gives nothing up by discounts, so one more token stands for the unseen
         total = np.append(count, _starts(chunk, count)) + np.where(some_low, 0.0, 1.0)
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -336,6 +338,7 @@ def _score(uri: str, words: Words, pairs: Discounts, hot: np.ndarray, hot_sums:
             "doc_id": pa.array(chunk["doc_id"], mask=~chunk["known_id"]), "held_out": pa.array(~chunk["train"]), "n_tokens": pa.array(chunk["size"]),
             "n_known": pa.array(np.add.reduceat((count > 0)[token].astype(np.int64), at)), "train_tokens": pa.array(np.full(len(at), words.tokens)),
             "base_score": pa.array(np.add.reduceat(base, at)), "score": pa.array(np.add.reduceat(np.log10(p), at)),
+            "words_k": pa.array(np.full(len(at), words.discounts.k, np.int32)), "pairs_k": pa.array(np.full(len(at), pairs.k, np.int32)),
         }
         yield pa.record_batch(out)
 
@@ -351,20 +354,36 @@ def _sum(rows: list, kind: type = np.int64) -> np.ndarray:
     return np.sum([np.frombuffer(bytes(r["value"]), kind) for r in rows], axis=0)
 
 
+def _hot_sums(pair_answers: DataFrame) -> DataFrame:
+    """Each hot context with its sums over all partitions of the pair table."""
+    names = [*(f"low{r}" for r in range(1, K + 1)), "more", "below"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                made = np.frombuffer(row["value"], _MADE)
+                parts = [*made["low"].astype(np.float64).T, made["more"], made["below"]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(row["key"], np.int64)), *map(pa.array, parts)], names=["key", *names])
+
+    rows = pair_answers.where(F.col("chunk") == "*hot").select("key", "value")
+    return rows.mapInArrow(run, "key long, " + ", ".join(f"{n} double" for n in names)).groupBy("key").agg(*(F.sum(n).alias(n) for n in names))
+
+
 def katz_scores(docs: DataFrame, *, buckets: int | None = None, keep: str | None = None) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``, for each row.
 
     Learns from rows whose crc32(doc_id as text) mod 5 is not 1 and scores all. Words are lower-cased (A-Z) and told apart
     by 64-bit hashes. ``base_score``: sum of log10((c + 0.5) / (N + 0.5 (V + 1))); ``score``: the model's log10
-    probability. A null text is empty (one token, the end); a null doc_id counts as ''; repeated rows are texts of their
+    probability; ``words_k`` and ``pairs_k``: up to which count the discounts go. Very long texts are scored whole. A null text is empty (one token, the end); a null doc_id counts as ''; repeated rows are texts of their
     own; with no training row all words are unknown; an empty table gives no rows; other columns are ignored. ``buckets``
     is the number of table partitions and changes no result. With ``keep`` the pair table is stored in that folder too.
     """
     spark: SparkSession = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     uri = shared_dir(spark)
-    buckets = buckets or max(16, min(4096, 2 * slim.rdd.getNumPartitions()))
-    answers = cut(_by(_tokenise(slim, uri, buckets), "bucket", _answers))
+    parts = 2 * slim.rdd.getNumPartitions()
+    buckets = buckets or max(16, 2 * parts)  # they follow the input's size
+    answers = cut(_by(_tokenise(slim, uri, buckets), "bucket", buckets, _answers))
     stats = answers.where(F.col("chunk") == STATS).select("value").collect()  # a row of a few numbers for each bucket
     if not stats:
         return spark.createDataFrame([], _SCORES)
@@ -374,17 +393,15 @@ def katz_scores(docs: DataFrame, *, buckets: int | None = None, keep: str | None
     hot = np.concatenate([[START], *(np.frombuffer(bytes(r["key"]), np.uint64)[np.frombuffer(bytes(r["value"]), np.int64) * HOT * buckets > tokens] for r in large)]).astype(np.uint64)
     hot = np.unique(hot)  # no more than HOT * buckets and one
     chunks = answers.where(F.col("chunk").startswith("chunk"))
-    pair_answers = cut(_by(_by(chunks, "chunk", _ask(uri, hot, buckets)), "bucket", _pair_answers(words, hot, keep)))
+    pair_answers = cut(_by(_by(chunks, "chunk", parts, _ask(uri, hot, buckets)), "bucket", buckets, _pair_answers(words, hot, keep)))
     pair_stats = pair_answers.where(F.col("chunk") == STATS).select("value").collect()
     pairs = Discounts.of([int(x) for x in _sum(pair_stats)] if pair_stats else [0] * (K + 1))
     hot_sums = np.zeros(len(hot), _MADE)
-    for r in pair_answers.where(F.col("chunk") == "*hot").select("key", "value").toLocalIterator():
-        at = np.searchsorted(hot, np.frombuffer(bytes(r["key"]), np.uint64))
-        made = np.frombuffer(bytes(r["value"]), _MADE)
-        for field in _MADE.names:
-            hot_sums[field][at] += made[field]
+    for key, *sums in _hot_sums(pair_answers).collect():  # a row for each hot context
+        at = np.searchsorted(hot, np.uint64(key % 2**64))
+        hot_sums["low"][at], hot_sums["more"][at], hot_sums["below"][at] = sums[:K], sums[K], sums[K + 1]
     rows = chunks.union(pair_answers.where(F.col("chunk").startswith("chunk")))
-    return _by(rows, "chunk", _score(uri, words, pairs, hot, hot_sums, buckets), schema=_SCORES)
+    return _by(rows, "chunk", parts, _score(uri, words, pairs, hot, hot_sums, buckets), schema=_SCORES)
 
 
 def _words(tokens: int, types: int, n: list[int]) -> Words:

@@ -239,6 +239,18 @@ def words(t):
     return re.findall(r"[^\x20\x09-\x0d]+", (t or "").translate({i: i + 32 for i in range(65, 91)})) + [None]
 
 
+def good_turing(seen):
+    """The factor of each discounted count: r* / r by Good-Turing, renormalised as Katz does for counts up to k."""
+    n = collections.Counter(seen.values())
+    for k in (5, 4, 3, 2, 1):
+        if all(n[r] for r in range(1, k + 2)) and (k + 1) * n[k + 1] < n[1]:
+            rest = (k + 1) * n[k + 1] / n[1]
+            d = {r: ((r + 1) * n[r + 1] / n[r] / r - rest) / (1 - rest) for r in range(1, k + 1)}
+            if all(0 < x < 1 for x in d.values()):
+                return d
+    return {r: (r - 0.5) / r for r in range(1, 6)}
+
+
 def plain_katz(rows):
     trained = lambda i: zlib.crc32(str(i).encode()) % 5 != 1
     uni, pair, context = collections.Counter(), collections.Counter(), collections.Counter()
@@ -248,11 +260,10 @@ def plain_katz(rows):
             uni.update(w)
             pair.update(zip(["<s>", *w[:-1]], w, strict=True))
             context.update(["<s>", *w[:-1]])
-    found = lambda c: katz.Discounts.of([sum(x == r for x in c.values()) for r in range(1, katz.K + 2)]).d
-    du, dp = found(uni), found(pair)
-    cut = lambda c, d: c * d[c - 1] if c <= katz.K else c
+    du, dp = good_turing(uni), good_turing(pair)
+    cut = lambda c, d: c * d.get(c, 1.0)
     n, types = sum(uni.values()), len(uni)
-    total = n + (not any(c <= katz.K for c in uni.values()))
+    total = n + (not any(c in du for c in uni.values()))
     rest = 1 - sum(cut(c, du) for c in uni.values()) / total
     p1 = lambda w: cut(uni[w], du) / total if uni[w] else rest
     after = collections.defaultdict(dict)
@@ -262,7 +273,7 @@ def plain_katz(rows):
     def p(v, w):
         if not context[v]:
             return p1(w)
-        t = context[v] + (not any(c <= katz.K for c in after[v].values()))
+        t = context[v] + (not any(c in dp for c in after[v].values()))
         if w in after[v]:
             return cut(after[v][w], dp) / t
         return (1 - sum(cut(c, dp) for c in after[v].values()) / t) / (1 - sum(p1(x) for x in after[v])) * p1(w)
@@ -284,7 +295,7 @@ def test_katz_equals_a_plain_twin_and_sums_to_one(spark, monkeypatch, buckets):
     want, p, uni = plain_katz(rows)
     assert got.keys() == want.keys()
     for i in want:
-        assert got[i][:4] == want[i][:4] and got[i][4:] == pytest.approx(want[i][4:], rel=1e-9)
+        assert got[i][:4] == want[i][:4] and got[i][4:6] == pytest.approx(want[i][4:], rel=1e-9)
     for v in ("<s>", "w1", "ever", "nowhere"):
         assert sum(p(v, w) for w in uni) + p(v, "unknown") == pytest.approx(1.0)
 
@@ -301,6 +312,16 @@ def test_model_is_better_than_its_base_on_held_out_text(spark, data):
     assert rows[0] > rows[1]
 
 
+def test_discounts_are_those_of_good_turing(spark, data):
+    assert katz.Discounts.of([1000, 400, 200, 190, 260, 5]).k == 2 and katz.Discounts.of([9, 0, 0, 0, 0, 0]).d[0] == 0.5
+    for n in ([1000, 400, 200, 190, 260, 5], [1000, 400, 220, 140, 100, 75], [9, 9, 9, 9, 9, 9]):
+        seen = collections.Counter({f"{r} {i}": r for r, m in enumerate(n, 1) for i in range(m)})
+        made = katz.Discounts.of(n)
+        assert dict(enumerate(made.d[: made.k], 1)) == pytest.approx(good_turing(seen))
+    row = katz.katz_scores(spark.read.parquet(f"{data}/documents.parquet")).select("words_k", "pairs_k").first()
+    assert min(row) >= 1
+
+
 # ---- pages ----------------------------------------------------------------------------------------------
 
 
