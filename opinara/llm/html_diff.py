@@ -21,6 +21,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,28 +30,47 @@ from pyspark.sql import functions as F
 BLOCKS = frozenset("address article aside blockquote body br caption dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
 NEVER = frozenset("aside button canvas datalist dialog footer form head iframe nav noscript object script select style svg template textarea".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-MARKS = frozenset("ad ads advert advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo related replies share sharing sidebar social sponsor sponsored subscribe topbar widget".split())
+MARKS = frozenset("ad ads advert advertisement breadcrumb breadcrumbs consent cookie cookies disqus footer masthead modal nav navbar navigation newsletter pagination popup sidebar sponsored subscribe topbar widget".split())
+#: Words that articles use too: they count alone or as part of a name (social-links), not beside other classes.
+WEAK_MARKS = frozenset("banner comment comments menu notice notices promo related replies share sharing social sponsor".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 #: Pages a range has, about, and the most ranges.
 PART, RANGES = 4096, 10_000
+#: Cells of an alignment's table that is held whole.
+SMALL = 10_000
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "textarea", "title", "noscript", "iframe", "template")}
-_NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _WORD = re.compile(r"[a-z0-9]+")
 
 
-def _left_out(tag: str, attributes: str, inside: bool) -> bool:
+def _attributes(text: str) -> dict[str, str]:
+    """The attributes of a start tag; of a repeated one the first counts. Values are in lower case."""
+    out: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(text) if text.strip(" /") else ():
+        out.setdefault(name.lower(), entities.unescape(value.strip("\"'")).lower())
+    return out
+
+
+def _marked(value: str) -> bool:
+    """Whether a class or id names what is never the article's."""
+    parts = value.split()
+    for part in parts:
+        ends = _WORD.findall(part)
+        named = {part, *ends[:1], *ends[-1:]}
+        if named & MARKS or named & WEAK_MARKS and (len(parts) == 1 or len(ends) > 1):
+            return True
+    return False
+
+
+def _left_out(tag: str, attributes: dict[str, str], inside: bool) -> bool:
     if tag in NEVER or (tag == "header" and not inside):
         return True
-    if not attributes.strip() or tag in ("html", "body", "article", "main"):
+    if tag in ("html", "body", "article", "main"):
         return False
-    for name, value in _NAMES.findall(attributes):
-        name, value = name.lower(), value.strip("\"'").lower()
-        if name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-        if name in ("class", "id") and MARKS & {w for part in value.split() for w in (part, *_WORD.findall(part)[:1], *_WORD.findall(part)[-1:])}:
-            return True
-    return False
+    if attributes.get("role") in ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true":
+        return True
+    return any(_marked(attributes[name]) for name in ("class", "id") if name in attributes)
 
 
 def page_lines(source: str | None) -> list[tuple[str, bool, bool]]:
@@ -87,14 +107,13 @@ def page_lines(source: str | None) -> list[tuple[str, bool, bool]]:
                     end()
                 while True:
                     t, article, out = stack.pop()
-                    if t in BLOCKS or t in NEVER:
-                        pass
                     if t == tag:
                         break
             elif tag in BLOCKS:
                 end()
             continue
-        left = _left_out(tag, m[3], article)
+        attributes = _attributes(m[3])
+        left = _left_out(tag, attributes, article)
         if tag in BLOCKS or left and not out:
             end()
         if tag == "p" and stack and stack[-1][0] == "p":
@@ -102,7 +121,7 @@ def page_lines(source: str | None) -> list[tuple[str, bool, bool]]:
         if tag in VOID or m[3].endswith("/") and tag not in BLOCKS:
             continue
         stack.append((tag, article, out))
-        article, out = article or (tag in ("article", "main") or "role" in m[3].lower() and bool(re.search(r"role\s*=\s*[\"']?main\b", m[3], re.I))) and not out, out or left
+        article, out = article or (tag in ("article", "main") or attributes.get("role") == "main") and not out, out or left
         if tag in _RAW_END:
             stop = _RAW_END[tag].search(source, at)
             at = stop.start() if stop else n
@@ -119,16 +138,38 @@ def shared(a: list[str], b: list[str]) -> list[bool]:
     while high_a > low and high_b > low and a[high_a - 1] == b[high_b - 1]:
         high_a, high_b = high_a - 1, high_b - 1
         out[high_a] = True
-    both = set(a[low:high_a]) & set(b[low:high_b])  # other lines are in no common subsequence
+    both = {x: i for i, x in enumerate(set(a[low:high_a]) & set(b[low:high_b]))}  # other lines are in no common subsequence
     rows, columns = [i for i in range(low, high_a) if a[i] in both], [j for j in range(low, high_b) if b[j] in both]
-    best = [[0] * (len(columns) + 1) for _ in range(len(rows) + 1)]
-    for i in range(len(rows) - 1, -1, -1):
-        for j in range(len(columns) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[rows[i]] == b[columns[j]] else max(best[i + 1][j], best[i][j + 1])
+    for i in _aligned(np.array([both[a[i]] for i in rows], np.int64), np.array([both[b[j]] for j in columns], np.int64)):
+        out[rows[i]] = True
+    return out
+
+
+def _lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The length of a longest common subsequence of a and each prefix of b, row by row of the table."""
+    row = np.zeros(len(b) + 1, np.int32)
+    for x in a:
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (b == x)))
+    return row
+
+
+def _aligned(a: np.ndarray, b: np.ndarray) -> list[int]:
+    """The places in a of a longest common subsequence with b. A large table is never held: a is halved, b is cut where
+    both halves' lengths add up to the most, and the two parts are aligned by themselves."""
+    if len(a) * len(b) > SMALL and len(a) > 1:
+        half = len(a) // 2
+        cut = int(np.argmax(_lengths(a[:half], b) + _lengths(a[half:][::-1], b[::-1])[::-1]))
+        return _aligned(a[:half], b[:cut]) + [half + i for i in _aligned(a[half:], b[cut:])]
+    if len(a) == 1:
+        return [0] if (b == a[0]).any() else []
+    best, out = [[0] * (len(b) + 1) for _ in range(len(a) + 1)], []
+    for i in range(len(a) - 1, -1, -1):
+        for j in range(len(b) - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
     i = j = 0
-    while i < len(rows) and j < len(columns):
-        if a[rows[i]] == b[columns[j]]:
-            out[rows[i]] = True
+    while i < len(a) and j < len(b):
+        if a[i] == b[j]:
+            out.append(i)
             i, j = i + 1, j + 1
         elif best[i + 1][j] >= best[i][j + 1]:
             i += 1
@@ -199,7 +240,7 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     A null or empty page has the text ''; a null url is a host of its own with an empty path; rows that repeat a url are
     neighbours; one page alone has no pair and keeps all that is not left out; an empty table gives no rows; other columns
-    are ignored. Whole pages are read, whatever their length.
+    are ignored. Whole pages are read, whatever their length; an alignment holds no more than a row of its table for long ones.
     """
     slim = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     edges = _edges(slim)

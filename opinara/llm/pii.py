@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import slices
@@ -144,10 +144,14 @@ def _card(text: str, way: Way) -> str | None:
 
 
 def _phone(text: str, way: Way) -> str | None:
+    """Ten digits behind a country code. One digit repeated is no number; an area code that begins with 2 to 9 gets one
+    that does, too."""
     digits = _digits(text)
-    if not 10 <= len(digits) <= 13:
+    if not 10 <= len(digits) <= 13 or len(set(digits[-10:])) == 1:
         return None
-    return _refill(text, digits[:-10] + _number(digits[-10:], way, "phone"))
+    n, least = int(digits[-10:]), 2 * 10**9
+    n = least + way("phone", 8 * 10**9)(n - least) if n >= least else way("phone-low", least)(n)
+    return _refill(text, f"{digits[:-10]}{n:010d}")
 
 
 def _ip(text: str, way: Way) -> str | None:
@@ -176,26 +180,27 @@ def _day(y: str, m: str, d: str) -> int | None:
     return n if 0 <= n < DAYS else None
 
 
+@functools.cache
+def _class(late: bool) -> tuple[list[int], dict[int, int]]:
+    """The dates with a day above 12, or the others, and their places."""
+    days = [n for n in range(DAYS) if ((FIRST + timedelta(days=n)).day > 12) == late]
+    return days, {n: i for i, n in enumerate(days)}
+
+
 def _date(text: str, way: Way) -> str | None:
+    """A date has one pseudonym in all layouts. Days above 12 stay above 12, as only they show that the month comes first."""
     a, sep, b, _, c = re.split(r"([-/.])", text)
-    pad = lambda n, like: f"{n:02d}"
     if len(a) == 4:
-        read, show = lambda p: _day(p[0], p[1], p[2]), lambda t: (f"{t.year:04d}", f"{t.month:02d}", f"{t.day:02d}")
-        tag = "ymd"
-    elif _day(c, b, a) is not None:
-        read, show = lambda p: _day(p[2], p[1], p[0]), lambda t: (f"{t.day:02d}", f"{t.month:02d}", f"{t.year:04d}")
-        tag = "dmy"
-    else:  # month first can only be told where the day is above 12
-        read, show = lambda p: _day(p[2], p[0], p[1]) if int(p[1]) > 12 else None, lambda t: (f"{t.month:02d}", f"{t.day:02d}", f"{t.year:04d}")
-        tag = "mdy"
-    n = read((a, b, c))
+        n, shape = _day(a, b, c), "{t.year:04d}{s}{t.month:02d}{s}{t.day:02d}"
+    elif (n := _day(c, b, a)) is not None:
+        shape = "{t.day:02d}{s}{t.month:02d}{s}{t.year:04d}"
+    else:
+        n, shape = _day(c, a, b), "{t.month:02d}{s}{t.day:02d}{s}{t.year:04d}"
     if n is None:
         return None
-    while True:  # walk on within the dates that the format can show
-        n = way(tag, DAYS)(n)
-        shown = show(FIRST + timedelta(days=n))
-        if read(shown) is not None:
-            return sep.join(shown)
+    late = (FIRST + timedelta(days=n)).day > 12
+    days, place = _class(late)
+    return shape.format(t=FIRST + timedelta(days=days[way(f"date-{late}", len(days))(place[n])]), s=sep)
 
 
 _FORMATS = {"email": _email, "iban": _iban, "date": _date, "ssn": _ssn, "ip": _ip, "card": _card, "phone": _phone}
@@ -208,7 +213,7 @@ _LOOKS = re.compile(
     | (?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
     | (?P<ip>(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\w))
     | (?P<card>(?<![\w-])(?:\d{13,19}|\d{4}([ -])\d{4}\8\d{4}\8\d{4}|\d{4}([ -])\d{6}\9\d{5})(?![\w-]))
-    | (?P<phone>(?<![\w+])(?:\+?\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-]))
+    | (?P<phone>(?<![\w+])(?:\+?\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])|(?<![\w+])\+\d{11,13}(?![\w-]))
     """.replace(r"([ -])\d{4}\8\d{4}\8", r"(?P<s3>[ -])\d{4}(?P=s3)\d{4}(?P=s3)").replace(r"([ -])\d{6}\9", r"(?P<s4>[ -])\d{6}(?P=s4)"),
     re.VERBOSE,
 )
@@ -248,17 +253,22 @@ def pseudonymiser(key: bytes, reverse: bool = False) -> Callable[[str], tuple[st
     return run
 
 
-#: For tests and the registered query; a real run passes its own secret.
-TEST_KEY = b"opinara test key"
+def session_key(spark: SparkSession) -> bytes:
+    """The key that the session names in spark.opinara.pii.key. Only the synthetic tables of the registered queries may do
+    without: their key is no secret, and whoever has it can go back from pseudonyms to values."""
+    return spark.conf.get("spark.opinara.pii.key", "synthetic tables only").encode()
 
 
-def pseudonymise(docs: DataFrame, *, key: bytes = TEST_KEY, text: str = "text", reverse: bool = False) -> DataFrame:
+def pseudonymise(docs: DataFrame, *, key: bytes, text: str = "text", reverse: bool = False) -> DataFrame:
     """``docs`` with the column ``text`` rewritten and ``n_email ... n_phone`` (long) added; all other columns stay.
 
-    Whole texts are searched. A null text stays null and counts 0; texts without such values come back unchanged; equal
-    rows give equal rows; an empty table gives none. Columns that are named like an added one are replaced by it.
-    ``reverse`` undoes a run with the same key.
+    ``key`` is the secret that the permutations hang on. Whole texts are searched, however long. A null text stays null and
+    counts 0; texts without such values come back unchanged; equal rows give equal rows, so repeated rows stay equal; an
+    empty table gives none. Columns that are named like an added one are replaced by it. The domain of a mail address, the
+    country of an IBAN and country codes of phones stay as they are. ``reverse`` undoes a run with the same key.
     """
+    if not key:
+        raise ValueError("a key is needed")
     names = [f"n_{k}" for k in KINDS]
     rest = [c for c in docs.columns if c not in names]
     held = docs.select(*rest)

@@ -31,9 +31,9 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .pii import KINDS, pseudonymise
+    from .pii import KINDS, pseudonymise, session_key
 
-    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "text", *(f"n_{k}" for k in KINDS))
+    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key=session_key(spark)).select("doc_id", "text", *(f"n_{k}" for k in KINDS))
 
 
 def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -217,7 +217,7 @@ def test_permutation_is_a_cycle():
 
 def test_pseudonyms_keep_format_links_and_clean_text(spark):
     df = frame(spark, PRIVATE + CLEAN + [None] + PRIVATE).withColumn("n_email", F.lit("clash"))
-    got = {r["doc_id"]: r for r in pii.pseudonymise(df).collect()}
+    got = {r["doc_id"]: r for r in pii.pseudonymise(df, key=b"k").collect()}
     n, c = len(PRIVATE), len(CLEAN)
     for i, t in enumerate(PRIVATE):
         made = got[i]["text"]
@@ -227,9 +227,68 @@ def test_pseudonyms_keep_format_links_and_clean_text(spark):
         assert got[n + i]["text"] == t and sum(got[n + i][f"n_{k}"] for k in pii.KINDS) == 0
     assert got[n + c]["text"] is None
     assert all(pii.luhn(x.replace(" ", "")) for x in re.findall(r"\d{4} \d{4} \d{4} \d{4}|\d{16}", got[3]["text"]))
-    back = {r["doc_id"]: r["text"] for r in pii.pseudonymise(pii.pseudonymise(df), reverse=True).collect()}
+    back = {r["doc_id"]: r["text"] for r in pii.pseudonymise(pii.pseudonymise(df, key=b"k"), key=b"k", reverse=True).collect()}
     assert back == {i: t for i, t in enumerate(PRIVATE + CLEAN + [None] + PRIVATE)}
-    assert pii.pseudonymise(df.limit(0)).collect() == []
+    assert pii.pseudonymise(df.limit(0), key=b"k").collect() == []
+    with pytest.raises(ValueError, match="key"):
+        pii.pseudonymise(df, key=b"")
+
+
+def test_a_date_has_one_pseudonym_in_all_layouts():
+    change = pii.pseudonymiser(b"k")
+    seen = set()
+    for day in ("29", "05"):
+        texts = [f"1980-02-{day}", f"1980/02/{day}", f"{day}.02.1980", f"{day}/02/1980"] + ["02/29/1980"] * (day == "29")
+        made = [change(t)[0] for t in texts]
+        dates = {tuple(m[k] for k in ("y", "m", "d")) for x, t in zip(made, texts, strict=True) for m in [re.match(r"(?P<y>\d{4}).(?P<m>\d\d).(?P<d>\d\d)$" if t[:4] == "1980" else r"(?P<m>\d\d).(?P<d>\d\d).(?P<y>\d{4})$" if t == "02/29/1980" else r"(?P<d>\d\d).(?P<m>\d\d).(?P<y>\d{4})$", x)]}
+        assert len(dates) == 1 and not set(made) & set(texts)
+        assert [pii.pseudonymiser(b"k", reverse=True)(x)[0] for x in made] == texts
+        seen |= dates
+    assert len(seen) == 2
+
+
+def test_phones_are_validated():
+    change = pii.pseudonymiser(b"k")
+    for t in ("000-000-0000", "555 555 5555", "id 123-45-678", "2020-13-45"):
+        assert change(t) == (t, {})
+    for t in ("+14155551234", "(415) 555-1234", "+1 (017) 555-7713"):
+        made, n = change(t)
+        digits = re.sub(r"\D", "", made)[-10:]
+        assert n == {"phone": 1} and made != t and (digits[0] in "01") == ("017" in t)
+
+
+def plain_pseudonyms(text, key):
+    """Values found by simple patterns, one after another, each through the permutation step by step on its own."""
+    def cycle(tag, size, x):
+        p = pii.Permutation(key, tag, size)
+        return next(p._walk((i + 1) % size, range(pii.ROUNDS)) for i in [p._walk(x, range(pii.ROUNDS - 1, -1, -1))])
+
+    def ip(m):
+        n = cycle("ip", 1 << 32, int.from_bytes(bytes(map(int, m[0].split("."))), "big"))
+        return ".".join(str(n >> s & 255) for s in (24, 16, 8, 0))
+
+    def card(m):
+        body = f"{cycle(f'card-{len(m[0])}', 10 ** (len(m[0]) - 1), int(m[0][:-1])):0{len(m[0]) - 1}d}"
+        odd = sum(sum(divmod(2 * int(c), 10)) for c in body[::-2]) + sum(int(c) for c in body[-2::-2])
+        return body + str(-odd % 10)
+
+    def phone(m):
+        n = int(m[2] + m[3] + m[4])
+        low = n < 2 * 10**9
+        n = cycle("phone-low", 2 * 10**9, n) if low else 2 * 10**9 + cycle("phone", 8 * 10**9, n - 2 * 10**9)
+        made = f"{n:010d}"
+        return f"{m[1]}({made[:3]}) {made[3:6]}-{made[6:]}"
+
+    text = re.sub(r"(?<![\w.])\d+\.\d+\.\d+\.\d+(?!\.?\w)", ip, text)
+    text = re.sub(r"(?<![\w-])\d{16}(?![\w-])", lambda m: card(m) if pii.luhn(m[0]) else m[0], text)
+    return re.sub(r"(\+1 )\((\d{3})\) (\d{3})-(\d{4})", phone, text)
+
+
+def test_pseudonyms_equal_a_plain_twin(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").where("text not like '%@%'")
+    got = {r["doc_id"]: r["text"] for r in pii.pseudonymise(docs, key=b"k").collect()}
+    given = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert got == {i: plain_pseudonyms(t, b"k") for i, t in given.items()} and got != given
 
 
 # ---- Katz -------------------------------------------------------------------------------------------
@@ -332,7 +391,7 @@ def test_main_text(spark):
     got = {r["page_id"]: r for r in html_diff.main_text(spark.createDataFrame([(*r, 0) for r in rows], "page_id long, url string, html string, text int").coalesce(1)).collect()}
     assert got[1]["text"] == got[8]["text"] == "Head 1\nA & bold c\ntwo\nthree" and got[1]["n_chars"] == len(got[1]["text"])
     assert got[2]["text"].startswith("Head 2") and "q" not in got[2]["text"]
-    assert (got[3]["text"], got[4]["text"]) == ("Own text 1", "Own text 2") or (got[3]["text"].count("\n"), got[4]["text"].count("\n")) == (2, 2)
+    assert (got[3]["text"], got[4]["text"]) == ("Own text 1", "Own text 2")
     assert got[5]["text"] == got[6]["text"] == "" and got[7]["text"] == "Site name\nOwn text 7\nContact us"
     assert html_diff.main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
@@ -369,6 +428,33 @@ def test_longest_common_subsequence():
     assert html_diff.shared([], ["a"]) == [] and html_diff.shared(["a"], []) == [False]
 
 
+def test_alignments_of_long_pages_are_longest_too(monkeypatch):
+    def longest(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            row = [0, *itertools.accumulate((max(row[j + 1], row[j] + (x == y)) for j, y in enumerate(b)), max)]
+        return row[-1]
+
+    r = random.Random(3)
+    for small in (4, 10_000):
+        monkeypatch.setattr(html_diff, "SMALL", small)
+        for _ in range(60):
+            a, b = ([r.choice("abcdef") for _ in range(r.randrange(30))] for _ in range(2))
+            hits = html_diff.shared(a, b)
+            rest = iter(b)
+            assert sum(hits) == longest(a, b) and all(x in rest for x, hit in zip(a, hits, strict=True) if hit)
+    assert sum(html_diff.shared([str(i % 50) for i in range(6000)], [str(i % 49) for i in range(6000)])) > 3000
+
+
+def test_attributes_are_read_as_such():
+    kept = ['<p title="a hidden gem">x</p>', '<section class="social science">x</section>', '<p><img alt="hidden, class=ad">x</p>', '<p data-role="navigation">x</p>', "<p aria-label='role=dialog'>x</p>", '<p class="comment-free text social">x</p>']
+    gone = ["<p hidden>x</p>", '<div class="ad">x</div>', '<div class="social-links big">x</div>', '<div id=comments>x</div>', '<p role="navigation">x</p>', "<p aria-hidden='true'>x</p>", '<div class="left sidebar">x</div>', "<form>x</form>"]
+    for source in kept[:-1]:
+        assert [(t, out) for t, _, out in html_diff.page_lines(source)] == [("x", False)], source
+    for source in gone:
+        assert [(t, out) for t, _, out in html_diff.page_lines(source)] == [("x", True)], source
+
+
 # ---- mixing -----------------------------------------------------------------------------------------------
 
 
