@@ -26,7 +26,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data become format-preserving pseudonyms."""
-    return pii.pseudonymise(docs).select(*docs.columns)
+    return pii.pseudonymise(docs, key=pii.session_key(spark)).select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
