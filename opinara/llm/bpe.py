@@ -54,8 +54,8 @@ JOIN vocab a ON a.hex = v.hex[: 2 * v.at] JOIN vocab b ON b.hex = v.hex[2 * v.at
 
 #: Bytes of a word above which it is contracted by itself.
 LONG = 1024
-#: Words and pieces of text that a worker remembers; together with the tables some 250 MB.
-WORDS, PIECES = 250_000, 200_000
+#: Words and pieces of text that a worker remembers; together with the tables some 350 MB.
+WORDS, PIECES = 500_000, 400_000
 _CODERS: dict[tuple[str, str], PieceCache] = {}
 
 
