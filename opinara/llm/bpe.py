@@ -54,9 +54,9 @@ JOIN vocab a ON a.hex = v.hex[: 2 * v.at] JOIN vocab b ON b.hex = v.hex[2 * v.at
 
 #: Bytes of a word above which it is contracted by itself.
 LONG = 1024
-#: Words and pieces of text that a worker remembers; together with the tables some 350 MB.
-WORDS, PIECES = 500_000, 400_000
-_CODERS: dict[tuple[str, str], PieceCache] = {}
+#: Pieces of text that a worker remembers, and a third more words; with the tables some 700 MB at most, 250 MB for 200,000.
+REMEMBER = 900_000
+_CODERS: dict[tuple[str, str, int], PieceCache] = {}
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -134,8 +134,8 @@ class Coder:
         return len(out), ",".join(map(str, out)), b"".join(self.bytes[i] for i in out)
 
 
-def _coder(path: str, pattern: str) -> PieceCache:
-    if (path, pattern) not in _CODERS:
+def _coder(path: str, pattern: str, remember: int = REMEMBER) -> PieceCache:
+    if (path, pattern, remember) not in _CODERS:
         import regex
 
         split, coder, words, known = regex.compile(pattern), Coder(read_ranks(path)), {}, pattern == PATTERN
@@ -153,7 +153,7 @@ def _coder(path: str, pattern: str) -> PieceCache:
 
         def encode(pieces: list[str]) -> list[tuple[int, str, bytes]]:
             cut = [cut_words(p) for p in pieces]
-            if len(words) > WORDS:
+            if len(words) > remember * 4 // 3:
                 words.clear()
             new = list({w for ws in cut for w in ws} - words.keys())
             words.update(zip(new, coder.encode([w.encode("utf-8", "surrogatepass") for w in new]), strict=True))
@@ -162,20 +162,21 @@ def _coder(path: str, pattern: str) -> PieceCache:
                 del words[w]
             return [m[0] if len(m) == 1 else (sum(x[0] for x in m), ",".join(x[1] for x in m), b"".join(x[2] for x in m)) for m in made]
 
-        _CODERS[path, pattern] = PieceCache(encode, entries=PIECES, cut=split_safe if known else lambda t: [t])
-    return _CODERS[path, pattern]
+        _CODERS[path, pattern, remember] = PieceCache(encode, entries=remember, cut=split_safe if known else lambda t: [t])
+    return _CODERS[path, pattern, remember]
 
 
-def encode_documents(docs: DataFrame, ranks: str, pattern: str, *, keep_ids: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, ranks: str, pattern: str, *, keep_ids: bool = False, remember: int = REMEMBER) -> DataFrame:
     """``docs(doc_id, text)`` -> ``doc_id, n_tokens, ids_sha256, decoded_sha256`` and, if ``keep_ids``, ``ids array<int>``
     and the ``decoded`` text.
 
     ``ids_sha256`` is of the decimal ids joined by commas, ``decoded_sha256`` of the bytes that the ids decode to. A null
-    text is empty and has no ids; a null doc_id stays; equal rows give equal rows; other columns are ignored.
+    text is empty and has no ids; a null doc_id stays; equal rows give equal rows; very long texts and words are encoded
+    whole; an empty table gives no rows; other columns are ignored. ``remember`` bounds a worker's memory, not the result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(ranks, pattern)
+        coder = _coder(ranks, pattern, remember)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part, n, ids, back, full = batch.slice(at, 1024), [], [], [], []

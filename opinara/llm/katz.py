@@ -225,7 +225,7 @@ def _load(uri: str, rows: list[dict]) -> tuple[dict[str, np.ndarray], np.ndarray
 
 
 def _ask(uri: str, hot: np.ndarray, buckets: int):
-    """A chunk's distinct pairs with known contexts: context, word, training count, the word's count."""
+    """A chunk's distinct pairs with known contexts: context, 56 bits of the word, training count, the word's count."""
 
     def run(rows: list[dict]) -> Iterator[pa.RecordBatch]:
         chunk, count = _load(uri, rows)
@@ -239,7 +239,8 @@ def _ask(uri: str, hot: np.ndarray, buckets: int):
             if lo < hi:
                 s = slice(*np.searchsorted(start, (lo, hi)))
                 times = n[lo:hi]
-                parts = [_planes(x) for x in (names[start[s]], length[s].astype(np.uint32), chunk["word"][w[lo:hi]], np.minimum(times, 255).astype(np.uint8), count[w[lo:hi]])] + [times[times >= 255].tobytes()]
+                word = _planes(chunk["word"][w[lo:hi]])[hi - lo :]
+                parts = [_planes(names[start[s]]), _planes(length[s].astype(np.uint32)), word, _planes(np.minimum(times, 255).astype(np.uint8)), _planes(count[w[lo:hi]]), times[times >= 255].tobytes()]
                 yield pa.RecordBatch.from_pylist([{"bucket": b, "chunk": rows[0]["chunk"], "key": np.array([s.stop - s.start, hi - lo], np.int64).tobytes(), "value": b"".join(parts)}], _ROW)
 
     return run
@@ -250,8 +251,10 @@ def _read_ask(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     data, at, out = row["value"], 0, []
     for kind, n in ((np.uint64, contexts), (np.uint32, contexts), (np.uint64, pairs), (np.uint8, pairs), (np.uint32, pairs)):
         n, width = int(n), np.dtype(kind).itemsize
-        out.append(np.ascontiguousarray(np.frombuffer(data, np.uint8, n * width, at).reshape(width, n).T).view(kind).ravel())
-        at += n * width
+        planes, sent = np.zeros((width, n), np.uint8), 7 if len(out) == 2 else width  # a word comes without its last byte
+        planes[width - sent :] = np.frombuffer(data, np.uint8, n * sent, at).reshape(sent, n)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        at += n * sent
     name, length, word, n, c = out
     n = n.astype(np.uint32)
     n[n == 255] = np.frombuffer(data, np.uint32, -1, at)
@@ -378,7 +381,7 @@ def katz_scores(docs: DataFrame, *, buckets: int | None = None, keep: str | None
     """``docs(doc_id, text)`` -> ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``, for each row.
 
     Learns from rows whose crc32(doc_id as text) mod 5 is not 1 and scores all. Words are lower-cased (A-Z) and told apart
-    by 64-bit hashes. ``base_score``: sum of log10((c + 0.5) / (N + 0.5 (V + 1))); ``score``: the model's log10
+    by 64-bit hashes, by 56 bits of them among those that follow one context. ``base_score``: sum of log10((c + 0.5) / (N + 0.5 (V + 1))); ``score``: the model's log10
     probability; ``words_k`` and ``pairs_k``: up to which count the discounts go. Very long texts are scored whole. A null text is empty (one token, the end); a null doc_id counts as ''; repeated rows are texts of their
     own; with no training row all words are unknown; an empty table gives no rows; other columns are ignored. ``buckets``
     is the number of table partitions and changes no result. With ``keep`` the pair table is stored in that folder too.
