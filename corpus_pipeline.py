@@ -36,7 +36,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids: their number and digest, and the digest of the bytes they decode to."""
-    return encode_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return encode_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, remember=200_000)
 
 
 STAGES = [("quality rules", quality), ("n-gram Jaccard join", near_duplicates), ("PII pseudonyms", private), ("source mixing", mixture), ("byte-level BPE", encoded)]
