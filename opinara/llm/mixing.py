@@ -66,42 +66,51 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: flo
 
 
 def _draw(seed: int, *cols: Column | str) -> Column:
-    return F.xxhash64(F.lit(seed), *cols)
+    """The seeded order of rows, 32 hexadecimal digits, the same in every engine."""
+    return F.md5(F.concat_ws("|", *(F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in cols), F.lit(str(seed))))
+
+
+def _number(draw: Column) -> Column:
+    """A draw's first 48 bits as a long."""
+    return F.conv(F.substring(draw, 1, 12), 16, 10).cast("long")
 
 
 def mix(docs: DataFrame, *, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, repeats: int = 2, seed: int = 7, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """``docs(doc_id, source, text)`` -> ``doc_id, source, size, source_size, target, taken``.
 
-    ``size``: words of the whole text (null: 0); ``taken``: words that the mix takes of the document, at most ``repeats``
-    times its size. A document without words is taken 0 times. Rows that repeat a doc_id are separate documents and, as
-    equal rows, are told apart by nothing: they get equal places and results. Null sources form one source, the last. An
-    empty table gives an empty result; other columns are ignored.
+    ``size``: words of the whole text (null: 0), however long; ``taken``: words that the mix takes of the document, at most
+    ``repeats`` times its size. A document without words is taken 0 times. Rows that repeat a doc_id are separate documents
+    that lie side by side in their shard, the shorter first; of rows equal in both, which one has which place is open, and
+    the result holds the same rows either way. Null sources form one source, the last; a null doc_id is drawn as an empty
+    one. An empty table gives an empty result; other columns are ignored.
     """
     sized = cut(docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size")))
     sources = cut(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, repeats))
     wanted = F.sum("target").over(Window.partitionBy())
     dealt = apportion(sources.withColumn("_all", F.lit(0)).withColumn("_seats", F.floor(wanted / block).cast("long")), ["_all"], "source", "target", "_seats")
+    # a number for each source, never null, so that later keys are plain equalities
+    dealt = dealt.withColumn("_src", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())))
     dealt = cut(dealt.withColumnRenamed("quota", "_blocks").withColumn("_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard)).cast("long")).drop("_all", "_seats"))
     # a shard's parent: at most FANOUT for each source, each of at most shards / FANOUT children
     placed = sized.join(F.broadcast(dealt) if dealt.count() <= 10_000 else dealt, sized["source"].eqNullSafe(dealt["source"])).drop(dealt["source"])
-    placed = placed.withColumn("_shard", F.pmod(_draw(seed, "doc_id"), F.col("_shards"))).withColumn("_parent", F.col("_shard") % FANOUT)
-    shards = placed.groupBy("source", "_parent", "_shard").agg(F.sum("size").alias("_words"), F.first("_blocks").alias("_blocks"))
-    shards = cut(shards)
-    parents = shards.groupBy("source", "_parent").agg(F.sum("_words").cast("double").alias("_votes"), F.first("_blocks").alias("_blocks"))
-    parents = apportion(parents, ["source"], "_parent", "_votes", "_blocks").select(F.col("source").alias("_s"), F.col("_parent").alias("_p"), F.col("quota").alias("_seats"))
-    below = shards.join(parents, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_parent") == F.col("_p"))).withColumn("_votes", F.col("_words").cast("double"))
-    quotas = cut(apportion(below, ["source", "_parent"], "_shard", "_votes", "_seats").select(F.col("source").alias("_s"), F.col("_shard").alias("_k"), "_words", "quota"))
+    placed = placed.withColumn("_shard", _number(_draw(seed, "doc_id")) % F.col("_shards")).withColumn("_parent", F.col("_shard") % FANOUT)
+    shards = cut(placed.groupBy("_src", "_parent", "_shard").agg(F.sum("size").alias("_words"), F.first("_blocks").alias("_blocks"), F.first("source").alias("source")))
+    parents = shards.groupBy("_src", "_parent").agg(F.sum("_words").cast("double").alias("_votes"), F.first("_blocks").alias("_blocks"))
+    parents = apportion(parents, ["_src"], "_parent", "_votes", "_blocks").select("_src", "_parent", F.col("quota").alias("_seats"))
+    below = shards.join(parents, ["_src", "_parent"]).withColumn("_votes", F.col("_words").cast("double"))
+    quotas = cut(apportion(below, ["_src", "_parent"], "_shard", "_votes", "_seats").select("_src", "_shard", F.col("source").alias("_name"), "_words", "quota"))
     # whole passes over the shard, then some of its blocks
     due = F.col("quota") * block
     passes = F.least(F.lit(repeats), F.floor(due / F.greatest(F.col("_words"), F.lit(1)))).cast("long")
     n_blocks = F.ceil(F.col("_words") / block).cast("long")
     extra = F.when(passes >= repeats, F.lit(0)).otherwise(F.least(n_blocks, F.round((due - passes * F.col("_words")) / block))).cast("long")
-    drawn = F.array_sort(F.transform(F.sequence(F.lit(0).cast("long"), n_blocks - 1), lambda b: F.struct(_draw(seed + 1, "_s", "_k", b).alias("h"), b.alias("b"))))
+    drawn = F.array_sort(F.transform(F.sequence(F.lit(0).cast("long"), n_blocks - 1), lambda b: F.struct(_draw(seed + 1, "_name", "_shard", b).alias("h"), b.alias("b"))))
     chosen = F.transform(F.slice(drawn, 1, extra.cast("int")), lambda x: x["b"])
-    quotas = quotas.select("_s", "_k", passes.alias("_passes"), F.when((extra > 0) & (n_blocks > 0), chosen).otherwise(F.array().cast("array<bigint>")).alias("_chosen"))
-    line = Window.partitionBy("source", "_shard").orderBy(_draw(seed + 2, "doc_id"), "doc_id", "size")
+    quotas = quotas.select("_src", "_shard", passes.alias("_passes"), F.when((extra > 0) & (n_blocks > 0), chosen).otherwise(F.array().cast("array<bigint>")).alias("_chosen"))
+    line = Window.partitionBy("_src", "_shard").orderBy(_draw(seed + 2, "doc_id"), "doc_id", "size")
     laid = placed.withColumn("_end", F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_start", F.col("_end") - F.col("size"))
-    laid = laid.join(quotas, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_shard") == F.col("_k")))
+    # shards grow with the words: they meet their documents where the window has put these, and are never broadcast
+    laid = laid.join(quotas.hint("merge"), ["_src", "_shard"])
     first, last = F.floor(F.col("_start") / block), F.floor((F.col("_end") - 1) / block)
     mine = F.filter("_chosen", lambda b: (b >= first) & (b <= last))
     part = F.aggregate(mine, F.lit(0).cast("long"), lambda acc, b: acc + F.least(F.col("_end"), (b + 1) * block) - F.greatest(F.col("_start"), b * block))
@@ -113,10 +122,11 @@ def mixed(docs: DataFrame, *, seed: int = 7, **params) -> DataFrame:
     """The mix as rows of ``docs``: each document as often as the words taken of it hold its size, what is left over being
     one more copy with that probability (seeded), so that a source's words stay near its target with whole documents.
 
-    Documents taken 0 times and those without words are left out. Rows that repeat a doc_id share one decision.
+    Documents taken 0 times and those without words are left out. Rows that repeat a doc_id share one decision, by the words
+    taken of all of them.
     """
-    taken = mix(docs, seed=seed, **params).where("size > 0").groupBy("doc_id").agg(F.max(F.col("taken") / F.col("size")).alias("_times"))
-    chance = F.pmod(_draw(seed + 3, "doc_id"), F.lit(1_000_000)) / 1_000_000
+    taken = mix(docs, seed=seed, **params).where("size > 0").groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("_times"))
+    chance = (_number(_draw(seed + 3, "doc_id")) % 1_000_000) / 1_000_000
     copies = taken.select(F.col("doc_id").alias("_id"), (F.floor("_times") + (F.col("_times") - F.floor("_times") > chance).cast("int")).cast("int").alias("_copies")).where("_copies > 0")
     both = docs.where(word_count(F.col("text")) > 0).join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
     return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)

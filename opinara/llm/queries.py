@@ -86,8 +86,56 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_embedding_dedup, op3_pii_pseudonyms, op4_line_quality, op5_katz_scores, op6_token_store, op7_secret_ledger, op8_byte_bpe, op9_page_text, op10_source_mix)}
 
-#: SQL of those operators that it can express at all: no keyed permutation, model, file format, merge order or seeded draw.
+def _secret_spans() -> str:
+    """All spans of all rules in DuckDB: the pieces between matches and the matches alternate. Its ``(?i)`` knows more
+    letters than A-Z, so letters in either case are written as classes."""
+    either = {w: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key")}
+    each = []
+    for rank, (kind, pattern, group, least) in enumerate((
+        ("assign", f"""({'|'.join(either.values())})["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+        ("access", "AKIA[A-Z0-9]+", 0, 20),
+        ("hex", "[0-9a-f]+", 0, 24),
+        ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+        ("jwt", "eyJ[A-Za-z0-9_-]{10,}\\.eyJ[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{10,}", 0, 1),
+        ("forge", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+    )):
+        each.append(f"SELECT r, {rank} AS rank, '{kind}' AS kind, {least} AS least, string_split_regex(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}') AS found, regexp_extract_all(t, '{pattern}', {group}) AS parts FROM d")
+    return " UNION ALL ".join(each)
+
+
+#: SQL of those operators that it can express at all: no keyed permutation, model, file format or merge order.
 ORACLES: dict[str, str] = {
+    "op7_secret_ledger": f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents), x AS ({_secret_spans()}),
+        m AS (SELECT r, rank, kind, least, unnest(gaps[:len(found)]) AS gap, unnest(found) AS f, unnest(parts) AS part, generate_subscripts(found, 1) AS i FROM x WHERE len(found) > 0),
+        e AS (SELECT *, sum(length(gap) + length(f)) OVER (PARTITION BY r, rank ORDER BY i) AS stop FROM m),
+        s AS (SELECT r, rank, kind, CAST(stop - length(f) AS BIGINT) AS start, concat_ws(':', kind, CAST(stop - length(f) AS BIGINT), CAST(stop AS BIGINT)) AS span FROM e WHERE length(part) >= least)
+        SELECT any_value(doc_id) AS doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+            sha256(coalesce(string_agg(span, ',' ORDER BY start, rank) FILTER (WHERE rank < 3), '')) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY start, rank), '') AS spans FROM d LEFT JOIN s USING (r) GROUP BY r""",
+    "op10_source_mix": r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+        k AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS src FROM d GROUP BY source),
+        l AS (SELECT *, CAST(([3, 1, 2])[1 + (src - 1) % 3] AS DOUBLE) AS weight, CAST(2 * source_size AS DOUBLE) AS most FROM k),
+        q AS (SELECT *, most / weight AS full_at, CAST(1.5 AS DOUBLE) * sum(source_size) OVER () - coalesce(sum(most) OVER o, 0) AS rest, sum(weight) OVER () - coalesce(sum(weight) OVER o, 0) AS shares
+            FROM l WINDOW o AS (ORDER BY most / weight, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        v AS (SELECT first(rest / shares ORDER BY full_at, src) AS level FROM q WHERE rest / shares <= full_at),
+        t AS (SELECT src, source, source_size, CASE WHEN level IS NULL OR full_at < level THEN most ELSE weight * level END AS target FROM q, v),
+        n AS (SELECT CAST(floor(sum(target) / 256) AS BIGINT) AS seats FROM t),
+        -- blocks of sources, of their shards' parents and of shards, each by highest quotients
+        b1 AS (SELECT src, s FROM (SELECT src, target, unnest(range(seats)) AS s, seats FROM t, n WHERE target > 0) QUALIFY row_number() OVER (ORDER BY target / (2 * s + 1) DESC, src, s) <= seats),
+        b AS (SELECT t.*, (SELECT count(*) FROM b1 WHERE b1.src = t.src) AS blocks, greatest(1, CAST(ceil(source_size / 65536) AS BIGINT)) AS shards FROM t),
+        p AS (SELECT d.*, b.src, b.source_size, b.target, b.blocks, CAST('0x' || substr(md5(concat_ws('|', doc_id, '7')), 1, 12) AS BIGINT) % shards AS shard FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source),
+        h AS (SELECT src, shard, shard % 1024 AS parent, any_value(source) AS source, any_value(blocks) AS blocks, CAST(sum(size) AS BIGINT) AS words FROM p GROUP BY src, shard),
+        a AS (SELECT src, parent, CAST(sum(words) AS DOUBLE) AS votes, any_value(blocks) AS blocks FROM h GROUP BY src, parent),
+        a1 AS (SELECT src, parent, s FROM (SELECT *, unnest(range(blocks)) AS s FROM a WHERE votes > 0) QUALIFY row_number() OVER (PARTITION BY src ORDER BY votes / (2 * s + 1) DESC, parent, s) <= blocks),
+        a2 AS (SELECT src, parent, count(*) AS seats FROM a1 GROUP BY src, parent),
+        h1 AS (SELECT src, shard, s FROM (SELECT h.*, seats, unnest(range(seats)) AS s FROM h JOIN a2 USING (src, parent) WHERE words > 0) QUALIFY row_number() OVER (PARTITION BY src, parent ORDER BY CAST(words AS DOUBLE) / (2 * s + 1) DESC, shard, s) <= seats),
+        h2 AS (SELECT src, shard, count(*) AS quota FROM h1 GROUP BY src, shard),
+        u AS (SELECT h.*, 256 * coalesce(quota, 0) AS due, least(2, 256 * coalesce(quota, 0) // greatest(words, 1)) AS passes, CAST(ceil(words / 256) AS BIGINT) AS parts FROM h LEFT JOIN h2 USING (src, shard)),
+        -- the shard's further blocks, by a seeded order
+        w AS (SELECT *, CASE WHEN passes >= 2 THEN 0 ELSE least(parts, round((due - passes * words) / 256)) END AS extra FROM u),
+        c AS (SELECT src, shard, i FROM (SELECT *, unnest(range(parts)) AS i FROM w) QUALIFY row_number() OVER (PARTITION BY src, shard ORDER BY md5(concat_ws('|', source, shard, i, '8')), i) <= extra),
+        z AS (SELECT *, CAST(sum(size) OVER (PARTITION BY src, shard ORDER BY md5(concat_ws('|', doc_id, '9')), doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS stop FROM p),
+        y AS (SELECT z.r, sum(least(stop, 256 * (i + 1)) - greatest(stop - size, 256 * i)) AS words FROM z JOIN c ON z.src = c.src AND z.shard = c.shard AND 256 * i < stop AND 256 * (i + 1) > stop - size WHERE size > 0 GROUP BY z.r)
+        SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN CAST(passes * size + coalesce(y.words, 0) AS BIGINT) ELSE 0 END AS taken FROM z JOIN w ON z.src = w.src AND z.shard = w.shard LEFT JOIN y USING (r)""",
     "op1_ngram_join": r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
         s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 2])) END) AS s FROM w),
         f AS (SELECT doc_id, unnest(s) AS g, len(s) AS n FROM s),

@@ -76,8 +76,8 @@ def scan(versions: DataFrame, ledger: str | None = None, *, rules: tuple[Rule, .
     """Scan ``versions`` (one row for each path and version of its text) and return findings for each row, and the ledger.
 
     Result: the path column, ``blob`` (SHA-256 of the text), ``found`` (array of start, rank, end, kind by start, then
-    rank). A null text is the empty blob; repeated rows and paths give a row each; an empty table gives none; other columns
-    are ignored. Running again with the same ledger and rule version searches nothing.
+    rank). A null text is the empty blob; very long texts are searched whole; repeated rows and paths give a row each; ties
+    in start go by the rules' order; an empty table gives none; other columns are ignored. Running again with the same ledger and rule version searches nothing.
     """
     spark = versions.sparkSession
     ledger = ledger or shared_dir(spark)
@@ -96,5 +96,6 @@ def scan(versions: DataFrame, ledger: str | None = None, *, rules: tuple[Rule, .
     searched = texts.select("blob", found.alias("found"))
     searched = searched.groupBy("blob").agg(F.first("found").alias("found"), F.lit(rule_version).alias("rule_version"))
     searched.write.mode("append").parquet(ledger)
-    findings = spark.read.parquet(ledger).where(F.col("rule_version") == rule_version).select("blob", "found")
+    # two scans at a time may both have appended a blob
+    findings = spark.read.parquet(ledger).where(F.col("rule_version") == rule_version).groupBy("blob").agg(F.first("found").alias("found"))
     return given.select(F.col("path").alias(path), "blob").join(findings, "blob").select(path, "blob", "found"), ledger

@@ -197,6 +197,17 @@ def test_ledger_scans_each_blob_once(spark, tmp_path):
     assert secrets.scan(more, ledger)[0].count() == len(SECRETS) + 4 and spark.read.parquet(ledger).count() == n + 1
     assert secrets.scan(df, ledger, rule_version="2")[0].count() == len(SECRETS) + 3 and spark.read.parquet(ledger).count() == 2 * n + 1
     assert secrets.scan(df.limit(0))[0].collect() == []
+    # a blob that two scans appended at the same time counts once
+    spark.read.parquet(ledger).where("rule_version = '1'").write.parquet(f"file://{tmp_path}/twice")
+    spark.read.parquet(f"file://{tmp_path}/twice").write.mode("append").parquet(ledger)
+    assert sorted(map(tuple, secrets.scan(df, ledger)[0].collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_long_texts_are_searched_whole(spark):
+    long = "plain words only " * 40_000 + "password = hunter2hunter2"
+    df = spark.createDataFrame([(None, long), (None, long), (1, "")], "doc_id long, text string")
+    got = secrets.scan(df)[0].select("doc_id", secrets.joined(F.col("found"))).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(None, plain_spans(long))] * 2 + [(1, "")], key=repr)
 
 
 # ---- PII --------------------------------------------------------------------------------------------
@@ -510,6 +521,17 @@ def test_mix(spark):
     assert mixing.mixed(df, block=8, shard=400).columns == df.columns
 
 
+def test_mix_of_repeated_rows(spark):
+    rows = [(i // 3, "ab"[i % 2], "w " * (5 + i % 40)) for i in range(900)] + [(7, "a", "w " * 11)] * 20 + [(None, None, "w " * 9)] * 5
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.mix(df, block=8, shard=400)
+    assert got.count() == len(rows) and all(0 <= r["taken"] <= 2 * r["size"] for r in got.collect())
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, mixing.mix(df.repartition(7), block=8, shard=400).collect()), key=repr)
+    kept = collections.Counter(map(tuple, mixing.mixed(df, block=8, shard=400).collect()))
+    words = sum(len(t.split()) * n for (_, _, t), n in kept.items())
+    assert abs(words - 1.5 * sum(len(t.split()) for _, _, t in rows)) < 0.1 * words and set(kept) <= set(rows)
+
+
 def test_other_tokenizers_get_whole_texts(spark, tmp_path):
     from tokenizers import Tokenizer
 
