@@ -36,6 +36,8 @@ MORE_RULES = (
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,}"),
 )
 RULES, RULE_VERSION = BASE_RULES + MORE_RULES, "1"
+#: Parts into which the paths of one blob are dealt when findings join back to them.
+SALTS = 64
 SPAN = "struct<start:bigint,rank:int,end:bigint,kind:string>"
 
 
@@ -96,6 +98,10 @@ def scan(versions: DataFrame, ledger: str | None = None, *, rules: tuple[Rule, .
     searched = texts.select("blob", found.alias("found"))
     searched = searched.groupBy("blob").agg(F.first("found").alias("found"), F.lit(rule_version).alias("rule_version"))
     searched.write.mode("append").parquet(ledger)
-    # two scans at a time may both have appended a blob
-    findings = spark.read.parquet(ledger).where(F.col("rule_version") == rule_version).groupBy("blob").agg(F.first("found").alias("found"))
-    return given.select(F.col("path").alias(path), "blob").join(findings, "blob").select(path, "blob", "found"), ledger
+    # two scans at a time may both have appended a blob; a blob may be a third of all rows, so each with findings goes to
+    # every one of SALTS parts of its paths, and those without go nowhere
+    hits = spark.read.parquet(ledger).where((F.col("rule_version") == rule_version) & (F.size("found") > 0))
+    hits = hits.groupBy("blob").agg(F.first("found").alias("found")).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    paths = given.select("path", "blob", F.pmod(F.xxhash64("path"), F.lit(SALTS)).cast("int").alias("_salt"))
+    none = F.array().cast(f"array<{SPAN}>")
+    return paths.join(hits, ["blob", "_salt"], "left").select(F.col("path").alias(path), "blob", F.coalesce("found", none).alias("found")), ledger
