@@ -51,7 +51,7 @@ VIEWS = {
                CASE WHEN d.doc_id % 13 = 0 THEN 'none' ELSE concat('OA-', lpad(CAST(d.doc_id % 13 AS STRING), 2, '0')) END AS opportunity_area,
                CASE WHEN d.doc_id % 13 = 0 THEN NULL ELSE 1 + d.doc_id % 3 END AS severity,
                ((d.doc_id * 37) % 101) / CAST(100 AS DOUBLE) AS confidence, d.n_chars % 5 = 0 AS hesitation_marker,
-               l.quality AS quality, l.toxic AS toxic, substr(d.text, 1, 40) AS evidence_quote
+               l.quality AS quality, l.toxic AS toxic, split_part(d.text, '.', 1) AS evidence_quote
         FROM {documents} d JOIN {labels} l ON l.doc_id = d.doc_id""",
     "said": """
         SELECT d.doc_id AS source_id, d.text AS raw_text, d.lang AS brand,
@@ -63,8 +63,7 @@ VIEWS = {
         SELECT event_id, event_type AS source, concat('b', CAST(user_id % 3 AS STRING)) AS brand,
                concat('k', CAST(event_id % 5 AS STRING)) AS opportunity_area, 'post_purchase' AS temporal_stance,
                CASE WHEN event_id % 20 = 0 THEN NULL ELSE ts END AS posted_at, ts, value
-        FROM {events}
-        WHERE user_id % 3 <> 2 OR ts < (SELECT min(ts) + INTERVAL 5 DAYS FROM {events})""",
+        FROM (SELECT event_id, event_type, user_id, value, CASE WHEN user_id % 3 = 2 THEN least(ts, (SELECT min(ts) + INTERVAL 5 DAYS FROM {events})) ELSE ts END AS ts FROM {events}) e""",
     "ledger": """
         SELECT event_id, ts AS called_at, CASE user_id % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END AS lane, 'p' AS provider, 'm' AS model,
                CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END AS outcome, (event_id % 9) * 10 AS prompt_tokens,
@@ -77,12 +76,12 @@ VIEWS = {
              CROSS JOIN (SELECT 1 AS repeat UNION ALL SELECT 2) r
         WHERE NOT (b.batch = 40 AND d.doc_id % 50 = 0)""",
 }
-#: Views over views.
+#: Views over views. Lane C and the gold labels know some rows by ids that no other view has, so joins with them miss.
 VIEWS |= {
     "lane_a": f"SELECT utterance_id, opportunity_area, temporal_stance, severity, confidence, 0 AS labelled_at FROM ({VIEWS['labelled']}) x UNION ALL SELECT utterance_id, 'OA-99', temporal_stance, severity, confidence, 1 FROM ({VIEWS['labelled']}) y WHERE utterance_id % 11 = 0",
     "lane_b": f"SELECT utterance_id, concat('OA-', lpad(CAST((utterance_id + 1) % 13 AS STRING), 2, '0')) AS opportunity_area, temporal_stance, CASE WHEN utterance_id % 3 = 0 THEN NULL ELSE severity END AS severity, confidence + 0.5 AS confidence, 0 AS labelled_at FROM ({VIEWS['labelled']}) x WHERE confidence < 0.3",
-    "lane_c": f"SELECT utterance_id, CASE WHEN utterance_id % 7 = 0 THEN 'none' ELSE opportunity_area END AS opportunity_area, CASE WHEN utterance_id % 5 = 0 THEN 'unclear' ELSE temporal_stance END AS temporal_stance, severity, confidence, 0 AS labelled_at FROM ({VIEWS['labelled']}) x WHERE utterance_id % 3 = 0",
-    "gold": f"SELECT utterance_id, CASE WHEN utterance_id % 35 = 0 THEN 'none' ELSE opportunity_area END AS opportunity_area, temporal_stance, severity, hesitation_marker, CASE WHEN utterance_id % 2 = 0 THEN 0.5 ELSE CAST(2.0 AS DOUBLE) END AS sampling_weight FROM ({VIEWS['labelled']}) x WHERE utterance_id % 5 = 0",
+    "lane_c": f"SELECT CASE WHEN utterance_id % 11 = 0 THEN -1 - utterance_id ELSE utterance_id END AS utterance_id, CASE WHEN utterance_id % 7 = 0 THEN 'none' ELSE opportunity_area END AS opportunity_area, CASE WHEN utterance_id % 5 = 0 THEN 'unclear' ELSE temporal_stance END AS temporal_stance, severity, confidence, 0 AS labelled_at FROM ({VIEWS['labelled']}) x",
+    "gold": f"SELECT CASE WHEN utterance_id % 23 = 0 THEN -1 - utterance_id ELSE utterance_id END AS utterance_id, CASE WHEN utterance_id % 35 = 0 THEN 'none' ELSE opportunity_area END AS opportunity_area, temporal_stance, severity, hesitation_marker, CASE WHEN utterance_id % 2 = 0 THEN 0.5 ELSE CAST(2.0 AS DOUBLE) END AS sampling_weight FROM ({VIEWS['labelled']}) x",
 }
 _TABLES = ("documents", "labels", "events", "pages", "conversations", "benchmark", "customer", "orders", "lineitem", "part", "supplier", "nation", "region")
 
