@@ -84,7 +84,26 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_embedding_dedup, op3_pii_pseudonyms, op4_line_quality, op5_katz_scores, op6_token_store, op7_secret_ledger, op8_byte_bpe, op9_page_text, op10_source_mix)}
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_count import count_tokens
+
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import verify_documents
+
+    return verify_documents(table(spark, sf_dir, "documents")).drop("copied")
+
+
+def op13_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .period_runs import repeated, run_digests
+
+    return run_digests(repeated(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_embedding_dedup, op3_pii_pseudonyms, op4_line_quality, op5_katz_scores, op6_token_store, op7_secret_ledger, op8_byte_bpe, op9_page_text, op10_source_mix, op11_token_counts, op12_merkle_manifest, op13_period_runs)}
+
 
 def _secret_spans() -> str:
     """All spans of all rules in DuckDB: the pieces between matches and the matches alternate. Its ``(?i)`` knows more
@@ -103,6 +122,17 @@ def _secret_spans() -> str:
     return " UNION ALL ".join(each)
 
 
+
+#: The CRC-32 of a decimal doc_id in DuckDB, bit by bit.
+CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)), lambda c, b:
+    list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)), 4294967295::BIGINT)"""
+
+
+def _leaf(more: str) -> str:
+    said = ", ".join(f"coalesce(strlen(({v})::VARCHAR) || ':' || ({v})::VARCHAR, '-')" for v in ("doc_id", "source", "lang", f"n_chars{more}", "text"))
+    return f"sha256(concat({said}))"
+
+
 #: SQL of those operators that it can express at all: no keyed permutation, model, file format or merge order.
 ORACLES: dict[str, str] = {
     "op7_secret_ledger": f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents), x AS ({_secret_spans()}),
@@ -161,4 +191,31 @@ ORACLES: dict[str, str] = {
         p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
         r AS (SELECT vec_id AS id, vec_id AS c FROM embeddings UNION SELECT r.id, p.b FROM r JOIN p ON r.c = p.a)
         SELECT e.vec_id, (SELECT count(*) FROM p WHERE a = e.vec_id) AS n_links, min(c) AS component_id, min(c) = e.vec_id AS kept FROM embeddings e JOIN r ON r.id = e.vec_id GROUP BY e.vec_id""",
+    "op12_merkle_manifest": f"""WITH RECURSIVE d AS (SELECT doc_id, lang, {_leaf('')} AS leaf, CASE WHEN {CRC} % 7 = 0 AND n_chars IS NOT NULL THEN {_leaf(' + 1')} END AS tampered FROM documents),
+        x AS (SELECT *, row_number() OVER () AS r, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM d),
+        t AS (SELECT lang, 0 AS lvl, pos, leaf AS h, n FROM x UNION ALL SELECT lang, lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM t WHERE n > 1 GROUP BY lang, lvl, pos // 2, n),
+        s AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+        u AS (SELECT 0 AS lvl, pos, h, n FROM s UNION ALL SELECT lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM u WHERE n > 1 GROUP BY lvl, pos // 2, n),
+        y AS (SELECT x.*, s.pos AS over, s.h AS subroot FROM x JOIN s ON x.lang IS NOT DISTINCT FROM s.lang),
+        z AS (SELECT r, l.lvl AS seq, t.h AS sib, y.pos // (1 << l.lvl) % 2 = 1 AS behind FROM y JOIN (SELECT DISTINCT lang, lvl FROM t WHERE n > 1) l ON l.lang IS NOT DISTINCT FROM y.lang
+                LEFT JOIN t ON t.lang IS NOT DISTINCT FROM y.lang AND t.lvl = l.lvl AND t.pos = xor(y.pos // (1 << l.lvl), 1)
+            UNION ALL SELECT r, 1000 + l.lvl, u.h, over // (1 << l.lvl) % 2 = 1 FROM y CROSS JOIN (SELECT DISTINCT lvl FROM u WHERE n > 1) l LEFT JOIN u ON u.lvl = l.lvl AND u.pos = xor(over // (1 << l.lvl), 1)),
+        k AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY seq) AS i FROM z),
+        f AS (SELECT r, 0 AS i, coalesce(tampered, leaf) AS h FROM x
+            UNION ALL SELECT f.r, f.i + 1, CASE WHEN sib IS NULL THEN sha256(h) WHEN behind THEN sha256(sib || h) ELSE sha256(h || sib) END FROM f JOIN k ON k.r = f.r AND k.i = f.i + 1)
+        SELECT doc_id, leaf, subroot, (SELECT h FROM u WHERE n = 1) AS root, sha256(coalesce(p.said, '')) AS proof_sha256, g.h AS folded_root, g.h = (SELECT h FROM u WHERE n = 1) AS verified
+            FROM y LEFT JOIN (SELECT r, string_agg(sib, '' ORDER BY seq) AS said FROM k GROUP BY r) p USING (r) JOIN (SELECT r, arg_max(h, i) AS h FROM f GROUP BY r) g USING (r)""",
+    "op13_period_runs": rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {CRC} AS h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        a AS (SELECT *, h // 10 AS g, len(w) AS n, CASE WHEN len(w) > 0 THEN h // 10 % len(w) END AS a FROM d),
+        x AS (SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) ELSE w END AS w FROM a),
+        -- a run's words equal those one period on for 5 words or more, so its 5-word windows meet at that distance on end
+        s AS (SELECT r, n, unnest(range(n - 4)) AS i, unnest(list_transform(range(1, n - 3), lambda i: md5(array_to_string(w[i : i + 4], ' ')))) AS s FROM x WHERE n > 5),
+        p AS (SELECT a.r, a.i, b.i - a.i AS q FROM s a JOIN s b ON a.r = b.r AND a.s = b.s AND b.i > a.i AND 4 * (b.i - a.i) <= a.n),
+        m AS (SELECT r, q, min(i) AS start, count(*) + 4 + q AS length FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS k FROM p) GROUP BY r, q, k HAVING count(*) + 4 >= 3 * q),
+        u AS (SELECT r, start, length, min(q) AS period FROM m GROUP BY r, start, length),
+        o AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM u),
+        c AS (SELECT v.r, string_agg(v.w, ' ' ORDER BY v.i) AS said FROM (SELECT r, unnest(w) AS w, unnest(range(n)) AS i FROM x) v ANTI JOIN o ON o.r = v.r AND o.i = v.i GROUP BY v.r),
+        b AS (SELECT r, count(*) AS n_runs, first(start ORDER BY length / period DESC, start, period) AS start, first(length ORDER BY length / period DESC, start, period) AS length, first(period ORDER BY length / period DESC, start, period) AS period,
+            string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS said FROM u GROUP BY r)
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli, sha256(coalesce(b.said, '')) AS runs_sha256, sha256(coalesce(c.said, '')) AS collapsed_sha256 FROM x LEFT JOIN b USING (r) LEFT JOIN c USING (r)""",
 }
