@@ -2,6 +2,10 @@
 
 A text is cut after runs of sentence ends before white space, so the pieces are the text again. A piece that begins with a
 conjunction is glued to the one before, and so is one that begins with a pronoun while that one is short.
+
+Three regular expressions put the cuts as marks into the text, so that pieces that are glued never come to be: one marks
+the boundaries before which no conjunction follows; one tells which of these stand before a pronoun; and, only in texts
+that have such, one walks from utterance to utterance and keeps of those marks the first behind words enough.
 """
 
 from __future__ import annotations
@@ -9,47 +13,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import trimmed, word_count
+from .text import trimmed
 
 #: How a piece begins that goes on with the thought before.
-CONTINUES = r"(?iU)^\s*(and|but|so|because|also|then|however|though|although|which|that|plus|aur|lekin|par|phir|kyunki|isliye|matlab)\b"
-PRONOUN = r"(?iU)^\s*(it|they|this|that|these|those|he|she|we|ye|yeh|woh|iska|uska)\b"
+CONTINUES = "and|but|so|because|also|then|however|though|although|which|that|plus|aur|lekin|par|phir|kyunki|isliye|matlab"
+PRONOUN = "it|they|this|that|these|those|he|she|we|ye|yeh|woh|iska|uska"
 #: Words of a text below which it is one utterance, and of a piece above which a pronoun begins a new one.
 WHOLE_BELOW, GLUE_BELOW = 8, 25
-
-
-def split_sentences(text: Column) -> Column:
-    found = F.regexp_extract_all(text, F.lit(r"(?sU).*?(?:[.!?\n]+(?=\s|\z)|\z)"), F.lit(0))
-    return F.filter(found, lambda x: x != "")
-
-
-def spans(text: Column, whole_below: int = WHOLE_BELOW, glue_below: int = GLUE_BELOW) -> Column:
-    """``array<struct<s,e,w>>``: start, end and words of each utterance; blank ones are left out.
-
-    The fold holds one open utterance and the closed ones behind it, so a piece that is glued copies nothing.
-    """
-    pieces = F.transform(
-        split_sentences(text),
-        lambda x: F.struct(F.length(x).alias("n"), x.rlike(CONTINUES).alias("c"), x.rlike(PRONOUN).alias("r"), word_count(x).alias("w")),
+#: Marks of a cut and of a cut that is still to be judged; normalised texts hold neither.
+CUT, MAYBE = "\x01", "\x02"
+#: White space before a piece's first word; a line end before more white space would end the piece.
+LEAD = r"[^\S\n]*+\n?"
+
+
+def cut_marks(text: Column, glue_below: int = GLUE_BELOW) -> Column:
+    """The text, which holds no marks of its own, with a mark at each place where an utterance ends and another begins."""
+    marked = F.regexp_replace(text, rf"(?iU)((?>[.!?\n]+(?=\s|\z)))(?!\z)(?!{LEAD}(?:{CONTINUES})\b)", f"$1{CUT}")
+    judged = F.regexp_replace(marked, rf"(?iU){CUT}(?={LEAD}(?:{PRONOUN})\b)", MAYBE)
+    # from the beginning of an utterance on: words enough, then all up to the next mark, which stays
+    word = rf"[\s{MAYBE}]*+[^\s{CUT}{MAYBE}]++"
+    enough = rf"(?U)(?:\G|(?<={CUT}))((?:{word}){{{glue_below}}}+[^{CUT}{MAYBE}]*+){MAYBE}"
+    keep = lambda j: F.when(F.contains(j, F.lit(MAYBE)), F.replace(F.regexp_replace(j, enough, f"$1{CUT}"), F.lit(MAYBE), F.lit(""))).otherwise(j)
+    return F.transform(F.array(judged), keep)[0]  # a lambda's variable is computed once
+
+
+def utterances(text: Column, whole_below: int = WHOLE_BELOW, glue_below: int = GLUE_BELOW) -> Column:
+    """``array<struct<s,e,said>>``: start, end and all characters of each utterance; blank ones are left out."""
+    marked = F.contains(text, F.lit(CUT)) | F.contains(text, F.lit(MAYBE))  # by itself, as normalised texts are not
+    own = F.when(marked, F.translate(text, CUT + MAYBE, "\x03\x03")).otherwise(text)
+    pieces = F.when(text.rlike(rf"(?U)^\s*(?:\S+\s+){{{whole_below - 1}}}\S"), F.split(cut_marks(own, glue_below), CUT, -1)).otherwise(F.array(text))
+    none = F.array().cast("array<struct<s:int,e:int,said:string>>")
+    placed = F.aggregate(
+        pieces,
+        F.struct(F.lit(0).alias("at"), none.alias("out")),
+        lambda a, x: F.struct((a["at"] + F.length(x)).alias("at"), F.concat(a["out"], F.array(F.struct(a["at"].alias("s"), (a["at"] + F.length(x)).alias("e"), x.alias("said")))).alias("out")),
+        lambda a: F.filter(a["out"], lambda u: u["said"].rlike(r"(?U)\S")),
     )
-    none = F.array().cast("array<struct<s:int,e:int,w:int>>")
-    open_ = lambda a: F.struct(a["s"].alias("s"), a["e"].alias("e"), a["w"].alias("w"))
-    closed = lambda a: F.when(a["w"] > 0, F.concat(a["done"], F.array(open_(a)))).otherwise(a["done"])
-
-    def step(a: Column, x: Column) -> Column:
-        glued = (a["e"] > 0) & (x["c"] | (x["r"] & (a["w"] < glue_below)))
-        return F.struct(
-            F.when(glued, a["s"]).otherwise(a["e"]).alias("s"),
-            (a["e"] + x["n"]).alias("e"),
-            (F.when(glued, a["w"]).otherwise(0) + x["w"]).alias("w"),
-            F.when(glued, a["done"]).otherwise(closed(a)).alias("done"),
-        )
-
-    start = F.struct(F.lit(0).alias("s"), F.lit(0).alias("e"), F.lit(0).alias("w"), none.alias("done"))
-    glued = F.aggregate(pieces, start, step, closed)
-    n = word_count(text)
-    one = F.array(F.struct(F.lit(0).alias("s"), F.length(text).alias("e"), n.alias("w")))
-    return F.when(F.coalesce(n, F.lit(0)) == 0, none).when(n < whole_below, one).otherwise(glued)
+    given = lambda u: F.struct(u["s"].alias("s"), u["e"].alias("e"), F.substring(text, u["s"] + 1, u["e"] - u["s"]).alias("said"))
+    return F.when(marked, F.transform(placed, given)).otherwise(F.coalesce(placed, none))
 
 
 def utterance_id(source: Column, source_id: Column, start: Column, end: Column) -> Column:
@@ -57,10 +58,10 @@ def utterance_id(source: Column, source_id: Column, start: Column, end: Column)
 
 
 def segment(df: DataFrame, text: str = "normalised_text", whole_below: int = WHOLE_BELOW) -> DataFrame:
-    """A row for each utterance of ``df(source, source_id, text)``; a blank text is one empty utterance (0, 0)."""
-    each = df.withColumn("_s", F.explode_outer(spans(F.col(text), whole_below)))
+    """A row for each utterance of ``df(source, source_id, text)``; a blank or null text is one empty utterance (0, 0)."""
+    each = df.withColumn("_s", F.explode_outer(utterances(F.col(text), whole_below)))
     start, end = F.coalesce("_s.s", F.lit(0)), F.coalesce("_s.e", F.lit(0))
-    said = F.coalesce(trimmed(F.substring(F.col(text), start + 1, end - start)), F.lit(""))
+    said = F.coalesce(trimmed(F.col("_s.said")), F.lit(""))
     out = each.withColumns({"span": F.struct(start.alias("start"), end.alias("end")), "utterance_text": said, "reference_text": F.col(text)})
     return out.withColumn("utterance_id", utterance_id(F.col("source"), F.col("source_id").cast("string"), F.col("span.start"), F.col("span.end"))).drop("_s")
 

@@ -41,9 +41,13 @@ PLACEHOLDERS = (
 )
 
 
+#: All white space of Unicode.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def trimmed(text: Column) -> Column:
-    """Without white space of any kind at either end."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """Without white space of any kind at either end; only the ends are looked at."""
+    return F.btrim(text, F.lit(WHITE))
 
 
 @F.pandas_udf(StringType())

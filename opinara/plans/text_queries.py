@@ -32,7 +32,7 @@ NORMED = f", q AS (SELECT *, string_split({STRIP % '@RAW@'}, '') AS c FROM said)
 BEGINS = r"regexp_matches(piece, '(?i)^[\s\x0b\x85\xa0]*(%s)($|[^\p{L}\p{N}\p{M}_])')"
 UTTERED_OF = (with_views("said") + NORMED).replace("WITH ", "WITH RECURSIVE ", 1) + rf""", x AS (SELECT *, {WORDS % 't'} AS tw, list_filter(string_split(regexp_replace(t, '([.!?\n]+)([\s\x0b\x85\xa0])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda v: v <> '') AS l FROM nn),
     y AS (SELECT source_id, unnest(l) AS piece, generate_subscripts(l, 1) AS k FROM x WHERE tw >= 8),
-    p AS (SELECT source_id, k, length(piece) AS n, {WORDS % 'piece'} AS w, {BEGINS % S.CONTINUES.split('(', 2)[2].split(')')[0]} AS c, {BEGINS % S.PRONOUN.split('(', 2)[2].split(')')[0]} AS r, sum(length(piece)) OVER (PARTITION BY source_id ORDER BY k) - length(piece) AS o FROM y),
+    p AS (SELECT source_id, k, length(piece) AS n, {WORDS % 'piece'} AS w, {BEGINS % S.CONTINUES} AS c, {BEGINS % S.PRONOUN} AS r, sum(length(piece)) OVER (PARTITION BY source_id ORDER BY k) - length(piece) AS o FROM y),
     f AS (SELECT source_id, k, o, n, w, 1 AS g, w AS gw FROM p WHERE k = 1
         UNION ALL SELECT p.source_id, p.k, p.o, p.n, p.w, CASE WHEN p.c OR p.r AND f.gw < 25 THEN f.g ELSE f.g + 1 END, CASE WHEN p.c OR p.r AND f.gw < 25 THEN f.gw + p.w ELSE p.w END FROM f JOIN p ON p.source_id = f.source_id AND p.k = f.k + 1),
     g AS (SELECT source_id, min(o) AS s, max(o + n) AS e FROM f GROUP BY source_id, g HAVING sum(w) > 0),

@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 import unicodedata
 
@@ -76,10 +77,21 @@ def test_segmentation_matches_a_python_twin(spark):
         "The kurta was nice to wear at home. But it ran two sizes small. The refund took three weeks to arrive!",
         "Short one.", "", "   ", "One two three four five six seven eight nine. It broke! 😀 Then nothing happened?\nNew line here.", "a.b.c d... e f g h i j k l m n!?",
     ]
-    got = column(spark, texts, lambda c: S.spans(c))
+    got = column(spark, texts, lambda c: S.utterances(c))
     assert [[(x["s"], x["e"]) for x in row] for row in got] == [python_spans(t) for t in texts]
 
 
+def test_segmentation_of_random_texts(spark):
+    rng, bits = random.Random(4), ["a", "word", "it", "They", "that", "and", "But", "so", "item", "andy", ".", "!", "?", "...", "\n", "\n\n", "\n \n", "\t", "é", "😀", "\x01", "\x02", "\xa0", ".\n. "]
+    texts = ["".join(rng.choice(bits) + rng.choice(["", " ", " ", " "]) for _ in range(rng.randrange(160))) for _ in range(600)]
+    # long utterances, so that pronouns are judged by the words before them
+    texts += [" ".join(rng.choice(["word", "word", "end.", "It", "end. It", "stop! But", "stop. And this"]) for _ in range(rng.randrange(400))) for _ in range(400)]
+    got = column(spark, texts, lambda c: S.utterances(c))
+    for text, row in zip(texts, got, strict=True):
+        assert [(x["s"], x["e"]) for x in row] == python_spans(text)
+        assert [x["said"] for x in row] == [text[x["s"] : x["e"]] for x in row]
+
+
 def test_three_sentences_are_two_utterances_and_lose_nothing(spark):
     text = "The kurta was nice to wear at home. But it ran two sizes small. The refund took three weeks."
     df = spark.createDataFrame([("play", "1", text), ("play", "2", "")], "source string, source_id string, normalised_text string")
