@@ -21,26 +21,28 @@ HINDI_LATIN = (
     "hai nahi nahin kya mera meri aur bhi koi kar kiya diya liya gaya raha rahi hua hui abhi bahut bohot accha acha "
     "theek thik paisa paise wapas dubara matlab lekin phir jab tab yeh woh apna sirf"
 ).split()
+#: A word's character and any other, white space, and a word's edge, in all scripts: Java's ``\\w`` and ``\\b`` know ASCII only.
+LETTER, OTHER = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
+GAP = r"[\s\x0B\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+BEFORE, AFTER = f"(?<!{LETTER})", f"(?!{LETTER})"
 #: Whole texts that praise or blame without content, or only report that an app fails.
 GENERIC = (
-    r"(?i)^\W*(nice|good|best|super|awesome|excellent|bad|worst|ok|okay|fine|great|nyc|mast|badhiya|accha|acha|thik|theek|useless|osm|wow|thanks?|thank you)"
-    r"[\s\W]*(app|application|service|shopping|experience)?[\s\W]*$"
+    rf"(?i)^{OTHER}*(nice|good|best|super|awesome|excellent|bad|worst|ok|okay|fine|great|nyc|mast|badhiya|accha|acha|thik|theek|useless|osm|wow|thanks?|thank you)"
+    rf"{OTHER}*(app|application|service|shopping|experience)?{OTHER}*$"
 )
-CRASH = r"(?i)^\W*(app\s+)?(is\s+)?(crash\w*|not\s+work\w*|hang\w*|slow|lag\w*|login\s+(issue|problem)|not\s+open\w*)[\s\W]*$"
+CRASH = rf"(?i)^{OTHER}*(app{GAP}+)?(is{GAP}+)?(crash{LETTER}*|not{GAP}+work{LETTER}*|hang{LETTER}*|slow|lag{LETTER}*|login{GAP}+(issue|problem)|not{GAP}+open{LETTER}*){OTHER}*$"
 URL = r"(?i)https?://|www\."
 #: What an unfinished text still holds.
 PLACEHOLDERS = (
     ("«[^»]*»", "guillemet placeholder"),
-    (r"(?i)\bTODO\b", "TODO marker"),
-    (r"\bXXX\b", "XXX marker"),
-    (r"(?i)\bTBD\b", "TBD marker"),
-    (r"(?i)\bFIXME\b", "FIXME marker"),
-    (r"(?U)(?<![\w?])\?{2,}(?![\w?])", "bare question-mark placeholder"),
-    (r"(?i)\bplaceholder\b", "the word placeholder"),
-    (r"(?i)\blorem ipsum\b", "lorem ipsum"),
+    (rf"(?i){BEFORE}TODO{AFTER}", "TODO marker"),
+    (rf"{BEFORE}XXX{AFTER}", "XXX marker"),
+    (rf"(?i){BEFORE}TBD{AFTER}", "TBD marker"),
+    (rf"(?i){BEFORE}FIXME{AFTER}", "FIXME marker"),
+    (r"(?<![\p{L}\p{N}_?])\?{2,}(?![\p{L}\p{N}_?])", "bare question-mark placeholder"),
+    (rf"(?i){BEFORE}placeholder{AFTER}", "the word placeholder"),
+    (rf"(?i){BEFORE}lorem ipsum{AFTER}", "lorem ipsum"),
 )
-
-
 #: All white space of Unicode.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 

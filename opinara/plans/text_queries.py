@@ -14,11 +14,12 @@ from .views import table, view, with_views
 
 STOP = "', '".join(T.STOPWORDS)
 HINDI = "', '".join(T.HINDI_LATIN)
-SPACE = r"[\s\x0b\x85\xa0]"
-TRIM = rf"regexp_replace(%s, '^\s+|\s+$', '', 'g')"
+#: All white space, in a class of DuckDB's expressions.
+GAPS = r"\s\x0b\x85\xa0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+TRIM = rf"regexp_replace(%s, '^[{GAPS}]+|[{GAPS}]+$', '', 'g')"
 NORMAL = TRIM % r"regexp_replace(regexp_replace(regexp_replace(raw_text, '[\x{200B}-\x{200D}\x{2060}\x{FEFF}\x00-\x08\x0B\x0C\x0E-\x1F]', '', 'g'), '[ \t]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g')"
-HASH = "sha1(" + TRIM % r"regexp_replace(regexp_replace(lower(t), '[^\p{L}\p{N}_\s]', '', 'g'), '\s+', ' ', 'g')" + ")"
-WORDS = r"len(list_filter(string_split_regex(%s, '\s+'), lambda x: x <> ''))"
+HASH = "sha1(" + TRIM % rf"regexp_replace(regexp_replace(lower(t), '[^\p{{L}}\p{{N}}_{GAPS}]', '', 'g'), '[{GAPS}]+', ' ', 'g')" + ")"
+WORDS = rf"len(list_filter(string_split_regex(%s, '[{GAPS}]+'), lambda x: x <> ''))"
 TOKENS = rf"list_filter(regexp_extract_all(lower(%s), '[\p{{L}}\p{{N}}_\x27]+'), lambda x: x NOT IN ('{STOP}'))"
 
 
@@ -29,8 +30,8 @@ CAPS = "array_to_string(list_filter(c, lambda x, i: NOT coalesce(i > 3 AND x = c
 NORMED = f", q AS (SELECT *, string_split({STRIP % '@RAW@'}, '') AS c FROM said), nn AS (SELECT source, source_id, brand, {TRIM % rf"regexp_replace(regexp_replace({CAPS}, '[ \t]+', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g')"} AS t FROM q)"
 #: Utterances as ``u(source, source_id, t, s, e)``: pieces end where a run of sentence ends stands before white space, and a
 #: recursive query walks a text's pieces with the words of the open utterance.
-BEGINS = r"regexp_matches(piece, '(?i)^[\s\x0b\x85\xa0]*(%s)($|[^\p{L}\p{N}\p{M}_])')"
-UTTERED_OF = (with_views("said") + NORMED).replace("WITH ", "WITH RECURSIVE ", 1) + rf""", x AS (SELECT *, {WORDS % 't'} AS tw, list_filter(string_split(regexp_replace(t, '([.!?\n]+)([\s\x0b\x85\xa0])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda v: v <> '') AS l FROM nn),
+BEGINS = rf"regexp_matches(piece, '(?i)^[{GAPS}]*(%s)($|[^\p{{L}}\p{{N}}\p{{M}}_])')"
+UTTERED_OF = (with_views("said") + NORMED).replace("WITH ", "WITH RECURSIVE ", 1) + rf""", x AS (SELECT *, {WORDS % 't'} AS tw, list_filter(string_split(regexp_replace(t, '([.!?\n]+)([{GAPS}])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda v: v <> '') AS l FROM nn),
     y AS (SELECT source_id, unnest(l) AS piece, generate_subscripts(l, 1) AS k FROM x WHERE tw >= 8),
     p AS (SELECT source_id, k, length(piece) AS n, {WORDS % 'piece'} AS w, {BEGINS % S.CONTINUES} AS c, {BEGINS % S.PRONOUN} AS r, sum(length(piece)) OVER (PARTITION BY source_id ORDER BY k) - length(piece) AS o FROM y),
     f AS (SELECT source_id, k, o, n, w, 1 AS g, w AS gw FROM p WHERE k = 1
@@ -159,13 +160,17 @@ def f25_frozen(spark, d):
     return same.unionByName(less)
 
 
-PLANTED = "SELECT doc_id, CASE WHEN doc_id % 50 = 0 THEN concat(text, chr(10), 'todo: the «baseline» of ', source, chr(10), '  Lorem ipsum, a Placeholder, tbd??  ', chr(10), 'what ?? XXX xxx fixme', chr(10), 'a??b and c???') ELSE text END AS text FROM {documents}"
+def edged(flags: str, word: str) -> str:
+    return rf"'{flags}(^|[^\p{{L}}\p{{N}}_]){word}($|[^\p{{L}}\p{{N}}_])'"
+
+
+PLANTED = "SELECT doc_id, CASE WHEN doc_id % 50 = 0 THEN concat(text, chr(10), 'todo: the «baseline» of ', source, chr(10), '  Lorem ipsum, a Placeholder, tbd??  ', chr(10), 'what ?? XXX xxx fixme', chr(10), 'éTODO, TBDé and कFIXME', chr(10), 'a??b and c???') ELSE text END AS text FROM {documents}"
 
 
 @query(
     "q05_placeholder_findings",
     rf"""WITH d AS ({PLANTED.format(documents="documents")}), lines AS (SELECT doc_id AS file, unnest(string_split(text, chr(10))) AS t, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line FROM d),
-    p AS (SELECT * FROM (VALUES ('«[^»]*»', 'guillemet placeholder'), ('(?i)\bTODO\b', 'TODO marker'), ('\bXXX\b', 'XXX marker'), ('(?i)\bTBD\b', 'TBD marker'), ('(?i)\bFIXME\b', 'FIXME marker'), ('(^|[^\p{{L}}\p{{M}}\p{{N}}_?])\?{{2,}}($|[^\p{{L}}\p{{M}}\p{{N}}_?])', 'bare question-mark placeholder'), ('(?i)\bplaceholder\b', 'the word placeholder'), ('(?i)\blorem ipsum\b', 'lorem ipsum')) v(pattern, kind))
+    p AS (SELECT * FROM (VALUES ('«[^»]*»', 'guillemet placeholder'), ({edged('(?i)', 'TODO')}, 'TODO marker'), ({edged('', 'XXX')}, 'XXX marker'), ({edged('(?i)', 'TBD')}, 'TBD marker'), ({edged('(?i)', 'FIXME')}, 'FIXME marker'), ('(^|[^\p{{L}}\p{{N}}_?])\?{{2,}}($|[^\p{{L}}\p{{N}}_?])', 'bare question-mark placeholder'), ({edged('(?i)', 'placeholder')}, 'the word placeholder'), ({edged('(?i)', 'lorem ipsum')}, 'lorem ipsum')) v(pattern, kind))
     SELECT file, CAST(line AS INT) AS line, kind, substr({TRIM % 't'}, 1, 200) AS text FROM (SELECT * FROM lines WHERE regexp_matches(t, '(?i)«|\?\?|todo|xxx|tbd|fixme|placeholder|lorem')) l JOIN p ON regexp_matches(t, pattern)""",
 )
 def q05(spark, d):
@@ -237,16 +242,20 @@ def s13(spark, d):
     return shapes.flatten_submissions(top, below).withColumn("posted_at", F.col("posted_at").cast("timestamp_ntz"))
 
 
-@query("s14_extract_rows", "SELECT doc_id, CAST(doc_id AS STRING) AS id, text FROM documents WHERE doc_id % 5 <> 4 UNION ALL SELECT doc_id, NULL, NULL FROM documents WHERE doc_id % 5 = 4")
+@query("s14_extract_rows", """SELECT doc_id, CASE WHEN k NOT IN (4, 6) THEN CAST(doc_id AS STRING) END AS id,
+    CASE WHEN k = 7 THEN concat('{"said":"', source, '"}') WHEN k NOT IN (4, 6) THEN text END AS text, CASE WHEN k = 7 THEN 'object' WHEN k NOT IN (4, 6) THEN 'string' END AS kind FROM (SELECT *, doc_id % 8 AS k FROM documents) x""")
 def s14(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", F.array(F.struct(F.col("doc_id").cast("string").alias("id"), "text")).alias("r"))
-    kind = F.col("doc_id") % 5
-    payload = (
-        F.when(kind == 0, F.to_json(F.struct(F.col("r").alias("reviews")))).when(kind == 1, F.to_json(F.struct(F.struct(F.col("r").alias("items")).alias("data"))))
-        .when(kind == 2, F.to_json("r")).when(kind == 3, F.to_json(F.struct(F.col("r").alias("questions")))).otherwise(F.lit('{"other": 1}'))
+    """Payloads of all shapes: known keys alone, two of them at once, one level down, unknown ones, numbers and objects."""
+    docs = table(spark, d, "documents").select("doc_id", "source", F.array(F.struct(F.col("doc_id").cast("string").alias("id"), "text")).alias("r"))
+    other, deep = F.array(F.struct(F.lit("x").alias("id"))), F.array(F.struct(F.col("doc_id").alias("id"), F.struct(F.col("source").alias("said")).alias("text")))
+    shapes_ = (
+        F.struct(F.col("r").alias("reviews")), F.struct(F.struct(F.col("r").alias("items")).alias("data")), F.col("r"), F.struct(F.col("r").alias("questions")), F.struct(F.lit(1).alias("other")),
+        F.struct(F.struct(other.alias("questions")).alias("data"), F.col("r").alias("reviews")), F.struct(F.struct(F.col("r").alias("results")).alias("data")), F.struct(F.lit("no").alias("content"), F.struct(deep.alias("content")).alias("items")),
     )
+    payload = F.coalesce(*(F.when(F.col("doc_id") % 8 == k, F.to_json(shape)) for k, shape in enumerate(shapes_)))
     rows, unknown = shapes.extract_rows(docs.select("doc_id", payload.alias("payload")))
-    return rows.select("doc_id", "id", "text").unionByName(unknown.select("doc_id"), allowMissingColumns=True)
+    kind = F.when(F.schema_of_variant(F.try_variant_get("record", "$.text", "variant")).startswith("OBJECT"), "object").otherwise("string")
+    return rows.select("doc_id", "id", "text", kind.alias("kind")).unionByName(unknown.select("doc_id"), allowMissingColumns=True)
 
 
 @query("s15_coalesce_fields", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN lang WHEN doc_id % 3 = 1 THEN source ELSE text END AS filled, substr(sha1(concat_ws('|', source, text)), 1, 20) AS fallback FROM documents")

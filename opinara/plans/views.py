@@ -6,17 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Area codes with name, tree node, detectability, addressability and proximity weight.
 AREAS = [
-    ("OA-01", "Size unavailable in wanted variant", "V", "strong", 1, 1.0),
+    ("OA-01", "Size unavailable in wanted variant", "V", "strong", 1, 0.9),
     ("OA-02", "Item sold out or delisted after saving", "V", "strong", 1, 1.0),
-    ("OA-03", "Size inconsistency across brands", "D", "strong", 1, 0.9),
-    ("OA-04", "Quality vs. imagery mismatch", "D", "strong", 1, 0.9),
-    ("OA-05", "Fabric / material uncertainty", "D", "moderate", 1, 0.7),
-    ("OA-06", "Return process friction", "D", "strong", 1, 0.7),
-    ("OA-07", "Refund delay or dispute", "D", "strong", 1, 0.6),
-    ("OA-08", "Exchange unavailable or hard", "D", "moderate", 1, 0.5),
-    ("OA-09", "Cannot choose between similar options", "D", "weak", 1, 0.5),
-    ("OA-10", "Forgot / never came back", "R", "none", 1, 0.4),
-    ("OA-11", "Delivery timing uncertainty", "D", "strong", 1, 0.4),
+    ("OA-03", "Size inconsistency across brands", "D", "strong", 1, 0.7),
+    ("OA-04", "Quality vs. imagery mismatch", "D", "strong", 1, 0.7),
+    ("OA-05", "Fabric / material uncertainty", "D", "moderate", 1, 0.6),
+    ("OA-06", "Return process friction", "D", "strong", 1, 0.5),
+    ("OA-07", "Refund delay or dispute", "D", "strong", 1, 0.4),
+    ("OA-08", "Exchange unavailable or hard", "D", "moderate", 1, 0.4),
+    ("OA-09", "Cannot choose between similar options", "D", "weak", 1, 0.9),
+    ("OA-10", "Forgot / never came back", "R", "none", 1, 1.0),
+    ("OA-11", "Delivery timing uncertainty", "D", "strong", 1, 0.5),
     ("OA-12", "Checkout / payment failure", "X", "strong", 1, 0.3),
 ]
 #: Surfaces: eligible as denominator, fixes the brand, implies the stance after purchase, matched group.
@@ -40,6 +40,12 @@ SAID = [
     (-11, "I ordered two sizes last week from here. It came late and torn. They refused to take it back at all! Why?? Nobody says.", "en", "forum"),
     (-12, 'One parcel came. \U0001f600\U0001f600 The other one did not come...\r\nWhich is sad for all of us! \n\n\n\nNo answer since then', "en", "play"),
     (-13, "   ", "en", "play"),
+    (-14, '\u092c\u0939\u0941\u0924 nice app', "hi", "play"),
+    (-15, 'good \u092c\u0939\u0941\u0924 \u0916\u0930\u093e\u092c \u0915\u092a\u0921\u093c\u093e \u092e\u093f\u0932\u093e', "hi", "play"),
+    (-16, '\u092c\u0939\u0941\u0924 slow \u0939\u0948 \u092f\u0939 app', "hi", "appstore"),
+    (-17, 'very nice\xa0app it is not', "en", "play"),
+    (-18, '\xa1 thank you app !', "en", "play"),
+    (-19, 'app\u2003is\xa0crashing \u2026', "en", "play"),
 ]
 
 VIEWS = {

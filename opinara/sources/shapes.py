@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 THREAD = "struct<id:string,text:string,author:string>"
-RECORD = "struct<id:string,text:string,date:string,votes:string,rating:string>"
-#: Keys under which a payload may hold its records.
+#: Keys under which a payload may hold its records, in order of precedence, and such keys one level down.
 RECORD_KEYS = ("questions", "reviews", "content", "data", "results", "items")
+INNER_KEYS = ("questions", "reviews", "content", "items")
+#: Fields of a record that become columns.
+FIELDS = ("id", "text", "date", "votes", "rating")
+
 
 
 def flatten_threads(df: DataFrame, payload: str = "payload") -> DataFrame:
@@ -30,13 +33,21 @@ def flatten_submissions(submissions: DataFrame, comments: DataFrame) -> DataFram
     return rows.withColumn("posted_at", F.timestamp_seconds("created_utc")).drop("created_utc").dropDuplicates(["source_id"])
 
 
-def extract_rows(df: DataFrame, payload: str = "payload") -> tuple[DataFrame, DataFrame]:
-    """(rows, payloads of unknown shape): the record array under one of the known keys, also one level down."""
-    array = lambda c: F.from_json(F.when(c.startswith("["), c), f"array<{RECORD}>")
-    at = [array(F.get_json_object(payload, f"$.{path}")) for k in RECORD_KEYS for path in (k, *(f"{o}.{k}" for o in RECORD_KEYS if o != k))]
-    found = F.coalesce(array(F.col(payload)), *at)
-    held = df.withColumn("_rows", found)
-    return held.where("_rows is not null").withColumn("_r", F.explode("_rows")).select(*df.columns, "_r.*"), held.where("_rows is null").select(*df.columns)
+def extract_rows(df: DataFrame, payload: str = "payload", fields: tuple[str, ...] = FIELDS) -> tuple[DataFrame, DataFrame]:
+    """(rows, payloads of unknown shape): a row for each record, with its ``fields`` as text and the whole ``record`` as a
+    variant, so that numbers and nested objects stay as they are.
+
+    Records are the array under the first known key that holds one, itself or in an object one level down; a payload that
+    is an array holds them itself. A null, torn or too large payload, or one with a key twice in an object, is unknown; an
+    empty array has no rows and is known. A payload is parsed once.
+    """
+    paths = ["$", *(p for k in RECORD_KEYS for p in (f"$.{k}", *(f"$.{k}.{inner}" for inner in INNER_KEYS)))]
+    first = lambda v: F.coalesce(*(F.try_variant_get(v, p, "array<variant>") for p in paths))
+    found = F.transform(F.array(F.try_parse_json(F.col(payload))), first)[0]  # a lambda's variable is computed once
+    # an outer explode, as a filter that a plain one brings would parse once more
+    rows = df.select(*df.columns, F.explode_outer(found).alias("record")).where("record is not null")
+    rows = rows.select(*df.columns, *(F.try_variant_get("record", f"$.{f}", "string").alias(f) for f in fields), "record")
+    return rows, df.where(found.isNull())
 
 
 def merge_last_wins(existing: DataFrame, new: DataFrame, key: str, version: str) -> DataFrame:
