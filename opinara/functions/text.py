@@ -118,10 +118,14 @@ def content_tokens(text: Column, stopwords: Sequence[str] = STOPWORDS) -> Column
 
 
 def lexicon_hits(text: Column, lexicon: dict[str, Sequence[str]]) -> Column:
-    """For each group of a small lexicon its phrases that a lower-case copy of the text holds: ``map<string,array<string>>``."""
-    low = F.lower(text)
-    parts = [x for group, phrases in lexicon.items() for x in (F.lit(group), F.filter(F.array(*map(F.lit, phrases)), lambda p: F.contains(low, p)))]
-    return F.create_map(*parts)
+    """For each group of a small lexicon its phrases that a lower-case copy of the text holds: ``map<string,array<string>>``.
+
+    For a lexicon that is a table, of any size, see ``operators.lexicon``."""
+
+    def held(low: Column) -> Column:
+        return F.create_map(*(x for group, phrases in lexicon.items() for x in (F.lit(group), F.filter(F.array(*map(F.lit, phrases)), lambda p: F.contains(low, p)))))
+
+    return F.transform(F.array(F.lower(text)), held)[0]  # a lambda's variable is computed once
 
 
 def placeholder_kinds(line: Column) -> Column:

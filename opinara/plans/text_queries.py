@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from opinara.functions import segment as S
 from opinara.functions import text as T
-from opinara.operators import checks, prepare
+from opinara.operators import checks, lexicon, prepare
 from opinara.sources import logs, shapes
 
 from .registry import query
@@ -127,6 +127,29 @@ def f15(spark, d):
     return said(spark, d).select("source_id", F.size(hits["stop"]).cast("long").alias("n_stop"), F.size(hits["french"]).cast("long").alias("n_french"))
 
 
+#: A lexicon from the shared tables: words of the benchmark and pairs of words that follow one another in conversations.
+PHRASES = r"""words AS (SELECT DISTINCT 'word' AS grp, w AS phrase FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) AS w FROM benchmark) x),
+    two AS (SELECT DISTINCT concat('turn', CAST(turn AS VARCHAR)) AS grp, concat(t[i], ' ', t[i + 1]) AS phrase FROM (SELECT turn, t, unnest(range(1, len(t))) AS i FROM (SELECT turn, regexp_extract_all(lower(text), '[a-z]{2,}') AS t FROM conversations) x) y),
+    phrases AS (SELECT * FROM words UNION ALL SELECT * FROM two)"""
+
+
+def phrases(spark, d):
+    said = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0))
+    words = table(spark, d, "benchmark").select(F.lit("word").alias("grp"), F.explode(said).alias("phrase"))
+    turns = table(spark, d, "conversations").select(F.concat(F.lit("turn"), "turn").alias("grp"), F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{2,}"), F.lit(0)).alias("t"))
+    two = turns.select("grp", F.explode(F.transform(F.slice("t", F.lit(1), F.greatest(F.size("t") - 1, F.lit(0))), lambda x, i: F.concat_ws(" ", x, F.get("t", i + 1)))).alias("phrase")).where("phrase <> ''")
+    return words.unionByName(two).distinct()
+
+
+@query("f15_lexicon_table", f"""WITH {PHRASES}, p AS (SELECT phrase, count(*) AS n, sum(length(grp)) AS k FROM phrases GROUP BY phrase), b AS (SELECT conv_id, turn, lower(text) AS t FROM conversations)
+    SELECT conv_id, turn, CAST(sum(n) AS BIGINT) AS n_hits, CAST(sum(k) AS BIGINT) AS group_chars, CAST(sum(length(phrase)) AS BIGINT) AS chars FROM b JOIN p ON contains(t, phrase) GROUP BY conv_id, turn""")
+def f15_table(spark, d):
+    hits = lexicon.lexicon_table_hits(table(spark, d, "conversations"), phrases(spark, d))
+    each = hits.select("conv_id", "turn", F.explode("hits").alias("h"))
+    by = each.groupBy("conv_id", "turn", "h.phrase").agg(F.count("*").alias("n"), F.sum(F.length("h.grp")).alias("k"))
+    return by.groupBy("conv_id", "turn").agg(F.sum("n").alias("n_hits"), F.sum("k").alias("group_chars"), F.sum(F.length("phrase").cast("long")).alias("chars"))
+
+
 @query("f16_parse_timestamp_mixed", "SELECT event_id, ts AS parsed FROM events WHERE event_id % 5 <> 4 UNION ALL SELECT event_id, NULL FROM events WHERE event_id % 5 = 4")
 def f16(spark, d):
     from opinara.functions.times import parse_mixed

@@ -157,3 +157,32 @@ def test_unknown_payloads_are_kept_apart(spark):
     df = spark.createDataFrame([(1, '{"reviews": [{"id": "a"}]}'), (2, '{"data": {"items": [{"id": "b"}, {"id": "c"}]}}'), (3, "{}"), (4, "?")], "n int, payload string")
     rows, unknown = shapes.extract_rows(df)
     assert sorted((r["n"], r["id"]) for r in rows.collect()) == [(1, "a"), (2, "b"), (2, "c")] and sorted(r["n"] for r in unknown.collect()) == [3, 4]
+
+
+def test_large_lexicon_equals_contains(spark, data):
+    import duckdb
+
+    from opinara.operators.lexicon import lexicon_table_hits, parts_of
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{data}/documents.parquet'")
+    con.execute(r"""CREATE TABLE lex AS SELECT concat('g', CAST(hash(p) % 3 AS STRING)) AS grp, p AS phrase FROM (SELECT DISTINCT substr(lower(text), CAST(1 + i * 7 AS INT), CAST(3 + i % 9 AS INT)) AS p FROM documents, range(900) t(i)) x WHERE length(p) > 2 LIMIT 100000""")
+    lex = spark.createDataFrame(con.execute("SELECT * FROM lex").df())
+    assert lex.count() > 30_000
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
+    want = con.execute("SELECT doc_id, count(phrase), coalesce(sum(length(phrase)), 0) FROM documents LEFT JOIN lex ON contains(lower(text), phrase) GROUP BY doc_id").fetchall()
+    few = lexicon_table_hits(docs, lex, part_chars=400_000)
+    assert len(parts_of(lex, part_chars=100_000)) > 1 and str(few._jdf.queryExecution().optimizedPlan()).count("contains") == 0
+    for hits in (few, lexicon_table_hits(docs, lex)):
+        each = hits.select("doc_id", F.size("hits").alias("n"), F.aggregate("hits", F.lit(0), lambda a, h: a + F.length(h["phrase"])).alias("c"))
+        assert sorted(map(tuple, each.collect())) == sorted((a, b, int(c)) for a, b, c in want)
+
+
+def test_lexicon_edges(spark):
+    from opinara.operators.lexicon import lexicon_table_hits
+
+    docs = spark.createDataFrame([(1, "The KURTA fits"), (2, None), (3, "")], "k int, text string")
+    lex = spark.createDataFrame([("a", "kurta"), ("b", "kurta"), (None, "fit"), ("a", None), ("a", "kurta"), ("e", "")], "grp string, phrase string")
+    got = {r.k: r.hits and [tuple(h) for h in r.hits] for r in lexicon_table_hits(docs, lex).collect()}
+    assert got == {1: [(None, "fit"), ("a", "kurta"), ("b", "kurta"), ("e", "")], 2: None, 3: [("e", "")]}
+    assert [r.hits for r in lexicon_table_hits(docs, lex.limit(0)).orderBy("k").collect()] == [[], None, []]
