@@ -3,31 +3,67 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from opinara.functions.segment import segment
 from opinara.operators.labels import pending
 from opinara.operators.prepare import normalise
 from opinara.sources.logs import ENVELOPE, KEY
 
+#: Keys of a micro-batch that are told to all tasks, once counted; more are joined by shuffle.
+FEW_KEYS = 200_000
+
 
 def read_stream(spark: SparkSession, path: str, schema: str = ENVELOPE) -> DataFrame:
     return spark.readStream.schema(schema).json(path)
 
 
-def once_per_key(rows: DataFrame, at: str = "captured_at", delay: str = "7 days", key: tuple[str, ...] = KEY) -> DataFrame:
-    """A stream's rows, each key once while it is within the delay, so that state stays bounded."""
-    timed = rows.withColumn("_at", F.coalesce(F.try_to_timestamp(F.col(at).cast("string")), F.timestamp_seconds(F.lit(0))))
-    return timed.withWatermark("_at", delay).dropDuplicatesWithinWatermark(list(key)).drop("_at")
-
-
-def stream_ingest(spark: SparkSession, folder: str, table: str, checkpoint: str, delay: str = "7 days") -> StreamingQuery:
-    """Take what is new in a folder of JSON lines into a table, exactly once for each key, and stop."""
-    rows = once_per_key(read_stream(spark, folder), delay=delay)
-    return rows.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint).partitionBy("source", "brand").trigger(availableNow=True).start()
+def stream_ingest(spark: SparkSession, folder: str, table: str, checkpoint: str, key: tuple[str, ...] = KEY) -> StreamingQuery:
+    """Take what is new in a folder of JSON lines into a table, exactly once for each key over any time, and stop.
+
+    Each micro-batch appends the keys that no earlier one has, as the partition ``batch`` of its number. A batch that is
+    run again after a failure writes over its own partition and compares with those before it, so it ends as it would have
+    at first; a key that returns later, after a restart too, is in the table already. The stream keeps no state: the table
+    itself is the memory, of which a batch reads the key columns. A batch of few keys is told to all tasks, so that only
+    what it may repeat leaves the table's tasks.
+    """
+    rows = read_stream(spark, folder)
+    schema = f"{ENVELOPE}, batch long"
+
+    def take(batch: DataFrame, number: int) -> None:
+        own, once = batch.sparkSession, batch.dropDuplicates(list(key))
+        if number > 0:
+            there = own.read.schema(schema).parquet(table).where(F.col("batch") < number).select(*key)
+            ids = once.select(*key)
+            few = ids.limit(FEW_KEYS + 1).count() <= FEW_KEYS
+            # null-safe: a key part may be null
+            alike = lambda a, b: reduce(lambda x, y: x & y, (a[k].eqNullSafe(b[k]) for k in key))
+            if few:
+                told = F.broadcast(ids)
+                there = there.join(told, alike(there, told), "left_semi").distinct()
+            once = once.join(there, alike(once, there), "left_anti")
+        once.write.mode("overwrite").parquet(f"{table}/batch={number}")
+
+    return rows.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def upsert_stream(counts: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+    """A stream of running aggregates into a table of changes: each micro-batch writes the rows that it changed, open windows
+    too, as the partition ``batch`` of its number, over whatever an interrupted run of it left. See ``running``."""
+    take = lambda batch, number: batch.write.mode("overwrite").parquet(f"{table}/batch={number}")
+    return counts.writeStream.outputMode("update").foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def running(spark: SparkSession, table: str, schema: StructType, key: tuple[str, ...]) -> DataFrame:
+    """The counts so far from a table of changes: of each key the row of the last micro-batch that changed it."""
+    changes = spark.read.schema(StructType([*schema.fields, StructField("batch", LongType())])).parquet(table)
+    last = changes.groupBy(*key).agg(F.max_by(F.struct(*schema.names), "batch").alias("r"))
+    return last.select("r.*")
 
 
 def stream_pending(rows: DataFrame, done: Callable[[], DataFrame], version: str, handle: Callable[[DataFrame], None], checkpoint: str) -> StreamingQuery:

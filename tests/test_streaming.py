@@ -13,14 +13,46 @@ def lines(*ids):
     return "".join(json.dumps(row | {"source_id": i}) + "\n" for i in ids)
 
 
-def test_ingest_takes_each_key_once(spark, tmp_path):
+def test_ingest_takes_each_key_once(spark, tmp_path, monkeypatch):
     (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "1.jsonl").write_text(lines("1", "1", "2"))
     run = lambda: jobs.stream_ingest(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination(120)
+    ids = lambda: sorted(r[0] for r in spark.read.schema(ENVELOPE).parquet(str(tmp_path / "t")).select("source_id").collect())
+    (tmp_path / "in" / "1.jsonl").write_text(lines("1", "1", "2"))
     assert run()
-    (tmp_path / "in" / "2.jsonl").write_text(lines("2", "3"))
+    (tmp_path / "in" / "2.jsonl").write_text(lines("2", "3", "3"))
+    assert run() and ids() == ["1", "2", "3"]
+    # years later, after a restart, with many keys
+    monkeypatch.setattr(jobs, "FEW_KEYS", 1)
+    (tmp_path / "in" / "3.jsonl").write_text(lines("1", "4", "3").replace("2026-", "2036-"))
+    assert run() and ids() == ["1", "2", "3", "4"]
+    assert not (tmp_path / "c" / "state").exists()
+
+
+def test_a_batch_that_runs_again_writes_over_itself(spark, tmp_path):
+    import shutil
+
+    (tmp_path / "in").mkdir()
+    run = lambda: jobs.stream_ingest(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination(120)
+    for k in ("1", "2"):
+        (tmp_path / "in" / f"{k}.jsonl").write_text(lines(k, "9"))
+        assert run()
+    # the log of the last batch's end is lost, as in a crash between its write and its commit
+    for gone in ("1", ".1.crc"):
+        (tmp_path / "c" / "commits" / gone).unlink(missing_ok=True)
     assert run()
-    assert sorted(str(r[0]) for r in spark.read.parquet(str(tmp_path / "t")).select("source_id").collect()) == ["1", "2", "3"]
+    assert sorted(r[0] for r in spark.read.schema(ENVELOPE).parquet(str(tmp_path / "t")).select("source_id").collect()) == ["1", "2", "9"]
+    shutil.rmtree(tmp_path / "t")
+
+
+def test_running_counts_hold_open_windows(spark, tmp_path):
+    log = spark.createDataFrame([(0, "spam"), (5, "spam"), (4000, None)], "s int, reason string").withColumns({"at": F.timestamp_seconds("s"), "source": F.lit("play")})
+    key = ("start", "source", "reason")
+    for part in ("s < 5", "s >= 5"):
+        log.where(part).write.mode("append").parquet(str(tmp_path / "l"))
+        counts = jobs.stream_drop_counts(spark.readStream.schema(log.schema).parquet(str(tmp_path / "l")))
+        assert jobs.upsert_stream(counts, str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination(120)
+    got = jobs.running(spark, str(tmp_path / "t"), counts.schema, key).collect()
+    assert sorted((r.reason or "", r.n) for r in got) == [("", 1), ("spam", 2)]
 
 
 def test_stateless_steps_equal_the_batch_job(spark, tmp_path):
