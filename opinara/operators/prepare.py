@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from opinara.functions import text as T
 
+#: A text hash is heavy if more than one row in so many has it.
+HEAVY = 10_000
 DROP_REASONS = ("no_text", "too_short", "near_dup", "spam", "not_shopping", "wrong_brand")
 
 
@@ -22,6 +24,23 @@ def normalise(df: DataFrame, raw: str = "raw_text", compose: bool = True) -> Dat
     return out.withColumns({"text_sha1": T.text_hash(F.col("normalised_text")), "language": T.detect_language(F.col("normalised_text")), **T.emphasis_flags(F.col(raw))})
 
 
+def _joined_by_hash(df: DataFrame, each: DataFrame, rows: str = "_n") -> DataFrame:
+    """``df`` with the columns of ``each(_h, _n, ...)``, a row for each text hash with its number of rows, null where none is.
+
+    Hashes of more than one row in ``HEAVY`` are fewer than ``HEAVY``, so they are told to all tasks; their rows get a key
+    of their own for the shuffle, by which they are dealt evenly. What is left under one hash is no more than one row in
+    ``HEAVY``.
+    """
+    names = [c for c in each.columns if c not in ("_h", rows)]
+    total = each.agg(F.sum(rows).alias("_all"))
+    heavy = each.join(F.broadcast(total)).where(F.col(rows) * HEAVY > F.col("_all")).drop("_all", rows)  # one row
+    told = df.join(F.broadcast(heavy.select(F.col("_h").alias("_hh"), *(F.col(c).alias(f"_h{c}") for c in names))), F.col("text_sha1") == F.col("_hh"), "left")
+    own = F.when(F.col("_hh").isNull(), F.col("text_sha1")).otherwise(F.concat(F.lit("-"), F.monotonically_increasing_id()))
+    both = told.withColumn("_k", own).join(each.select("_h", *names), F.col("_k") == F.col("_h"), "left")
+    out = both.withColumns({c: F.coalesce(f"_h{c}", c) for c in names})
+    return out.drop("_h", "_hh", "_k", *(f"_h{c}" for c in names))
+
+
 def mark_near_duplicates(df: DataFrame, order: tuple[str, ...] = ("captured_at", "source", "brand", "source_id")) -> DataFrame:
     """``near_dup_of``: the key of the first row with the same hash, null for that row itself.
 
@@ -30,9 +49,9 @@ def mark_near_duplicates(df: DataFrame, order: tuple[str, ...] = ("captured_at",
     """
     key = F.concat_ws(":", "source", "source_id")
     first = df.groupBy("text_sha1").agg(F.min(F.struct(*order)).alias("_o"), F.count("*").alias("_n")).where("_n > 1")
-    first = first.select(F.col("text_sha1").alias("_h"), F.concat_ws(":", "_o.source", F.col("_o.source_id").cast("string")).alias("_first"))
-    both = df.join(first, F.col("text_sha1") == F.col("_h"), "left")
-    return both.withColumn("near_dup_of", F.when(F.col("_first") != key, F.col("_first"))).drop("_h", "_first")
+    first = first.select(F.col("text_sha1").alias("_h"), F.concat_ws(":", "_o.source", F.col("_o.source_id").cast("string")).alias("_first"), "_n")
+    both = _joined_by_hash(df, first)
+    return both.withColumn("near_dup_of", F.when(F.col("_first") != key, F.col("_first"))).drop("_first")
 
 
 def repeat_count(df: DataFrame, approximate: bool = False) -> DataFrame:
@@ -42,18 +61,19 @@ def repeat_count(df: DataFrame, approximate: bool = False) -> DataFrame:
 
 
 def with_repeats(df: DataFrame, limit: int = 5) -> DataFrame:
-    """``n_ids`` where a hash has more ids than the limit, else 0; only those few hashes are joined."""
-    heavy = repeat_count(df).where(F.col("n_ids") > limit).select(F.col("text_sha1").alias("_h"), F.col("n_ids").alias("_n"))
-    return df.join(heavy, F.col("text_sha1") == F.col("_h"), "left").withColumn("n_ids", F.coalesce("_n", F.lit(0))).drop("_h", "_n")
+    """``n_ids`` where a hash has more ids than the limit, else 0; only those hashes are joined."""
+    many = df.groupBy("text_sha1").agg(F.count_distinct("source_id").alias("_ids"), F.count("*").alias("_n")).where(F.col("_ids") > limit)
+    both = _joined_by_hash(df.drop("n_ids"), many.withColumnRenamed("text_sha1", "_h"))
+    return both.withColumn("n_ids", F.coalesce("_ids", F.lit(0))).drop("_ids")
 
 
 def mark_copies(df: DataFrame, limit: int = 5, order: tuple[str, ...] = ("captured_at", "source", "brand", "source_id")) -> DataFrame:
     """``near_dup_of`` and ``n_ids`` as by ``mark_near_duplicates`` and ``with_repeats``, from one aggregate and one join."""
     key = F.concat_ws(":", "source", "source_id")
     each = df.groupBy("text_sha1").agg(F.min(F.struct(*order)).alias("_o"), F.count("*").alias("_n"), F.count_distinct("source_id").alias("_ids")).where("_n > 1")
-    each = each.select(F.col("text_sha1").alias("_h"), F.concat_ws(":", "_o.source", F.col("_o.source_id").cast("string")).alias("_first"), "_ids")
-    both = df.join(each, F.col("text_sha1") == F.col("_h"), "left")
-    return both.withColumns({"near_dup_of": F.when(F.col("_first") != key, F.col("_first")), "n_ids": F.when(F.col("_ids") > limit, F.col("_ids")).otherwise(0)}).drop("_h", "_first", "_ids")
+    each = each.select(F.col("text_sha1").alias("_h"), F.concat_ws(":", "_o.source", F.col("_o.source_id").cast("string")).alias("_first"), "_ids", "_n")
+    both = _joined_by_hash(df, each)
+    return both.withColumns({"near_dup_of": F.when(F.col("_first") != key, F.col("_first")), "n_ids": F.when(F.col("_ids") > limit, F.col("_ids")).otherwise(0)}).drop("_first", "_ids")
 
 
 def drop_reason(brands: dict[str, str] | None = None, *, text: str = "utterance_text", min_tokens: int = 3, min_words: int = 10, repeat_limit: int = 5, url_tokens: int = 15) -> Column:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opinara.sources.logs import shared_folder
+
+#: Groups that are told to all tasks, once counted; more are joined by shuffle.
+FEW_GROUPS = 50_000
 AREA = "opportunity_area"
 STANCES = ("pre_purchase", "at_purchase", "post_purchase", "unclear")
 
@@ -16,12 +20,72 @@ def stance_resolution_report(df: DataFrame) -> DataFrame:
     return out.withColumn("share_moved", F.col("n_moved") / F.col("n"))
 
 
+def exact_medians(df: DataFrame, by: tuple[str, ...], value: str, bracket_rows: int = 100_000, around: float = 0.02) -> DataFrame:
+    """``by, median`` of a column, exactly, nulls and NaN left out, without a task that holds a group's values.
+
+    While a group's bracket has more than ``bracket_rows`` rows, sketches, merged from parts, narrow it to what lies about
+    its middle; the rows below and within are counted, and a bracket that misses the middle is not taken but tried wider.
+    Then the values of each bracket are counted and ordered. The table of groups, as they are reported, is told to all
+    tasks if it is small.
+    """
+    spark = df.sparkSession
+    rows = df.select(F.struct(*by).alias("g"), F.col(value).cast("double").alias("v")).where("v is not null and not isnan(v)")
+
+    def kept(brackets: DataFrame) -> DataFrame:
+        path = shared_folder(spark)
+        brackets.write.parquet(path)
+        return spark.read.schema(brackets.schema).parquet(path)
+
+    def with_brackets(brackets: DataFrame) -> DataFrame:
+        side = brackets.select(F.col("g").alias("_g"), "n", "low", "high", "below", "held")
+        side = F.broadcast(side) if side.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS else side
+        return rows.join(side, F.col("g").eqNullSafe(F.col("_g")) & F.col("v").between(F.col("low"), F.col("high"))).drop("_g")
+
+    rank = lambda up: F.floor((F.col("n") - (0 if up else 1)) / 2)
+    first = rows.groupBy("g").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    brackets = kept(first.select("*", F.lit(0).cast("long").alias("below"), F.col("n").alias("held"), F.lit(around).alias("around"), F.lit(False).alias("done")))
+    wide = (F.col("held") > bracket_rows) & (F.col("low") < F.col("high")) & ~F.col("done")
+    while not brackets.where(wide).isEmpty():
+        inside = with_brackets(brackets.where(wide))
+        drawn = inside.groupBy("g").agg(F.kll_sketch_agg_double("v", F.lit(800)).alias("sketch")).select(F.col("g").alias("_g"), "sketch")
+        both = brackets.where(wide).join(drawn, F.col("g").eqNullSafe(F.col("_g"))).drop("_g")
+        # the sketch is asked for hundredths, as it takes fixed ranks only; the bracket's ends are rounded away from the middle
+        share = lambda up: (rank(up) - F.col("below")) / F.col("held")
+        low = F.get("grid", F.greatest(F.lit(0), F.floor(100 * (share(False) - F.col("around")))).cast("int"))
+        high = F.get("grid", F.least(F.lit(100), F.ceil(100 * (share(True) + F.col("around")))).cast("int"))
+        grid = F.kll_sketch_get_quantile_double("sketch", F.array(*(F.lit(k / 100) for k in range(101))))
+        narrow = kept(both.withColumn("grid", grid).select(F.col("g").alias("_g"), low.alias("_low"), high.alias("_high")))
+        few = F.broadcast(narrow) if narrow.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS else narrow
+        told = inside.join(few, F.col("g").eqNullSafe(F.col("_g"))).groupBy("g", "_low", "_high").agg(F.count_if(F.col("v") < F.col("_low")).alias("_under"), F.count_if(F.col("v").between(F.col("_low"), F.col("_high"))).alias("_held"))
+        both = brackets.join(told.withColumnRenamed("g", "_g"), F.col("g").eqNullSafe(F.col("_g")), "left").drop("_g")
+        hit = (F.col("below") + F.col("_under") <= rank(False)) & (rank(True) < F.col("below") + F.col("_under") + F.col("_held"))
+        take = F.coalesce(hit & (F.col("_held") < F.col("held")), F.lit(False))
+        brackets = kept(both.select(
+            "g", "n", F.when(take, F.col("_low")).otherwise(F.col("low")).alias("low"), F.when(take, F.col("_high")).otherwise(F.col("high")).alias("high"),
+            F.when(take, F.col("below") + F.col("_under")).otherwise(F.col("below")).alias("below"), F.when(take, F.col("_held")).otherwise(F.col("held")).alias("held"),
+            F.when(take, F.lit(around)).otherwise(F.col("around") * 4).alias("around"),
+            # few values hold nearly all rows, or the bracket is all there is: no narrower one will do
+            (F.col("done") | (F.col("_held").isNotNull() & ~take & (F.col("around") > 0.5))).alias("done"),
+        ))
+    values = with_brackets(brackets).groupBy("g", "n", "below", "v").agg(F.count("*").alias("c"))
+    upto = F.col("below") + F.sum("c").over(Window.partitionBy("g").orderBy("v"))
+    placed = values.withColumn("upto", upto)
+    middle = lambda up: F.max(F.when((rank(up) < F.col("upto")) & (rank(up) >= F.col("upto") - F.col("c")), F.col("v")))
+    return placed.groupBy("g").agg(((middle(False) + middle(True)) / 2).alias("median")).select("g.*", "median")
+
+
 def ledger_summary(ledger: DataFrame, by: tuple[str, ...] = ("lane", "provider", "model"), approximate: bool = False) -> DataFrame:
-    middle = F.percentile_approx("latency_s", 0.5) if approximate else F.median("latency_s")
-    return ledger.groupBy(*by).agg(
+    """Calls, good calls, tokens, median latency (exact unless ``approximate``) and waiting time of each group."""
+    aggregates = [
         F.count("*").alias("calls"), F.count_if(F.col("outcome") == "ok").alias("ok"), F.sum(F.coalesce("prompt_tokens", F.lit(0)) + F.coalesce("completion_tokens", F.lit(0))).alias("tokens"),
-        middle.alias("median_latency_s"), F.sum("rate_limit_wait_s").alias("wait_s"),
-    )
+        *([F.percentile_approx("latency_s", 0.5).alias("median_latency_s")] if approximate else []), F.sum("rate_limit_wait_s").alias("wait_s"),
+    ]
+    sums = ledger.groupBy(*by).agg(*aggregates)
+    if approximate:
+        return sums
+    medians = exact_medians(ledger, by, "latency_s").select(F.struct(*by).alias("_g"), F.col("median").alias("median_latency_s"))
+    both = sums.join(medians, F.struct(*by).eqNullSafe(F.col("_g")), "left")
+    return both.select(*by, "calls", "ok", "tokens", "median_latency_s", "wait_s")
 
 
 def quota_status(ledger: DataFrame, lanes: DataFrame, as_of: Column) -> DataFrame:

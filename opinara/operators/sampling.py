@@ -5,41 +5,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Parts of a cell from which the least draws are taken first.
+SALTS = 64
+
 
 def draw(seed: int, *keys: str) -> Column:
     """The seeded order of rows. MD5 is slow to guess and the same in every engine."""
     return F.md5(F.concat_ws("|", *(F.col(k).cast("string") for k in keys), F.lit(str(seed))))
 
 
-def sample_per_cell(df: DataFrame, target: int, seed: int, cell: tuple[str, ...] = ("source", "brand"), id: str = "utterance_id", margin: float = 1.2) -> DataFrame:
-    """Exactly ``target`` rows of each cell, or the whole cell if it is smaller.
+def least_drawn(df: DataFrame, k: int, seed: int, cell: tuple[str, ...], id: str, salts: int = SALTS) -> DataFrame:
+    """The k rows of least draw of each cell with their place ``_rank``, nulls being a cell too.
 
-    Cells may be few and huge, so before any window rows pass a threshold on their seeded draw that leaves about
-    ``target * margin`` of a cell; cells that come short of the target by chance are drawn without it.
+    A cell may be nearly all rows, so the k least are taken of each of ``salts`` parts of a cell first, then of those that
+    are left, at most k * salts rows; where k is small, Spark cuts parts before it moves them.
     """
-    at = F.conv(F.substring(draw(seed, id), 1, 8), 16, 10).cast("double") / 4294967296.0
-    sizes = df.groupBy(*cell).agg(F.count("*").alias("_all"))
-    limit = F.least(F.lit(1.0), (target * margin + 50) / F.col("_all"))
-    rows = df.join(sizes.withColumn("_limit", limit), list(cell)).withColumn("_at", at)
-    enough = rows.where("_at <= _limit").groupBy(*cell).agg(F.count("*").alias("_some"))
-    rows = rows.join(enough, list(cell), "left").where((F.col("_at") <= F.col("_limit")) | (F.coalesce("_some", F.lit(0)) < F.least(F.lit(target), F.col("_all"))))
-    order = Window.partitionBy(*cell).orderBy(draw(seed, id), id)
-    return rows.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= target).select(*df.columns)
+    order = lambda *part: Window.partitionBy(*cell, *part).orderBy("_draw", id)
+    drawn = df.withColumns({"_draw": draw(seed, id), "_salt": F.pmod(F.xxhash64(F.col(id), F.lit(seed)), F.lit(salts))})
+    part = drawn.withColumn("_rank", F.row_number().over(order("_salt"))).where(F.col("_rank") <= k).drop("_rank")
+    return part.withColumn("_rank", F.row_number().over(order())).where(F.col("_rank") <= k).drop("_draw", "_salt")
+
+
+def sample_per_cell(df: DataFrame, target: int, seed: int, cell: tuple[str, ...] = ("source", "brand"), id: str = "utterance_id") -> DataFrame:
+    """Exactly ``target`` rows of each cell, or the whole cell if it is smaller."""
+    return least_drawn(df, target, seed, cell, id).select(*df.columns)
 
 
 def sample_report(df: DataFrame, sampled: DataFrame, target: int, cell: tuple[str, ...] = ("source", "brand")) -> DataFrame:
-    out = df.groupBy(*cell).agg(F.count("*").alias("available")).join(sampled.groupBy(*cell).agg(F.count("*").alias("sampled")), list(cell), "left")
-    return out.select(*cell, "available", F.coalesce("sampled", F.lit(0)).alias("sampled"), (F.coalesce("sampled", F.lit(0)) / F.col("available")).alias("fraction"), (F.col("available") <= target).alias("censused"))
+    """Rows there are and rows sampled of each cell, nulls being a cell too."""
+    both = df.select(*cell, F.lit(0).alias("_s")).unionByName(sampled.select(*cell, F.lit(1).alias("_s"))).groupBy(*cell)
+    out = both.agg(F.count_if(F.col("_s") == 0).alias("available"), F.count_if(F.col("_s") == 1).alias("sampled")).where("available > 0")
+    return out.select(*cell, "available", "sampled", (F.col("sampled") / F.col("available")).alias("fraction"), (F.col("available") <= target).alias("censused"))
 
 
 def stratified_sample(df: DataFrame, keys: tuple[str, ...], total: int, seed: int, id: str = "utterance_id") -> DataFrame:
     """``max(1, total // strata)`` rows of each stratum, all of a smaller one."""
-    strata = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    quota = strata.agg(F.greatest(F.lit(1), F.floor(F.lit(total) / F.count("*"))).alias("_quota"))
-    order = Window.partitionBy(*keys).orderBy(draw(seed, id), id)
-    # the window keeps a rank limit, so no partition sorts more than the limit's rows
-    ranked = df.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= total)
-    return ranked.join(F.broadcast(quota)).where("_rank <= _quota").select(*df.columns)
+    quota = df.select(*keys).distinct().agg(F.greatest(F.lit(1), F.floor(F.lit(total) / F.greatest(F.count("*"), F.lit(1)))).alias("_quota"))
+    ranked = least_drawn(df, total, seed, keys, id)
+    return ranked.join(F.broadcast(quota)).where("_rank <= _quota").select(*df.columns)  # one row
 
 
 def blind_sheet(df: DataFrame, n: int, seed: int, keys: tuple[str, ...] = ("source", "brand"), shown: tuple[str, ...] = ("utterance_id", "source", "brand", "utterance_text"), blanks: tuple[str, ...] = ("opportunity_area", "temporal_stance", "severity", "hesitation_marker", "labeller_note")) -> DataFrame:
@@ -68,8 +71,7 @@ def disagreement_sheet(df: DataFrame, flag: str, n: int, factor: float, seed: in
 def product_frame(df: DataFrame, rating: Column, reviews: Column, per_stratum: int, seed: int, id: str) -> DataFrame:
     """So many products of each category, rating band and review-count band."""
     bands = df.withColumns({"rating_band": rating, "count_band": reviews})
-    order = Window.partitionBy("category", "rating_band", "count_band").orderBy(draw(seed, id), id)
-    return bands.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_stratum).drop("_rank")
+    return least_drawn(bands, per_stratum, seed, ("category", "rating_band", "count_band"), id).drop("_rank")
 
 
 def dedupe_first(df: DataFrame, id: str, order: tuple[str, ...]) -> DataFrame:
@@ -103,20 +105,22 @@ def batch_rows(df: DataFrame, size: int, id: str, cell: tuple[str, ...] = (), la
 
 
 def rolling_usage(ledger: DataFrame, rpm: int, tpm: int, seconds: int = 60) -> DataFrame:
-    """Calls and tokens of a lane in the trailing minute at each call, and whether they are over a limit.
+    """Calls and tokens of a lane in the trailing minute at each call, itself included, and whether they are over a limit.
 
-    Calls are first summed for each lane and second. A window is one task's, so time is cut into stretches of 64 windows,
-    each of which also gets the seconds of one window before it: no task holds a whole lane.
+    Times count to the microsecond: a call sees those before it and those of its own microsecond, and none that is
+    ``seconds`` old. A call without a time stays, with nulls. A window is one task's, so time is cut into stretches of 64
+    windows, and calls of a stretch's last window are lent to the next: no task holds a lane, and nothing is joined back.
     """
-    at, stretch = F.unix_seconds("at"), 64 * seconds
+    width, stretch = seconds * 1_000_000, 64 * seconds * 1_000_000
     spent = F.coalesce("prompt_tokens", F.lit(0)) + F.coalesce("completion_tokens", F.lit(0))
-    each = ledger.select("lane", at.alias("_s"), spent.alias("_t")).groupBy("lane", "_s").agg(F.count("*").alias("_calls"), F.sum("_t").alias("_tokens"))
-    own, later = F.floor(F.col("_s") / stretch), F.floor((F.col("_s") + seconds - 1) / stretch)
-    dealt = each.withColumn("_own", own).withColumn("_part", F.explode(F.array_distinct(F.array(own, later))))
-    w = Window.partitionBy("lane", "_part").orderBy("_s").rangeBetween(-(seconds - 1), 0)
-    sums = dealt.select("lane", "_s", "_own", "_part", F.sum("_calls").over(w).alias("calls"), F.sum("_tokens").over(w).alias("tokens")).where("_own = _part")
-    sums = sums.select(F.col("lane").alias("_lane"), F.col("_s").alias("_second"), "calls", "tokens")
-    out = ledger.join(sums, F.col("lane").eqNullSafe(F.col("_lane")) & at.eqNullSafe(F.col("_second"))).drop("_lane", "_second")
+    timed = ledger.withColumns({"_u": F.unix_micros("at"), "_t": spent})
+    own, later = F.floor(F.col("_u") / stretch), F.floor((F.col("_u") + width - 1) / stretch)
+    # calls without a time see none; they are dealt by their hash, as they may be many
+    apart = F.array(F.pmod(F.xxhash64("lane", F.monotonically_increasing_id()), F.lit(1 << 16)))
+    dealt = timed.withColumn("_own", own).withColumn("_part", F.explode(F.when(F.col("_u").isNull(), apart).otherwise(F.array_distinct(F.array(own, later)))))
+    w = Window.partitionBy("lane", F.col("_u").isNull(), "_part").orderBy("_u").rangeBetween(-(width - 1), 0)
+    known = lambda c: F.when(F.col("_u").isNotNull(), c.over(w))
+    out = dealt.withColumns({"calls": known(F.count("*")), "tokens": known(F.sum("_t"))}).where("_u is null or _own = _part").drop("_u", "_t", "_own", "_part")
     return out.withColumn("over_limit", (F.col("calls") > rpm) | (F.col("tokens") > tpm))
 
 

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -186,3 +187,57 @@ def test_lexicon_edges(spark):
     got = {r.k: r.hits and [tuple(h) for h in r.hits] for r in lexicon_table_hits(docs, lex).collect()}
     assert got == {1: [(None, "fit"), ("a", "kurta"), ("b", "kurta"), ("e", "")], 2: None, 3: [("e", "")]}
     assert [r.hits for r in lexicon_table_hits(docs, lex.limit(0)).orderBy("k").collect()] == [[], None, []]
+
+
+def test_exact_medians_by_brackets(spark):
+    import statistics
+
+    from opinara.operators.reports import exact_medians
+
+    rng, groups = random.Random(2), {}
+    for g, kind in enumerate(("spread", "ties", "two", "one", "same", None)):
+        make = {"spread": lambda: rng.gauss(0, 1), "ties": lambda: float(rng.choice([1, 1, 1, 2, 3])), "two": lambda: float(rng.choice([0, 9])), "one": lambda: 4.0, "same": lambda: 7.0, None: lambda: rng.random() ** 9}[kind]
+        groups[kind] = [make() for _ in range(1 if kind == "one" else 4001 + g % 2)]
+    rows = [(k, x) for k, xs in groups.items() for x in xs] + [("spread", None), ("spread", float("nan")), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    for limit in (20, 1000, 100_000):
+        got = {r.g: r.median for r in exact_medians(df, ("g",), "v", bracket_rows=limit).collect()}
+        assert got == pytest.approx({k: statistics.median(xs) for k, xs in groups.items()})
+
+
+def test_samples_know_null_cells_and_read_once(spark):
+    rows = spark.range(3000).select(F.col("id").alias("utterance_id"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("s"), F.col("id") % 3)).alias("source"), F.when(F.col("id") % 2 > 0, "b").alias("brand"))
+    got = sampling.sample_per_cell(rows, 7, 5)
+    counts = {(r.source, r.brand): r["count"] for r in got.groupBy("source", "brand").count().collect()}
+    assert len(counts) == 6 and set(counts.values()) == {7}
+    want = {}
+    for r in rows.select("*", sampling.draw(5, "utterance_id").alias("d")).collect():
+        want.setdefault((r.source, r.brand), []).append((r.d, r.utterance_id))
+    assert sorted(r.utterance_id for r in got.collect()) == sorted(i for cell in want.values() for _, i in sorted(cell)[:7])
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+    report = {(r.source, r.brand): (r.available, r.sampled) for r in sampling.sample_report(rows, got, 7).collect()}
+    assert set(report.values()) == {(500, 7)}
+    strata = sampling.stratified_sample(rows, ("source", "brand"), 13, 1).groupBy("source", "brand").count().collect()
+    assert [r["count"] for r in strata] == [2] * 6
+
+
+def test_usage_within_a_second_and_without_a_time(spark):
+    at = ["2026-01-01 00:00:00.1", "2026-01-01 00:00:00.9", "2026-01-01 00:01:00.5", None, "2026-01-01 01:03:59.999999", "2026-01-01 01:04:59.999998"]
+    df = spark.createDataFrame([(i, "A", t, 1, None) for i, t in enumerate(at)], "k int, lane string, at string, prompt_tokens int, completion_tokens int").withColumn("at", F.col("at").cast("timestamp"))
+    got = {r.k: (r.calls, r.tokens, r.over_limit) for r in sampling.rolling_usage(df, 1, 100).collect()}
+    assert got == {0: (1, 1, False), 1: (2, 2, True), 2: (2, 2, True), 3: (None, None, None), 4: (1, 1, False), 5: (2, 2, True)}
+
+
+def test_a_hash_on_a_third_of_rows_is_dealt_over_all_tasks(spark):
+    rows = spark.range(30_000).select(F.lit("play").alias("source"), F.lit("b").alias("brand"), F.col("id").cast("string").alias("source_id"), F.col("id").alias("captured_at"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.sha1((F.col("id") % 9_000).cast("string"))).alias("text_sha1"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        marked = prepare.mark_copies(rows)
+        sizes = [r["count"] for r in marked.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 2 * sorted(sizes)[len(sizes) // 2]
+        got = marked.agg(F.count_if((F.col("text_sha1") == "hot") & (F.col("near_dup_of") == "play:0")), F.count_if(F.col("near_dup_of").isNull()), F.max("n_ids")).first()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert tuple(got) == (9_999, 1 + 6_000, 10_000)
