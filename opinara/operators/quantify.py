@@ -21,6 +21,11 @@ def resolve_stance(df: DataFrame, sources: DataFrame) -> DataFrame:
     return out.withColumns({"temporal_stance_resolved": F.when(moved, "post_purchase").otherwise(F.col("temporal_stance")), "stance_resolved_by_surface": F.coalesce(moved, F.lit(False))}).drop("_s", "surface_implies_post_purchase")
 
 
+def look_up(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
+    """``df`` with the columns of a code list, whose size is fixed, null where the code is unknown; no row is lost."""
+    return df.join(F.broadcast(dimension), key, "left")
+
+
 def denominator_eligible(df: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows of eligible sources, rows left out by source)."""
     allowed = F.broadcast(sources.where("denominator_eligible").select("source"))

@@ -83,14 +83,12 @@ def a14(spark, d):
 
 @query("j02_area_lookup", with_views("labelled", "areas") + "SELECT utterance_id, name, detectability, proximity_weight FROM labelled LEFT JOIN areas USING (opportunity_area)")
 def j02(spark, d):
-    dim = F.broadcast(view(spark, d, "areas"))
-    return view(spark, d, "labelled").join(dim, "opportunity_area", "left").select("utterance_id", "name", "detectability", "proximity_weight")
+    return Q.look_up(view(spark, d, "labelled"), view(spark, d, "areas"), "opportunity_area").select("utterance_id", "name", "detectability", "proximity_weight")
 
 
 @query("j03_source_lookup", with_views("labelled", "sources") + "SELECT utterance_id, denominator_eligible, structurally_matched_group FROM labelled LEFT JOIN sources USING (source)")
 def j03(spark, d):
-    dim = F.broadcast(view(spark, d, "sources"))
-    return view(spark, d, "labelled").join(dim, "source", "left").select("utterance_id", "denominator_eligible", "structurally_matched_group")
+    return Q.look_up(view(spark, d, "labelled"), view(spark, d, "sources"), "source").select("utterance_id", "denominator_eligible", "structurally_matched_group")
 
 
 @query("p05_excluded_sources", with_views("labelled", "sources") + "SELECT source, count(*) AS n_excluded FROM labelled JOIN sources USING (source) WHERE NOT denominator_eligible GROUP BY source")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from opinara.sources import logs
@@ -45,6 +46,29 @@ def s05(spark, d):
     return files.select("sha256", "bytes", F.col("closed_at").isNotNull().alias("closed"))
 
 
+@query("s05_large_files", "SELECT count(*) AS n_files, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes, count(*) AS n_alike FROM documents")
+def s05_large(spark, d):
+    """A file for each document, all of them hashed in parts and as whole values: the same digests by both."""
+    path = logs.shared_folder(spark)
+    table(spark, d, "documents").select("doc_id", "text").repartition(8, "doc_id").write.partitionBy("doc_id").option("lineSep", "\n").text(path)
+    files = f"{path}/*/part-*"
+    both = logs.file_manifest(spark, files, whole=0).select("path", "bytes", "sha256").join(logs.file_manifest(spark, files, whole=1 << 30).select("path", F.col("sha256").alias("other")), "path")
+    return both.agg(F.count("*").alias("n_files"), F.sum("bytes").alias("bytes"), F.count_if(F.col("sha256") == F.col("other")).alias("n_alike"))
+
+
+@query(
+    "s04_two_appends",
+    "WITH e AS (SELECT user_id, event_type, event_id FROM events), a AS (SELECT count(*) AS n, count(DISTINCT (user_id, event_type)) AS k FROM e WHERE event_id % 3 = 0), b AS (SELECT count(*) AS n, count(DISTINCT (user_id, event_type)) AS k FROM e) "
+    "SELECT 1 AS run, a.k AS written, a.n - a.k AS skipped, a.k AS total FROM a UNION ALL SELECT 2, b.k - a.k, b.n - (b.k - a.k), b.k FROM a, b UNION ALL SELECT 3, 0, b.n, b.k FROM b",
+)
+def s04_two(spark, d):
+    """A third of the rows, then all, then all again."""
+    path = logs.shared_folder(spark)
+    rows = table(spark, d, "events").select("user_id", "event_type", "event_id")
+    runs = [logs.write_append_dedup(part, path, ("user_id", "event_type"), ("event_type",)).withColumn("run", F.lit(k)) for k, part in enumerate((rows.where("event_id % 3 = 0"), rows, rows), 1)]
+    return runs[0].unionByName(runs[1]).unionByName(runs[2])
+
+
 @query("s07_labelled_table", with_views("labelled") + "SELECT utterance_id, source, brand, opportunity_area, temporal_stance, severity, confidence, hesitation_marker FROM labelled")
 def s07(spark, d):
     path = logs.shared_folder(spark)
@@ -53,12 +77,15 @@ def s07(spark, d):
     return logs.read_table(spark, path, rows.schema)
 
 
-@query("s08_index_csv", INDEX + "SELECT source, temporal_stance, opportunity_area, brand, n_area, n_cell FROM index_")
+@query("s08_index_csv", INDEX + "SELECT source, temporal_stance, opportunity_area, brand, n_area, n_cell, round(oi, 9) AS oi, row_number() OVER (ORDER BY source NULLS FIRST, temporal_stance NULLS FIRST, oi DESC NULLS LAST, opportunity_area NULLS FIRST, brand) AS place FROM index_")
 def s08(spark, d):
+    """The file's lines in order."""
     path = logs.shared_folder(spark)
     rows = R.order_index(index(spark, d)).select("source", "temporal_stance", "opportunity_area", "brand", "n_area", "n_cell", "oi")
     logs.write_index_csv(rows, path)
-    return spark.read.schema(rows.schema).option("header", True).csv(path).drop("oi")
+    place = Window.orderBy(F.monotonically_increasing_id())  # one file of aggregates
+    back = spark.read.schema(rows.schema).option("header", True).csv(path).withColumn("place", F.row_number().over(place))
+    return back.withColumn("oi", F.round("oi", 9))
 
 
 @query("s09_snapshot", with_views("labelled", "ledger") + "SELECT 'labelled' AS \"table\", count(*) AS n_rows, 3 AS n_columns FROM labelled UNION ALL SELECT 'ledger', count(*), 2 FROM ledger")
@@ -105,12 +132,16 @@ def r01(spark, d):
 
 @query("r02_stream_pending", with_views("labelled") + "SELECT utterance_id FROM labelled WHERE utterance_id % 3 <> 0")
 def r02(spark, d):
+    """The label history is a bucketed table, which a micro-batch's join leaves where it is."""
     path = logs.shared_folder(spark)
     rows = view(spark, d, "labelled").select("utterance_id")
     rows.write.parquet(f"{path}/in")
-    done = rows.where("utterance_id % 3 = 0").withColumn("classifier_version", F.lit("v2")).unionByName(rows.withColumn("classifier_version", F.lit("v1")))
+    name = "history_" + path.rsplit("/", 1)[1]
+    logs.bucketed_history(spark, name, f"{path}/history", "utterance_id bigint, classifier_version string", buckets=16)
+    for part, version in (("utterance_id % 3 = 0", "v2"), ("true", "v1")):
+        logs.add_history(rows.where(part).withColumn("classifier_version", F.lit(version)), name)
     stream = spark.readStream.schema(rows.schema).parquet(f"{path}/in")
-    jobs.stream_pending(stream, lambda: done, "v2", lambda batch: batch.write.mode("append").parquet(f"{path}/rows"), f"{path}/log").awaitTermination()
+    jobs.stream_pending(stream, lambda: spark.table(name), "v2", lambda batch: batch.write.mode("append").parquet(f"{path}/rows"), f"{path}/log").awaitTermination()
     return spark.read.schema(rows.schema).parquet(f"{path}/rows")
 
 

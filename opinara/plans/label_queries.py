@@ -181,7 +181,9 @@ def a30(spark, d):
     return RD(A.batch_stability_sweep(view(spark, d, "runs")), "agreement", "floor").select("batch", "n", "agreement", "floor", "omitted")
 
 
-@query("a30_chosen_batch")
+@query("a30_chosen_batch", RUNS + """, f AS (SELECT x AS fx, n AS fn FROM p WHERE batch = 5 AND repeat = 2), g AS (SELECT *, (x + fx) / (n + fn) AS pool, (SELECT count(*) FROM ref) - n AS omitted FROM p, f WHERE repeat = 1),
+    z AS (SELECT *, (x / n - fx / fn) / nullif(sqrt(pool * (1 - pool) * (1 / n + 1 / fn)), 0) AS z FROM g), e AS (SELECT batch, NOT (coalesce(abs(z) > 1.959963985, false) AND x / n < fx / fn) AND omitted = 0 AS eligible FROM z)
+    SELECT batch, eligible, coalesce(batch = (SELECT max(batch) FROM e WHERE eligible), false) AS chosen FROM e""")
 def a30_chosen(spark, d):
     return A.batch_stability_sweep(view(spark, d, "runs")).select("batch", "eligible", "chosen")
 

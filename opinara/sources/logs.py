@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from py4j.protocol import Py4JJavaError
+from pyarrow import fs
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -69,8 +75,12 @@ def new_rows(rows: DataFrame, there: DataFrame | None, key: tuple[str, ...] = KE
 
 
 def write_append_dedup(rows: DataFrame, path: str, key: tuple[str, ...] = KEY, partition: tuple[str, ...] = ("source", "brand")) -> DataFrame:
-    """Append new rows to the table at ``path``; one row ``written, skipped, total``. A second run writes nothing."""
-    spark = rows.sparkSession
+    """Append new rows to the table at ``path``; one row ``written, skipped, total``. A second run writes nothing.
+
+    Rows are counted on their way in; what the table holds before and after is told by its files' footers, no column of
+    which is read.
+    """
+    spark, asked = rows.sparkSession, Observation()
     try:
         there = spark.read.schema(rows.schema).parquet(path)
     except Exception as error:
@@ -78,15 +88,51 @@ def write_append_dedup(rows: DataFrame, path: str, key: tuple[str, ...] = KEY, p
             raise
         there = None
     before = 0 if there is None else there.count()
-    new_rows(rows, there, key).write.mode("append").partitionBy(*partition).parquet(path)
+    new_rows(rows.observe(asked, F.count("*").alias("n")), there, key).write.mode("append").partitionBy(*partition).parquet(path)
     total = spark.read.schema(rows.schema).parquet(path).count()
-    return spark.range(1).select(F.lit(total - before).alias("written"), (F.lit(rows.count()) - (total - before)).alias("skipped"), F.lit(total).alias("total"))
+    skipped = counted(asked, rows) - (total - before)
+    return spark.range(1).select(F.lit(total - before).alias("written"), F.lit(skipped).alias("skipped"), F.lit(total).alias("total"))
+
+
+def counted(told: Observation, rows: DataFrame) -> int:
+    """What an observation ``n`` of a finished job tells; rows are counted if the job's plan was cut short beside it."""
+    try:
+        return told.get["n"]
+    except (Py4JJavaError, KeyError):
+        return rows.count()
+
+
+#: Bytes of a file up to which it is hashed as one value; larger ones are read in parts of CHUNK bytes.
+WHOLE_FILE, CHUNK = 32 << 20, 4 << 20
+
 
+def _hash_in_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        digests = []
+        for path in batch.column("path").to_pylist():
+            # the path as Hadoop says it, nothing escaped: scheme, maybe a host, place
+            scheme, host, place = re.fullmatch(r"(?:([a-z0-9+.-]+):)?(?://([^/]*))?(/.*)", path, re.S | re.I).groups()
+            store, root = (fs.LocalFileSystem(), "") if scheme in (None, "file") else fs.FileSystem.from_uri(f"{scheme}://{host or ''}")
+            digest = hashlib.sha256()
+            with store.open_input_stream(root.rstrip("/") + place) as stream:
+                while chunk := stream.read(CHUNK):
+                    digest.update(chunk)
+            digests.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string())], names=[*batch.schema.names, "sha256"])
 
-def file_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """``path, sha256, bytes, closed_at`` of each file."""
+
+def file_manifest(spark: SparkSession, path: str, whole: int = WHOLE_FILE) -> DataFrame:
+    """``path, sha256, bytes, closed_at`` of each file, of any size.
+
+    A file of up to ``whole`` bytes is one value, hashed where it is read. Larger ones are only listed (their contents are
+    not read), dealt over tasks, and hashed there in parts of CHUNK bytes, through the file systems that Arrow knows. Spark lists no file without a byte.
+    """
     files = spark.read.format("binaryFile").load(path)
-    return files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"), F.col("modificationTime").alias("closed_at"))
+    meta = (F.col("length").alias("bytes"), F.col("modificationTime").alias("closed_at"))
+    small = files.where(F.col("length") <= whole).select("path", F.sha2("content", 256).alias("sha256"), *meta)
+    large = files.where(F.col("length") > whole).select("path", *meta).repartition("path")
+    hashed = large.mapInArrow(_hash_in_chunks, "path string, bytes long, closed_at timestamp, sha256 string")
+    return small.unionByName(hashed)
 
 
 def verify_manifest(manifest: DataFrame, files: DataFrame) -> DataFrame:
@@ -107,21 +153,37 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str) -> Data
 
 def write_index_csv(df: DataFrame, path: str) -> None:
     """One CSV file with header in index order; the index is an aggregate of cells, so one file holds it."""
-    df.orderBy("source", "temporal_stance", F.desc_nulls_last("oi"), "opportunity_area").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.orderBy("source", "temporal_stance", F.desc_nulls_last("oi"), "opportunity_area", *(c for c in ("brand",) if c in df.columns)).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def snapshot(tables: dict[str, DataFrame], keep: tuple[str, ...], path: str) -> DataFrame:
     """Write each table's kept columns (never review bodies) and return ``table, n_rows``."""
     counts = []
     for name, df in tables.items():
-        slim = df.select(*[c for c in keep if c in df.columns])
-        slim.write.mode("overwrite").parquet(f"{path}/{name}")
-        counts.append(df.sparkSession.read.schema(slim.schema).parquet(f"{path}/{name}").select(F.lit(name).alias("table")).groupBy("table").agg(F.count("*").alias("n_rows")))
-    out = counts[0]
-    for more in counts[1:]:
-        out = out.unionByName(more)
-    return out
+        slim, told = df.select(*[c for c in keep if c in df.columns]), Observation()
+        slim.observe(told, F.count("*").alias("n")).write.mode("overwrite").parquet(f"{path}/{name}")
+        counts.append((name, counted(told, slim)))
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame(counts, "table string, n_rows long")
 
 
 def read_gold_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+
+
+def bucketed_history(spark: SparkSession, name: str, path: str, schema: str, id: str = "utterance_id", buckets: int = 512) -> DataFrame:
+    """The table ``name`` at ``path``, made if it is not there yet, bucketed by id: a join on the id leaves it where it is.
+
+    Rows are added by ``add_history``. A new session names the table again and finds the rows. ``buckets`` should be no
+    less than the session's shuffle partitions, else Spark may shuffle the table all the same.
+    """
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet CLUSTERED BY ({id}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
+def add_history(rows: DataFrame, name: str, id: str = "utterance_id") -> None:
+    """Append rows to a bucketed table, one file for each bucket that they touch."""
+    spark = rows.sparkSession
+    buckets = next(int(r["data_type"]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r["col_name"] == "Num Buckets")
+    columns = spark.table(name).columns
+    rows.select(*columns).repartition(buckets, id).write.mode("append").format("parquet").bucketBy(buckets, id).saveAsTable(name)

@@ -241,3 +241,35 @@ def test_a_hash_on_a_third_of_rows_is_dealt_over_all_tasks(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert tuple(got) == (9_999, 1 + 6_000, 10_000)
+
+
+def test_large_files_are_hashed_in_parts(spark, tmp_path):
+    import hashlib
+
+    kinds = {"a.bin": b"x" * 10, "b c%20ü+#.bin": bytes(range(256)) * 40_000}
+    for name, data in kinds.items():
+        (tmp_path / name).write_bytes(data)
+    for whole in (0, 100, 1 << 30):
+        got = logs.file_manifest(spark, str(tmp_path), whole=whole).collect()
+        assert sorted((r["sha256"], r["bytes"]) for r in got) == sorted((hashlib.sha256(d).hexdigest(), len(d)) for d in kinds.values()), whole
+
+
+def test_history_stays_where_it_is(spark, tmp_path):
+    name = "history_" + tmp_path.name.replace("-", "_")
+    logs.bucketed_history(spark, name, str(tmp_path / "h"), "utterance_id bigint, classifier_version string", buckets=8)
+    for low in (0, 50):
+        logs.add_history(spark.range(low, low + 50).select(F.col("id").alias("utterance_id"), F.lit("v1").alias("classifier_version")), name)
+    rows = spark.range(0, 200, 3).withColumnRenamed("id", "utterance_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = labels.pending(rows, spark.table(name), "v1")
+        ids = sorted(r[0] for r in left.collect())
+        plan = left._jdf.queryExecution().executedPlan().toString().split("Final Plan")[-1].split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ids == [i for i in range(0, 200, 3) if i >= 100]
+    assert plan.count("Exchange hashpartitioning") == 1 and "SelectedBucketsCount: 8" in plan  # the new rows move, the history does not
+    # another session finds the rows under the same path
+    spark.sql(f"DROP TABLE {name}")
+    assert logs.bucketed_history(spark, name, str(tmp_path / "h"), "utterance_id bigint, classifier_version string", buckets=8).count() == 100
+    spark.sql(f"DROP TABLE {name}")
