@@ -1,16 +1,18 @@
 """Main text of web pages by differencing each page with its nearest neighbour by URL.
 
-A page becomes its text lines (blocks) in order. Pages are dealt and sorted by host and path, so that a page's neighbours
-in that order are the nearest by path; the one with the longer common path is its pair. The two pages' lines are aligned by
-longest common subsequence and lines that they share are deleted, within an article (``<article>``, ``<main>``,
-``role=main``) as elsewhere: what a site repeats from page to page is not a page's own text. Only where the shared lines make
-up half or more of the shorter of the two articles (a page without one counts as a whole) do the pages carry the same article, and its lines stay. Of what is left,
-markup that is never text of the article (menus, headers, footers, asides, forms, scripts, styles, adverts, notices,
-comments) goes too, and if an article holds half or more of the rest, the lines outside it.
+A page becomes its text lines (blocks) in order. Pages are dealt and sorted by host and path, so that the pages about one in
+that order are the nearest by path. Of the NEAR pages on either side on the same host those that carry the same article are
+passed over, and the one with the longest common path is the pair. The two pages'
+lines are aligned by longest common subsequence, and lines that they share are taken for the site's own, if more than that one
+coincidence speaks for it: half or more of the different pages nearby must hold the line. Within an article (``<article>``,
+``<main>``, ``role=main``) there must be SURE such pages at least, of which four fifths hold it, as prose is quoted and
+copied too; a heading always stays. Of what is left, markup that is never text of the article (menus, headers, footers, asides,
+forms, scripts, styles, adverts, notices, comments) goes, and if an article holds half or more of the rest, the lines outside
+it.
 
 A range of the sort order is one task's, so a host with very many pages is spread over many tasks. The ranges are found from
-the URLs alone; the first and last page of each are also sent to the range beside it, as context only, so that a page at an
-edge is compared with its neighbour on the other side and the result does not hang on where the edges are.
+the URLs alone; the NEAR pages before and after each are also sent to it, as context only, so that the result does not hang on
+where the edges are.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from __future__ import annotations
 import html as entities
 import re
 from bisect import bisect_right
+from collections import Counter, deque
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
@@ -36,6 +39,9 @@ WEAK_MARKS = frozenset("banner comment comments menu notice notices promo relate
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 #: Pages a range has, about, and the most ranges.
 PART, RANGES = 4096, 10_000
+#: Pages on either side that are looked at, and how many must differ from the page before a line of an article may go.
+NEAR, SURE = 5, 4
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: Cells of an alignment's table that is held whole.
 SMALL = 10_000
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
@@ -73,11 +79,11 @@ def _left_out(tag: str, attributes: dict[str, str], inside: bool) -> bool:
     return any(_marked(attributes[name]) for name in ("class", "id") if name in attributes)
 
 
-def page_lines(source: str | None) -> list[tuple[str, bool, bool]]:
-    """(text, within an article, left out) of each block that has text, in page order; references decoded, white space one
+def page_lines(source: str | None) -> list[tuple[str, bool, bool, bool]]:
+    """(text, within an article, left out, heading) of each block that has text, in page order; references decoded, white space one
     space. Elements that are not closed end with the element around them."""
     source = source or ""
-    lines: list[tuple[str, bool, bool]] = []
+    lines: list[tuple[str, bool, bool, bool]] = []
     words: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # tag, article, left out
     article = out = False
@@ -87,7 +93,7 @@ def page_lines(source: str | None) -> list[tuple[str, bool, bool]]:
             text = " ".join("".join(words).split())
             words.clear()
             if text:
-                lines.append((text, article, out))
+                lines.append((text, article, out, any(x in HEADINGS for x, _, _ in stack)))
 
     at, n = 0, len(source)
     while at < n:
@@ -193,86 +199,137 @@ def _main(lines: list[dict]) -> list[dict]:
     return [x for x in text if x["article"]] or text
 
 
-def _own(page: dict, before: dict | None, after: dict | None) -> str:
-    """The page's text after differencing with the nearer of its neighbours on the same host."""
-    near = [p for p in (before, after) if p is not None and p["host"] == page["host"]]
-    pair = max(near, key=lambda p: _common(p["path"], page["path"]), default=None)
-    lines = page["lines"]
-    own = lines
-    if pair is not None:
+def _alike(a: dict, b: dict) -> bool:
+    """Whether two pages carry one article: of the shorter one's text they share half or more or, where a page does not say
+    what its article is and the site's own lines count too, nine tenths."""
+    mine, other = Counter(x["text"] for x in _main(a["lines"])), Counter(x["text"] for x in _main(b["lines"]))
+    both, least = sum(len(x) * n for x, n in (mine & other).items()), min(_size(_main(a["lines"])), _size(_main(b["lines"])))
+    marked = all(any(x["article"] and not x["left"] for x in p["lines"]) for p in (a, b))
+    return 10 * both >= (5 if marked else 9) * least
+
+
+def _own(page: dict, near: list[dict]) -> str:
+    """The page's text after differencing with the nearest of the pages about it."""
+    lines = own = page["lines"]
+    others = [p for p in near if p["host"] == page["host"] and not _alike(page, p)]
+    if others:
+        pair = max(others, key=lambda p: _common(p["path"], page["path"]))
         hits = shared([x["text"] for x in lines], [x["text"] for x in pair["lines"]])
-        both = _size([x for x, hit in zip(lines, hits, strict=True) if hit and x["article"] and not x["left"]])
-        same = 2 * both >= min(_size(_main(lines)), _size(_main(pair["lines"])))
-        own = [x for x, hit in zip(lines, hits, strict=True) if not hit or same and x["article"]]
+        held = Counter(x for p in others for x in {line["text"] for line in p["lines"]})
+
+        def goes(x: dict) -> bool:
+            if x["heading"]:
+                return False
+            return len(others) >= SURE and 5 * held[x["text"]] >= 4 * len(others) if x["article"] else 2 * held[x["text"]] >= len(others)
+
+        own = [x for x, hit in zip(lines, hits, strict=True) if not (hit and goes(x))]
     own = [x for x in own if not x["left"]]
     inside = [x for x in own if x["article"]]
     return "\n".join(x["text"] for x in (inside if 2 * _size(inside) >= _size(own) else own))
 
 
-def _place(url: str | None, page_id: int | None) -> tuple[str, str, int]:
-    """A page's place in the order: host, path, id (a null id is the least)."""
+def _place(url: str | None, page_id: int | None, digest: int) -> tuple[str, str, int, int]:
+    """A page's place in the order: host, path, id (a null id is the least), digest of the source."""
     try:
         at = urlsplit(url or "")
         host, path = at.netloc.lower(), at.path
     except ValueError:
         host, path = "", url or ""
-    return host, path, -(2**63) if page_id is None else page_id
+    return host, path, -(2**63) if page_id is None else page_id, digest
 
 
-def _edges(slim: DataFrame) -> list[tuple[tuple, tuple]]:
-    """The first and last place of each range, in order; they come from the URLs alone and are few."""
+PLACE = pa.schema([("host", pa.string()), ("path", pa.string()), ("id", pa.int64()), ("digest", pa.int64())])
+
+
+def _edges(slim: DataFrame) -> list[list[tuple]]:
+    """For each range in order its first and last NEAR places, all of them if it has fewer; a few for each range, from the URLs."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [_place(u, i) for u, i in zip(batch.column("url").to_pylist(), batch.column("page_id").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.int64()), strict=False)] if rows else [pa.array([], t) for t in (pa.string(), pa.string(), pa.int64())], names=["host", "path", "id"])
-
-    urls = slim.select("page_id", "url")
+            rows = [_place(*r) for r in zip(*(batch.column(c).to_pylist() for c in ("url", "page_id", "digest")), strict=True)]
+            yield pa.RecordBatch.from_pylist([dict(zip(PLACE.names, r, strict=True)) for r in rows], PLACE)
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, last = [], deque(maxlen=NEAR)
+        for row in (r for batch in batches for r in batch.to_pylist()):
+            if len(first) < NEAR:
+                first.append(row)
+            else:
+                last.append(row)
+        yield pa.RecordBatch.from_pylist([*first, *last], PLACE)
+
+    urls = slim.select("page_id", "url", "digest")
     n = min(RANGES, max(1, -(-urls.count() // PART)))
-    dealt = urls.mapInArrow(places, "host string, path string, id long").repartitionByRange(n, "host", "path", "id")
-    place = F.struct("host", "path", "id")
-    found = dealt.groupBy(F.spark_partition_id().alias("_r")).agg(F.min(place).alias("first"), F.max(place).alias("last")).collect()
-    return sorted((tuple(r["first"]), tuple(r["last"])) for r in found)
+    kinds = "host string, path string, id long, digest long"
+    dealt = urls.mapInArrow(places, kinds).repartitionByRange(n, *PLACE.names).sortWithinPartitions(*PLACE.names)
+    found = dealt.mapInArrow(ends, kinds).withColumn("part", F.spark_partition_id()).collect()
+    parts: dict[int, list[tuple]] = {}
+    for r in found:
+        parts.setdefault(r["part"], []).append(tuple(r)[:4])
+    return sorted(parts.values())
+
+
+def _context(edges: list[list[tuple]]) -> dict[tuple, list[int]]:
+    """To which further ranges a place is sent as context: those of which it is among the NEAR before or after."""
+    flat = [(place, k) for k, places in enumerate(edges) for place in places]
+    out: dict[tuple, list[int]] = {}
+    at = 0
+    for k, places in enumerate(edges):
+        for place, own in flat[max(0, at - NEAR) : at] + flat[at + len(places) : at + len(places) + NEAR]:
+            if own != k and k not in out.setdefault(place, []):
+                out[place].append(k)
+        at += len(places)
+    return out
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """``pages(page_id, url, html)`` -> ``page_id, url, text, n_chars``, a row for each row.
 
     A null or empty page has the text ''; a null url is a host of its own with an empty path; rows that repeat a url are
-    neighbours; one page alone has no pair and keeps all that is not left out; an empty table gives no rows; other columns
+    neighbours, by id and then by source; one page alone has no pair and keeps all that is not left out; an empty table gives no rows; other columns
     are ignored. Whole pages are read, whatever their length; an alignment holds no more than a row of its table for long ones.
     """
-    slim = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    html = F.col("html").cast("string")
+    slim = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"), F.xxhash64(html).alias("digest"))
     edges = _edges(slim)
-    firsts = [first for first, _ in edges]
-    line = pa.struct([("text", pa.string()), ("article", pa.bool_()), ("left", pa.bool_())])
-    lines = "array<struct<text:string,article:boolean,left:boolean>>"
-    types = [("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("path", pa.string()), ("id", pa.int64()), ("lines", pa.list_(line)), ("range", pa.int32()), ("context", pa.bool_())]
+    firsts, context = [places[0] for places in edges], _context(edges)
+    line = pa.struct([("text", pa.string()), ("article", pa.bool_()), ("left", pa.bool_()), ("heading", pa.bool_())])
+    lines = "array<struct<text:string,article:boolean,left:boolean,heading:boolean>>"
+    types = [("page_id", pa.int64()), ("url", pa.string()), *((f.name, f.type) for f in PLACE), ("lines", pa.list_(line)), ("range", pa.int32()), ("context", pa.bool_())]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 rows = []
                 for page in batch.slice(start, 512).to_pylist():
-                    place = _place(page["url"], page["page_id"])
-                    at = bisect_right(firsts, place) - 1
-                    row = (page["page_id"], page["url"], *place, [{"text": t, "article": a, "left": o} for t, a, o in page_lines(page["html"])])
-                    rows.append((*row, at, False))
-                    if place == edges[at][0] and at:
-                        rows.append((*row, at - 1, True))
-                    if place == edges[at][1] and at + 1 < len(edges):
-                        rows.append((*row, at + 1, True))
+                    place = _place(page["url"], page["page_id"], page["digest"])
+                    row = (page["page_id"], page["url"], *place, [dict(zip(("text", "article", "left", "heading"), x, strict=True)) for x in page_lines(page["html"])])
+                    rows.append((*row, bisect_right(firsts, place) - 1, False))
+                    rows += [(*row, k, True) for k in context.get(place, ())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), types, strict=True)], names=[k for k, _ in types])
 
     def difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settled() -> Iterator[dict]:
-            before = page = None
-            for after in (p for batch in batches for start in range(0, batch.num_rows, 128) for p in batch.slice(start, 128).to_pylist()):
-                if page is not None and not page["context"]:
-                    yield {"page_id": page["page_id"], "url": page["url"], "text": _own(page, before, after if after["range"] == page["range"] else None)}
-                before, page = page if page is not None and after["range"] == page["range"] else None, after
-            if page is not None and not page["context"]:
-                yield {"page_id": page["page_id"], "url": page["url"], "text": _own(page, before, None)}
+            held, done = [], 0  # pages of one range, of which so many are settled; NEAR before and after one are at hand
+
+            def settle(behind: int) -> Iterator[dict]:
+                nonlocal done
+                while len(held) - done > behind:
+                    page, near = held[done], held[max(0, done - NEAR) : done] + held[done + 1 : done + 1 + NEAR]
+                    done += 1
+                    if done > NEAR:
+                        del held[0]
+                        done -= 1
+                    if not page["context"]:
+                        yield {"page_id": page["page_id"], "url": page["url"], "text": _own(page, near)}
+
+            for page in (p for batch in batches for start in range(0, batch.num_rows, 128) for p in batch.slice(start, 128).to_pylist()):
+                if held and held[-1]["range"] != page["range"]:
+                    yield from settle(0)
+                    held, done = [], 0
+                held.append(page)
+                yield from settle(NEAR)
+            yield from settle(0)
 
         schema, rows = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())]), []
         for row in settled():
@@ -283,6 +340,6 @@ def main_text(pages: DataFrame) -> DataFrame:
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    parsed = slim.mapInArrow(parse, f"page_id long, url string, host string, path string, id long, lines {lines}, range int, context boolean")
-    placed = parsed.repartitionById(max(1, len(edges)), F.col("range")).sortWithinPartitions("range", "host", "path", "id")
+    parsed = slim.mapInArrow(parse, f"page_id long, url string, host string, path string, id long, digest long, lines {lines}, range int, context boolean")
+    placed = parsed.repartitionById(max(1, len(edges)), F.col("range")).sortWithinPartitions("range", *PLACE.names)
     return placed.mapInArrow(difference, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))

@@ -419,18 +419,79 @@ def test_pages_meet_across_the_edges_of_ranges(spark, monkeypatch):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def plain_main_text(rows):
+    """Every page beside all others of its host in order, one by one."""
+    pages = sorted(({"page_id": i, "url": u, "html": h, "place": html_diff._place(u, i, zlib.crc32((h or "").encode()))} for i, u, h in rows), key=lambda p: p["place"])
+    told = lambda p: [x for x in p["lines"] if not x[2]]
+    main = lambda p: [x for x in told(p) if x[1]] or told(p)
+    size = lambda xs: sum(len(x[0]) for x in xs)
+    for p in pages:
+        p["lines"] = html_diff.page_lines(p["html"])
+    out = {}
+    for k, p in enumerate(pages):
+        others = []
+        for q in pages[max(0, k - 5) : k] + pages[k + 1 : k + 6]:
+            both = sum((collections.Counter(x[0] for x in main(p)) & collections.Counter(x[0] for x in main(q))).get(x, 0) * len(x) for x in {x[0] for x in main(p)})
+            part = 0.5 if all(any(x[1] and not x[2] for x in y["lines"]) for y in (p, q)) else 0.9
+            if q["place"][0] == p["place"][0] and both < part * min(size(main(p)), size(main(q))):
+                others.append(q)
+        left = list(p["lines"])
+        if others:
+            path = lambda q: next((i for i, (a, b) in enumerate(zip(q["place"][1], p["place"][1])) if a != b), min(len(q["place"][1]), len(p["place"][1])))
+            pair = max(others, key=path)
+            hits = html_diff.shared([x[0] for x in p["lines"]], [x[0] for x in pair["lines"]])
+            left = []
+            for x, hit in zip(p["lines"], hits, strict=True):
+                share = sum(any(y[0] == x[0] for y in q["lines"]) for q in others) / len(others)
+                if not hit or x[3] or (x[1] and (len(others) < 4 or share < 0.8)) or (not x[1] and share < 0.5):
+                    left.append(x)
+        left = [x for x in left if not x[2]]
+        inside = [x for x in left if x[1]]
+        out[p["page_id"]] = "\n".join(x[0] for x in (inside if 2 * size(inside) >= size(left) else left))
+    return out
+
+
+def test_pages_equal_a_plain_twin_and_articles_stay_whole(spark, data, monkeypatch):
+    df = spark.read.parquet(f"{data}/pages.parquet").repartition(3)
+    rows = [tuple(r) for r in df.select("page_id", "url", "html").collect()]
+    bare = [(i, u, re.sub(r"</?article>| class=\"[^\"]*\"", "", h)) for i, u, h in rows]
+    kept = total = 0
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for part in (3, 4096):
+            monkeypatch.setattr(html_diff, "PART", part)
+            got = {r["page_id"]: r["text"] for r in html_diff.main_text(df).collect()}
+            assert got == plain_main_text(rows)
+        without = {r["page_id"]: r["text"] for r in html_diff.main_text(spark.createDataFrame(bare, "page_id long, url string, html string")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for i, _, h in rows:
+        # no line that the tags put into the article is lost, headings least of all
+        article = [x[0] for x in html_diff.page_lines(h) if x[1] and not x[2]]
+        assert got[i].split("\n") == article
+        told = collections.Counter(without[i].split("\n"))
+        kept += sum((told & collections.Counter(article)).values())
+        total += max(sum(told.values()), len(article))
+    assert kept >= 0.9 * total
+
+
 def test_differencing_decides_inside_articles(spark):
-    page = lambda own, outside="": f"<body><nav>Home</nav><article><h1>{own}</h1><p>{own} is said here at some length, and of {own} only<p>Share this with a friend</article>{outside}<footer>f</footer>"
-    said = lambda own: f"{own}\n{own} is said here at some length, and of {own} only"
+    page = lambda own, outside="": f"<body><nav>Home</nav><article><h1>{own}</h1><h2>Details</h2><p>{own} is said here at some length, and of {own} only<p>Share this with a friend</article>{outside}<footer>f</footer>"
+    said = lambda own: f"{own}\nDetails\n{own} is said here at some length, and of {own} only"
     long = "<div>The main text stands outside of the article, " + "and it is long " * 9 + "</div>"
     small = lambda n: f"<div>Site name</div><article>Teaser {n}</article>" + long.replace("The", f"The {n}")
-    rows = [(1, "http://a.example/1", page("Cats")), (2, "http://a.example/2", page("Dogs", "<div>Link list of two</div>")), (3, "http://b.example/1", page("Birds")), (4, "http://b.example/2", page("Birds"))]
-    rows += [(5, "http://c.example/1", small(1)), (6, "http://c.example/2", small(2)), (7, "http://d.example/1", page("Fish")), (8, "http://d.example/2", "<div>Share this with a friend</div><div>Other text without an article</div>")]
+    names = ["Cats", "Dogs", "Fish", "Owls", "Bees", "Ants"]
+    rows = [(k, f"http://a.example/{k}", page(name, "<div>Link list of two</div>" if k == 2 else "")) for k, name in enumerate(names)]
+    rows += [(11, "http://b.example/1", page("Birds")), (12, "http://b.example/2", page("Birds")), (17, "http://d.example/1", page("Eels")), (18, "http://d.example/2", "<div>Share this with a friend</div><div>Other text without an article</div>")]
+    rows += [(15, "http://c.example/1", small(1)), (16, "http://c.example/2", small(2))]
+    # a line that one neighbour happens to share is prose
+    rows += [(20 + k, f"http://e.example/{k}", f"<article><h1>{name}</h1><p>{name} and nothing else in this text<p>{'Quoted by two' if k in (2, 3) else name}</article>") for k, name in enumerate(names)]
     got = {r["page_id"]: r["text"] for r in html_diff.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)).collect()}
-    assert (got[1], got[2]) == (said("Cats"), said("Dogs"))
-    assert got[3] == got[4] == said("Birds") + "\nShare this with a friend"
-    assert got[5].startswith("Teaser 1\nThe 1 main text") and got[6].startswith("Teaser 2\nThe 2 main text")
-    assert (got[7], got[8]) == (said("Fish"), "Other text without an article")
+    assert [got[k] for k in range(6)] == [said(name) for name in names]
+    assert got[11] == got[12] == said("Birds") + "\nShare this with a friend"  # the same article twice tells nothing
+    assert got[15].startswith("Teaser 1\nThe 1 main text") and got[16].startswith("Teaser 2\nThe 2 main text")
+    assert (got[17], got[18]) == (said("Eels") + "\nShare this with a friend", "Other text without an article")
+    assert got[22].endswith("Quoted by two") and got[23].endswith("Quoted by two")
 
 
 def test_longest_common_subsequence():
@@ -461,9 +522,9 @@ def test_attributes_are_read_as_such():
     kept = ['<p title="a hidden gem">x</p>', '<section class="social science">x</section>', '<p><img alt="hidden, class=ad">x</p>', '<p data-role="navigation">x</p>', "<p aria-label='role=dialog'>x</p>", '<p class="comment-free text social">x</p>']
     gone = ["<p hidden>x</p>", '<div class="ad">x</div>', '<div class="social-links big">x</div>', '<div id=comments>x</div>', '<p role="navigation">x</p>', "<p aria-hidden='true'>x</p>", '<div class="left sidebar">x</div>', "<form>x</form>"]
     for source in kept[:-1]:
-        assert [(t, out) for t, _, out in html_diff.page_lines(source)] == [("x", False)], source
+        assert [(t, out) for t, _, out, _ in html_diff.page_lines(source)] == [("x", False)], source
     for source in gone:
-        assert [(t, out) for t, _, out in html_diff.page_lines(source)] == [("x", True)], source
+        assert [(t, out) for t, _, out, _ in html_diff.page_lines(source)] == [("x", True)], source
 
 
 # ---- mixing -----------------------------------------------------------------------------------------------
