@@ -28,8 +28,14 @@ STORED, GROUP = 256, 2048
 PAIRS, SLACK = 65_536, 1e-5
 
 
+def levelled(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two that bring their largest component to 0.5 to 1, so that no product of two over- or underflows;
+    cosines stay as they are."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Unit rows of x as int8 values (held as float32), their scales, and the norm of what quantisation leaves out."""
+    """Unit rows of levelled x as int8 values (held as float32), their scales, and the norm of what quantisation leaves out."""
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     scale = np.maximum(np.abs(unit).max(axis=1), 1e-300) / 127
     q = np.rint(unit / scale[:, None])
@@ -39,6 +45,7 @@ def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def tile(x: np.ndarray, y: np.ndarray, threshold: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places (i, j) of the pairs with cosine >= threshold, in parts; only i < j if x and y are the same rows."""
+    x, y = levelled(x), levelled(y)
     (qx, sx, ex), (qy, sy, ey) = quantise(x), quantise(y)
     nx, ny = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
     span = max(1, (1 << 24) // (127 * 127))  # dimensions whose integer products stay exact

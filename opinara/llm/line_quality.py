@@ -130,11 +130,14 @@ def apply(docs: DataFrame, **limits) -> DataFrame:
     remove; ``n_chars``, if there, follows. See ``judge`` for limits and edge cases; rows with a null text go."""
     host = limits.get("host", "source")
     verdict = _judged(docs, **limits).where("kept").select(F.col("_host").alias("_h"), F.col("_doc").alias("_d"), "drop_lines").dropDuplicates(["_h", "_d"])
-    both = docs.join(verdict, F.col(host).eqNullSafe(F.col("_h")) & (F.xxhash64("text") == F.col("_d")))
+    # rows travel whole under one name, so that no column of theirs clashes with others
+    rows = docs.select(F.struct("*").alias("row"), F.col(host).alias("_host"), F.col("text").alias("text"))
+    both = rows.join(verdict, F.col("_host").eqNullSafe(F.col("_h")) & (F.xxhash64("text") == F.col("_d")))
     raw, keys = F.split("text", "\n", -1), F.transform(F.split(normalised(F.col("text")), "\n", -1), lambda x: keyed(x))
     paired = F.zip_with(raw, keys, lambda x, k: F.struct(x.alias("x"), k.alias("k")))
     bare = F.array_join(F.transform(F.filter(paired, lambda p: p["k"].isNull() | ~F.array_contains("drop_lines", p["k"])), lambda p: p["x"]), "\n")
-    out = both.withColumn("text", F.when(F.size("drop_lines") > 0, bare).otherwise(F.col("text")))
+    out = both.select("row", F.when(F.size("drop_lines") > 0, bare).otherwise(F.col("text")).alias("text"))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*(new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))

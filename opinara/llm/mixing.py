@@ -128,5 +128,7 @@ def mixed(docs: DataFrame, *, seed: int = 7, **params) -> DataFrame:
     taken = mix(docs, seed=seed, **params).where("size > 0").groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("_times"))
     chance = (_number(_draw(seed + 3, "doc_id")) % 1_000_000) / 1_000_000
     copies = taken.select(F.col("doc_id").alias("_id"), (F.floor("_times") + (F.col("_times") - F.floor("_times") > chance).cast("int")).cast("int").alias("_copies")).where("_copies > 0")
-    both = docs.where(word_count(F.col("text")) > 0).join(copies, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    # rows travel whole under one name, so that no column of theirs clashes with others
+    rows = docs.where(word_count(F.col("text")) > 0).select(F.struct("*").alias("row"), F.col("doc_id").alias("_doc"))
+    both = rows.join(copies, F.col("_doc").eqNullSafe(F.col("_id")))
+    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("row.*")

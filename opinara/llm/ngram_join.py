@@ -444,4 +444,6 @@ def one_of_each(docs: DataFrame, **limits) -> DataFrame:
     """The rows of ``docs`` whose document is the least of its component, one row for each; rows without words stay."""
     groups = jaccard_components(docs, **limits)
     kept = cut(groups.where("component_id <=> doc_id").select(F.col("doc_id").alias("_id")).distinct())
-    return docs.join(checked_broadcast(kept), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(*docs.columns)
+    # rows travel whole under one name, so that no column of theirs clashes with others
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_doc"))
+    return rows.join(checked_broadcast(kept), F.col("_doc").eqNullSafe(F.col("_id")), "left_semi").select("row.*")

@@ -11,12 +11,14 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import os
 import re
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import slices
@@ -253,39 +255,54 @@ def pseudonymiser(key: bytes, reverse: bool = False) -> Callable[[str], tuple[st
     return run
 
 
+#: Keys drawn for applications that name none; they are written nowhere.
+_DRAWN: dict[str, bytes] = {}
+
+
 def session_key(spark: SparkSession) -> bytes:
-    """The key that the session names in spark.opinara.pii.key. Only the synthetic tables of the registered queries may do
-    without: their key is no secret, and whoever has it can go back from pseudonyms to values."""
-    return spark.conf.get("spark.opinara.pii.key", "synthetic tables only").encode()
+    """The key that the session names in spark.opinara.pii.key; an error if it names none."""
+    named = spark.conf.get("spark.opinara.pii.key", None)
+    if not named:
+        raise ValueError("spark.opinara.pii.key must name the key of pseudonyms")
+    return named.encode()
+
+
+def passing_key(spark: SparkSession) -> bytes:
+    """The session's key or, if it names none, one drawn at random for this application and thrown away with it: equal values
+    stay linked in what the application writes, and nobody can go back from pseudonyms to values."""
+    if spark.conf.get("spark.opinara.pii.key", None):
+        return session_key(spark)
+    return _DRAWN.setdefault(spark.sparkContext.applicationId, os.urandom(32))
 
 
-def pseudonymise(docs: DataFrame, *, key: bytes, text: str = "text", reverse: bool = False) -> DataFrame:
+def pseudonymise(docs: DataFrame, *, key: bytes, text: str = "text", reverse: bool = False, counts: bool = True) -> DataFrame:
     """``docs`` with the column ``text`` rewritten and ``n_email ... n_phone`` (long) added; all other columns stay.
 
     ``key`` is the secret that the permutations hang on. Whole texts are searched, however long. A null text stays null and
     counts 0; texts without such values come back unchanged; equal rows give equal rows, so repeated rows stay equal; an
-    empty table gives none. Columns that are named like an added one are replaced by it. The domain of a mail address, the
+    empty table gives none. Columns that are named like an added one are replaced by it; without ``counts`` none is added and
+    all stay. The domain of a mail address, the
     country of an IBAN and country codes of phones stay as they are. ``reverse`` undoes a run with the same key.
     """
     if not key:
         raise ValueError("a key is needed")
-    names = [f"n_{k}" for k in KINDS]
+    names = [f"n_{k}" for k in KINDS] if counts else []
     rest = [c for c in docs.columns if c not in names]
-    held = docs.select(*rest)
+    held = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)))  # whatever their names
     where = rest.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         change = pseudonymiser(key, reverse)
         for batch in slices(batches):
-            texts, counts = [], {k: [] for k in KINDS}
+            texts, found = [], {k: [] for k in KINDS}
             for t in batch.column(where).to_pylist():
                 made, n = (None, {}) if t is None else change(t)
                 texts.append(made)
                 for k in KINDS:
-                    counts[k].append(n.get(k, 0))
+                    found[k].append(n.get(k, 0))
             columns = list(batch.columns)
             columns[where] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(counts[k], pa.int64()) for k in KINDS)], names=[*rest, *names])
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(found[k], pa.int64()) for k in KINDS if counts)], names=[*rest, *names])
 
-    schema = StructType([*held.schema.fields, *(StructField(n, LongType()) for n in names)])
+    schema = StructType([*(StructField(c, f.dataType) for c, f in zip(rest, held.schema.fields, strict=True)), *(StructField(n, LongType()) for n in names)])
     return held.mapInArrow(run, schema)

@@ -133,3 +133,11 @@ def test_error_bound_holds():
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     near = (q.astype(float) * s[:, None]) @ (q.astype(float) * s[:, None]).T
     assert (np.abs(unit @ unit.T - near) <= e[:, None] + e + e[:, None] * e + 1e-6).all()
+
+
+def test_finite_vectors_of_any_size_link(spark):
+    rows = [(1, [1e200, 1e200]), (2, [1e200, 1.01e200]), (3, [1e-200, 1e-200]), (4, [3e-320, 3e-320]), (5, [-1e200, 1e200]), (6, [1e308, -1e308]), (7, [0.0, 0.0]), (8, [float("inf"), 1.0]), (9, [1.0, 1.0])]
+    with np.errstate(all="raise"):
+        assert (np.abs(embed_dedup.levelled(np.array([r[1] for r in rows[:6]]))).max(axis=1) >= 0.5).all()
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (4, 1), 2: (4, 1), 3: (4, 1), 4: (4, 1), 9: (4, 1), 5: (0, 5), 6: (0, 6), 7: (0, 7), 8: (0, 8)}
