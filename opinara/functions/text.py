@@ -117,6 +117,22 @@ def content_tokens(text: Column, stopwords: Sequence[str] = STOPWORDS) -> Column
     return F.filter(tokens, lambda t: ~t.isin(*stopwords))
 
 
+def has_words(text: Column, n: int) -> Column:
+    """Whether a text has n words or more; the rest of it is not looked at."""
+    return text.rlike(rf"(?U)^\s*+(?:\S++\s++){{{n - 1}}}\S")
+
+
+#: Characters in which most texts show as many content words as any rule asks for.
+GLANCE = 1000
+
+
+def has_content_tokens(text: Column, n: int) -> Column:
+    """Whether a text has n content words or more. A long text is searched whole only if its beginning, whose last word may
+    be cut, does not have n already."""
+    start = F.size(content_tokens(F.substring(text, 1, GLANCE))) > n
+    return ((F.length(text) > GLANCE) & start) | (F.size(content_tokens(text)) >= n)
+
+
 def lexicon_hits(text: Column, lexicon: dict[str, Sequence[str]]) -> Column:
     """For each group of a small lexicon its phrases that a lower-case copy of the text holds: ``map<string,array<string>>``.
 

@@ -82,15 +82,14 @@ def drop_reason(brands: dict[str, str] | None = None, *, text: str = "utterance_
     ``brands`` are patterns by brand; they matter only where ``brand_fixed`` is false, as on a forum.
     """
     said = F.col(text)
-    tokens = F.size(T.content_tokens(said))
-    long = T.word_count(said) >= min_words
+    long = T.has_words(said, min_words)
     own = F.concat_ws(":", "source", "source_id")
     out = (
         F.when(F.coalesce(T.trimmed(said), F.lit("")) == "", "no_text")
-        .when(tokens < min_tokens, "too_short")
-        .when(long & F.col("near_dup_of").isNotNull() & (F.col("near_dup_of") != own), "near_dup")
-        .when(said.rlike(T.URL) & (tokens < url_tokens), "spam")
-        .when(long & (F.col("n_ids") > repeat_limit), "spam")
+        .when(~T.has_content_tokens(said, min_tokens), "too_short")
+        .when(F.col("near_dup_of").isNotNull() & (F.col("near_dup_of") != own) & long, "near_dup")
+        .when(~T.has_content_tokens(said, url_tokens) & said.rlike(T.URL), "spam")
+        .when((F.col("n_ids") > repeat_limit) & long, "spam")
         .when(said.rlike(T.GENERIC) | said.rlike(T.CRASH), "not_shopping")
     )
     if brands:

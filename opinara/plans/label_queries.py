@@ -82,10 +82,9 @@ def j09(spark, d):
     return labels.pending(rows, done, "v2").select("utterance_id")
 
 
-@query("u02_u03_id_sets", with_views("labelled") + "SELECT count(*) FILTER (WHERE utterance_id % 2 = 0 AND utterance_id % 3 = 0) AS n_both, count(*) FILTER (WHERE utterance_id % 2 = 0 AND utterance_id % 3 <> 0) AS n_left FROM labelled")
+@query("u02_u03_id_sets", with_views("labelled", "gold") + "SELECT count(*) FILTER (WHERE utterance_id IN (SELECT utterance_id FROM gold)) AS n_both, count(*) FILTER (WHERE utterance_id NOT IN (SELECT utterance_id FROM gold)) AS n_left FROM labelled")
 def u02(spark, d):
-    rows = view(spark, d, "labelled").select("utterance_id")
-    a, b = rows.where("utterance_id % 2 = 0"), rows.where("utterance_id % 3 = 0")
+    a, b = (view(spark, d, name).select("utterance_id") for name in ("labelled", "gold"))
     both = checks.common_ids(a, b).select(F.lit(1).alias("k")).unionByName(checks.missing_ids(a, b).select(F.lit(0).alias("k")))
     return both.agg(F.count_if(F.col("k") == 1).alias("n_both"), F.count_if(F.col("k") == 0).alias("n_left"))
 

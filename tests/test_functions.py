@@ -124,3 +124,13 @@ def test_times(spark):
 def test_composed_text(spark):
     df = spark.createDataFrame([("Title", "<b>Body</b> &amp; more."), (None, "x"), ("", "")], "a string, b string")
     assert [r[0] for r in df.select(T.compose_text(F.col("a"), F.col("b"))).collect()] == ["Title. Body & more", "x", ""]
+
+
+def test_counts_up_to_a_number_are_those_of_whole_texts(spark):
+    rng, bits = random.Random(8), ["the", "kurta", "is", "hair", "hai", "it's", ".", "é", "\n", "\xa0", "  "]
+    texts = [" ".join(rng.choice(bits) for _ in range(rng.randrange(30))) for _ in range(300)] + ["the " * n + "kurta " * k + "x" * m for n in (0, 248, 249, 250, 251) for k in (0, 2, 3, 15) for m in (0, 5, 900)] + [None]
+    df = spark.createDataFrame([(x,) for x in texts], "t string")
+    t = F.col("t")
+    whole = [F.size(T.content_tokens(t)) >= 3, F.size(T.content_tokens(t)) >= 15, T.word_count(t) >= 10]
+    short = [T.has_content_tokens(t, 3), T.has_content_tokens(t, 15), T.has_words(t, 10)]
+    assert df.where(~F.array(*whole).eqNullSafe(F.array(*short)) & t.isNotNull()).count() == 0
