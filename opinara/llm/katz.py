@@ -362,6 +362,18 @@ def _sum(rows: list, kind: type = np.int64) -> np.ndarray:
     return np.sum([np.frombuffer(bytes(r["value"]), kind) for r in rows], axis=0)
 
 
+def _hot_words(answers: DataFrame, tokens: int, buckets: int) -> DataFrame:
+    """``key`` of the words that are more than one in HOT * buckets of all tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                many = np.frombuffer(row["value"], np.int64) * HOT * buckets > tokens
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(row["key"], np.int64)[many])], names=["key"])
+
+    return answers.where(F.col("chunk") == "*large").select("key", "value").mapInArrow(run, "key long")
+
+
 def _hot_sums(pair_answers: DataFrame) -> DataFrame:
     """Each hot context with its sums over all partitions of the pair table."""
     names = [*(f"low{r}" for r in range(1, K + 1)), "more", "below"]
@@ -397,9 +409,9 @@ def katz_scores(docs: DataFrame, *, buckets: int | None = None, keep: str | None
         return spark.createDataFrame([], _SCORES)
     tokens, types, *n = (int(x) for x in _sum(stats))
     words = _words(tokens, types, n)
-    large = answers.where(F.col("chunk") == "*large").select("key", "value").collect()
-    hot = np.concatenate([[START], *(np.frombuffer(bytes(r["key"]), np.uint64)[np.frombuffer(bytes(r["value"]), np.int64) * HOT * buckets > tokens] for r in large)]).astype(np.uint64)
-    hot = np.unique(hot)  # no more than HOT * buckets and one
+    # of a share of all tokens each, so no more than HOT * buckets of them
+    found = [r["key"] % 2**64 for r in _hot_words(answers, tokens, buckets).collect()]
+    hot = np.unique(np.array([int(START), *found], np.uint64))
     chunks = answers.where(F.col("chunk").startswith("chunk"))
     pair_answers = cut(_by(_by(chunks, "chunk", parts, _ask(uri, hot, buckets)), "bucket", buckets, _pair_answers(words, hot, keep)))
     pair_stats = pair_answers.where(F.col("chunk") == STATS).select("value").collect()
