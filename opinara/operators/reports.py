@@ -205,7 +205,7 @@ def emit_index(cells: DataFrame, comparisons: DataFrame) -> DataFrame:
 
 def never_observed(areas: DataFrame, cells: DataFrame) -> DataFrame:
     """Areas of strong or moderate detectability without any row."""
-    return areas.where(F.col("detectability").isin("strong", "moderate")).join(cells.select(AREA), AREA, "left_anti")
+    return areas.where(F.col("detectability").isin("strong", "moderate")).join(cells.select(AREA).distinct(), AREA, "left_anti")
 
 
 def blind_spots(areas: DataFrame, cells: DataFrame, sources: DataFrame) -> DataFrame:
