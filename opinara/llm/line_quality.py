@@ -96,18 +96,20 @@ def judge(docs: DataFrame, **limits) -> DataFrame:
     ``n_left_words`` and ``kept``; ``drop_lines`` are the keys of the lines to remove.
 
     Limits: ``host`` (column), ``most`` and ``rate`` (a line is removed if more documents of its host hold it than both),
-    ``least_words`` and ``least_part`` (what must be left). Rows that repeat a doc_id are judged each by its own text. Null
+    ``least_words`` and ``least_part`` (what must be left), ``copies_once`` (rows of a host with one and the same text are one
+    document, so that exact copies do not make their own text boilerplate; if not, each doc_id with its text is one). Rows that repeat a doc_id are judged each by its own text. Null
     hosts are one host; a null or empty text fails the base rule (no words); very long texts are judged whole; ties do not
     occur; an empty table gives no rows; extra columns are ignored.
     """
     return _judged(docs, **limits).drop("_host", "_doc")
 
 
-def _judged(docs: DataFrame, *, host: str = "source", most: int = MOST, rate: float = RATE, least_words: int = LEAST_WORDS, least_part: float = LEAST_PART) -> DataFrame:
+def _judged(docs: DataFrame, *, host: str = "source", most: int = MOST, rate: float = RATE, least_words: int = LEAST_WORDS, least_part: float = LEAST_PART, copies_once: bool = True) -> DataFrame:
     """``judge`` with ``_host`` and ``_doc``, which tell apart the texts of rows that repeat a doc_id."""
     held = measures(docs.select("doc_id", F.col(host).alias("_host"), "text"))
     held = cut(held.withColumn("_each", each_line(F.col("text"))).withColumn("_doc", F.xxhash64("text")).drop("text"))
-    bad = cut(frequent_lines(held, most, rate))
+    told = held if copies_once else held.withColumn("_doc", F.xxhash64("doc_id", "_doc"))
+    bad = cut(frequent_lines(told, most, rate))
     flat = held.select("_host", "_doc", F.posexplode("_each").alias("_at", "_l")).select("_host", "_doc", "_at", F.col("_l.k").alias("_key"), F.col("_l.n").alias("_n"))
     near = F.broadcast(bad) if bad.limit(200_001).count() <= 200_000 else bad
     hit = flat.alias("f").join(near.alias("b"), (F.col("f._key") == F.col("b._key")) & F.col("f._host").eqNullSafe(F.col("b._host")))

@@ -392,6 +392,14 @@ def test_discounts_are_those_of_good_turing(spark, data):
     assert min(row) >= 1
 
 
+def test_copies_are_one_document_or_many(spark):
+    text = "A line of this text that stands in each of its copies\nand another one, with some more words than that"
+    df = spark.createDataFrame([(i, text, "a") for i in range(30)] + [(99, "other words " + "and so on in a text of its own " * 3, "a")], "doc_id long, text string, source string")
+    once = {r.doc_id: (r.n_removed_lines, r.kept) for r in line_quality.judge(df).collect()}
+    each = {r.doc_id: (r.n_removed_lines, r.kept) for r in line_quality.judge(df, copies_once=False).collect()}
+    assert once[0] == (0, True) and each[0] == (2, False) and each[99] == once[99]
+
+
 # ---- pages ----------------------------------------------------------------------------------------------
 
 
