@@ -73,7 +73,8 @@ def cap_runs(text: Column, least: int = 4, to: int = 3) -> Column:
 
 
 def collapse_space(text: Column) -> Column:
-    return trimmed(F.regexp_replace(F.regexp_replace(text, r"[ \t]+", " "), r"\n{3,}", "\n\n"))
+    # a single space is left where it is
+    return trimmed(F.regexp_replace(F.regexp_replace(text, r"[ \t]{2,}|\t", " "), r"\n{3,}", "\n\n"))
 
 
 def normalise(text: Column, compose: bool = True) -> Column:
@@ -83,7 +84,7 @@ def normalise(text: Column, compose: bool = True) -> Column:
 def text_hash(text: Column) -> Column:
     """SHA-1 of a copy without case, punctuation and runs of space."""
     bare = F.regexp_replace(F.lower(text), r"(?U)[^\p{L}\p{N}_\s]", "")
-    return F.sha1(trimmed(F.regexp_replace(bare, r"(?U)\s+", " ")))
+    return F.sha1(trimmed(F.regexp_replace(bare, r"(?U)\s{2,}|[^\S ]", " ")))
 
 
 def detect_language(text: Column, words: Sequence[str] = HINDI_LATIN) -> Column:
