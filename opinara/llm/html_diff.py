@@ -199,13 +199,20 @@ def _main(lines: list[dict]) -> list[dict]:
     return [x for x in text if x["article"]] or text
 
 
+def _profile(page: dict) -> tuple[Counter, int, bool, frozenset]:
+    """The article's lines, their size, whether the page says what its article is, and all its lines; found once for a page."""
+    if "profile" not in page:
+        main = _main(page["lines"])
+        page["profile"] = Counter(x["text"] for x in main), _size(main), any(x["article"] and not x["left"] for x in page["lines"]), frozenset(x["text"] for x in page["lines"])
+    return page["profile"]
+
+
 def _alike(a: dict, b: dict) -> bool:
     """Whether two pages carry one article: of the shorter one's text they share half or more or, where a page does not say
     what its article is and the site's own lines count too, nine tenths."""
-    mine, other = Counter(x["text"] for x in _main(a["lines"])), Counter(x["text"] for x in _main(b["lines"]))
-    both, least = sum(len(x) * n for x, n in (mine & other).items()), min(_size(_main(a["lines"])), _size(_main(b["lines"])))
-    marked = all(any(x["article"] and not x["left"] for x in p["lines"]) for p in (a, b))
-    return 10 * both >= (5 if marked else 9) * least
+    (mine, n, marked, _), (other, m, also, _) = _profile(a), _profile(b)
+    both = sum(len(x) * k for x, k in (mine & other).items()) if mine.keys() & other.keys() else 0
+    return 10 * both >= (5 if marked and also else 9) * min(n, m)
 
 
 def _own(page: dict, near: list[dict]) -> str:
@@ -215,7 +222,7 @@ def _own(page: dict, near: list[dict]) -> str:
     if others:
         pair = max(others, key=lambda p: _common(p["path"], page["path"]))
         hits = shared([x["text"] for x in lines], [x["text"] for x in pair["lines"]])
-        held = Counter(x for p in others for x in {line["text"] for line in p["lines"]})
+        held = Counter(x for p in others for x in _profile(p)[3])
 
         def goes(x: dict) -> bool:
             if x["heading"]:
