@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -106,15 +107,41 @@ def counted(told: Observation, rows: DataFrame) -> int:
 WHOLE_FILE, CHUNK = 32 << 20, 4 << 20
 
 
+def _stored(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path as Hadoop says it, nothing escaped (scheme, maybe a host, place), and the place there."""
+    scheme, host, place = re.fullmatch(r"(?:([a-z0-9+.-]+):)?(?://([^/]*))?(/.*)", path, re.S | re.I).groups()
+    store, root = (fs.LocalFileSystem(), "") if scheme in (None, "file") else fs.FileSystem.from_uri(f"{scheme}://{host or ''}")
+    return store, root.rstrip("/") + place
+
+
+def write_each(rows: DataFrame, path: str, text: str = "text") -> int:
+    """A file ``path/part/row`` for each row, its text and a line feed; how many. A task that runs again writes over its files.
+
+    A Spark writer makes two files and starts a process for each to set its rights on a local disk, and its driver moves them
+    one by one; so many small files go through the file systems that Arrow knows.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, place = _stored(f"{path}/{TaskContext.get().partitionId()}")
+        store.create_dir(place, recursive=True)
+        n = 0
+        for batch in batches:
+            for value in batch.column(0).to_pylist():
+                with store.open_output_stream(f"{place}/{n}") as out:
+                    out.write(f"{value or ''}\n".encode())
+                n += 1
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+
+    return rows.select(text).mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def _hash_in_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         digests = []
         for path in batch.column("path").to_pylist():
-            # the path as Hadoop says it, nothing escaped: scheme, maybe a host, place
-            scheme, host, place = re.fullmatch(r"(?:([a-z0-9+.-]+):)?(?://([^/]*))?(/.*)", path, re.S | re.I).groups()
-            store, root = (fs.LocalFileSystem(), "") if scheme in (None, "file") else fs.FileSystem.from_uri(f"{scheme}://{host or ''}")
+            store, place = _stored(path)
             digest = hashlib.sha256()
-            with store.open_input_stream(root.rstrip("/") + place) as stream:
+            with store.open_input_stream(place) as stream:
                 while chunk := stream.read(CHUNK):
                     digest.update(chunk)
             digests.append(digest.hexdigest())
@@ -125,12 +152,13 @@ def file_manifest(spark: SparkSession, path: str, whole: int = WHOLE_FILE) -> Da
     """``path, sha256, bytes, closed_at`` of each file, of any size.
 
     A file of up to ``whole`` bytes is one value, hashed where it is read. Larger ones are only listed (their contents are
-    not read), dealt over tasks, and hashed there in parts of CHUNK bytes, through the file systems that Arrow knows. Spark lists no file without a byte.
+    not read), dealt over tasks, and hashed there in parts of CHUNK bytes, through the file systems that Arrow knows. Which are
+    which is told by the listing, so each side has tasks for its own files only. Spark lists no file without a byte.
     """
-    files = spark.read.format("binaryFile").load(path)
+    files, size = spark.read.format("binaryFile").load(path), F.col("_metadata.file_size")
     meta = (F.col("length").alias("bytes"), F.col("modificationTime").alias("closed_at"))
-    small = files.where(F.col("length") <= whole).select("path", F.sha2("content", 256).alias("sha256"), *meta)
-    large = files.where(F.col("length") > whole).select("path", *meta).repartition("path")
+    small = files.where(size <= whole).select("path", F.sha2("content", 256).alias("sha256"), *meta)
+    large = files.where(size > whole).select("path", *meta).repartition("path")
     hashed = large.mapInArrow(_hash_in_chunks, "path string, bytes long, closed_at timestamp, sha256 string")
     return small.unionByName(hashed)
 

@@ -273,3 +273,23 @@ def test_history_stays_where_it_is(spark, tmp_path):
     spark.sql(f"DROP TABLE {name}")
     assert logs.bucketed_history(spark, name, str(tmp_path / "h"), "utterance_id bigint, classifier_version string", buckets=8).count() == 100
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_file_for_each_row_and_no_tasks_for_files_of_the_other_size(spark, tmp_path):
+    rows = spark.createDataFrame([("a",), ("a",), (None,), ("ü\nb",)], "text string").coalesce(1)
+    assert logs.write_each(rows, f"file://{tmp_path}") == logs.write_each(rows, f"file://{tmp_path}") == 4
+    assert sorted(p.read_bytes() for p in tmp_path.glob("*/*")) == sorted([b"a\n", b"a\n", b"\n", "ü\nb\n".encode()])
+    for whole in (0, 100):
+        files = logs.file_manifest(spark, f"file://{tmp_path}/*", whole=whole)
+        scans = [line for line in files._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan binaryFile" in line]
+        assert len(scans) == 2 and files.count() == 4
+        small = spark.read.format("binaryFile").load(f"file://{tmp_path}/*").where(F.col("_metadata.file_size") <= whole)
+        assert (small.rdd.getNumPartitions() == 0) == (whole == 0)
+
+
+def test_documents_do_not_get_a_folder_each(spark, data, tmp_path, monkeypatch):
+    from opinara.plans import file_queries
+
+    monkeypatch.setattr(logs, "shared_folder", lambda spark: f"file://{tmp_path}/f")
+    file_queries.s05_large(spark, data).collect()
+    assert len(list((tmp_path / "f").iterdir())) < 10
