@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opinara.sources.logs import shared_folder
+
 #: Parts of a cell from which the least draws are taken first.
 SALTS = 64
 
@@ -92,16 +94,29 @@ def top_k_verbatims(df: DataFrame, k: int = 3, stance: str = "temporal_stance")
 def batch_rows(df: DataFrame, size: int, id: str, cell: tuple[str, ...] = (), lane_rows: int = 100_000) -> DataFrame:
     """Consecutive batches of ``size`` in order of id, with ``batch_no`` and ``batch_id``, named by the first id and size.
 
-    A table of more than ``lane_rows`` rows is dealt by hash of the id into lanes of about so many, so numbering needs no
-    global order; batches do not cross lanes.
+    A table of more than ``lane_rows`` rows is written in ranges of about so many; the counts of the ranges give each one's
+    first place, so rows are numbered within their range and a batch may go on from one range into the next.
     """
-    lanes = F.ceil(F.greatest(F.count("*"), F.lit(1)) / lane_rows).alias("_lanes")
-    out = df.join(F.broadcast(df.agg(lanes)))  # one row
-    out = out.withColumn("_lane", F.pmod(F.crc32(F.col(id).cast("string").cast("binary")), F.col("_lanes")))
-    order = Window.partitionBy(*cell, "_lane").orderBy(id)
-    out = out.withColumn("batch_no", F.floor((F.row_number().over(order) - 1) / size))
-    first = F.min(id).over(Window.partitionBy(*cell, "_lane", "batch_no"))
-    return out.withColumn("batch_id", F.concat(F.substring(F.sha1(first.cast("string")), 1, 12), F.lit(f"_{size}"))).drop("_lane", "_lanes")
+    ranges = -(-df.count() // lane_rows)
+    if ranges > 1:
+        path = shared_folder(df.sparkSession)
+        dealt = df.repartitionByRange(ranges, *cell, id).withColumn("_range", F.spark_partition_id())
+        dealt.write.parquet(path)
+        df = df.sparkSession.read.schema(dealt.schema).parquet(path)
+    else:
+        df = df.withColumn("_range", F.lit(0))
+    earlier = Window.partitionBy(*cell).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    first_places = df.groupBy(*cell, "_range").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    first_places = first_places.select(F.col("_range").alias("_r"), "_before", *(F.col(c).alias(f"_r{c}") for c in cell))
+    place = F.row_number().over(Window.partitionBy(*cell, "_range").orderBy(id)) - 1
+    alike = F.col("_range") == F.col("_r")
+    for c in cell:
+        alike &= F.col(c).eqNullSafe(F.col(f"_r{c}"))
+    out = df.withColumn("_place", place).join(first_places, alike)
+    out = out.withColumn("batch_no", F.floor((F.col("_place") + F.col("_before")) / size))
+    first = F.min(id).over(Window.partitionBy(*cell, "batch_no"))
+    batch_id = F.concat(F.substring(F.sha1(first.cast("string")), 1, 12), F.lit(f"_{size}"))
+    return out.withColumn("batch_id", batch_id).drop("_range", "_r", "_before", "_place", *(f"_r{c}" for c in cell))
 
 
 def rolling_usage(ledger: DataFrame, rpm: int, tpm: int, seconds: int = 60) -> DataFrame:

@@ -261,7 +261,7 @@ def w08(spark, d):
 
 @query("w10_batch_rows", with_views("labelled") + "SELECT utterance_id, n // 20 AS batch_no, concat(substr(sha1(CAST(min(utterance_id) OVER (PARTITION BY n // 20) AS STRING)), 1, 12), '_20') AS batch_id FROM (SELECT utterance_id, row_number() OVER (ORDER BY utterance_id) - 1 AS n FROM labelled) x")
 def w10(spark, d):
-    return sampling.batch_rows(view(spark, d, "labelled"), 20, "utterance_id").select("utterance_id", "batch_no", "batch_id")
+    return sampling.batch_rows(view(spark, d, "labelled").select("utterance_id"), 20, "utterance_id").select("utterance_id", "batch_no", "batch_id")
 
 
 @query("w11_rolling_usage", with_views("ledger") + """, l AS (SELECT *, CASE WHEN event_id % 50 <> 3 THEN CAST(epoch_us(called_at) AS BIGINT) END AS u FROM ledger),

@@ -293,3 +293,13 @@ def test_documents_do_not_get_a_folder_each(spark, data, tmp_path, monkeypatch):
     monkeypatch.setattr(logs, "shared_folder", lambda spark: f"file://{tmp_path}/f")
     file_queries.s05_large(spark, data).collect()
     assert len(list((tmp_path / "f").iterdir())) < 10
+
+
+def test_batches_go_on_from_one_range_into_the_next(spark):
+    rows = spark.range(0, 3000, 3).select(F.col("id"), F.when(F.col("id") % 2 == 0, "a").alias("c"))
+    for cell in ((), ("c",)):
+        got = {r.id: (r.batch_no, r.batch_id) for r in sampling.batch_rows(rows.repartition(5), 7, "id", cell, lane_rows=90).collect()}
+        whole = {r.id: (r.batch_no, r.batch_id) for r in sampling.batch_rows(rows, 7, "id", cell).collect()}
+        assert got == whole and len(got) == 1000
+        sides = {0: sorted(i for i in got if i % 2 == 0), 1: sorted(i for i in got if i % 2)} if cell else {0: sorted(got)}
+        assert all(got[i][0] == k // 7 and got[i] == got[ids[k // 7 * 7]] for ids in sides.values() for k, i in enumerate(ids))
