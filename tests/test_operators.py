@@ -288,7 +288,7 @@ def test_a_file_for_each_row_and_no_tasks_for_files_of_the_other_size(spark, tmp
 
 
 def test_documents_do_not_get_a_folder_each(spark, data, tmp_path, monkeypatch):
-    from opinara.plans import file_queries
+    from opinara.plans.registry import file_queries
 
     monkeypatch.setattr(logs, "shared_folder", lambda spark: f"file://{tmp_path}/f")
     file_queries.s05_large(spark, data).collect()

@@ -83,3 +83,16 @@ def test_usage_and_drop_counts(spark, tmp_path):
         assert q.awaitTermination(120)
     assert max((r["calls"], r["tokens"]) for r in spark.table("usage").where("lane = 'A'").collect()) == (2, 4)
     assert sum(r["n"] for r in spark.table("drops").collect()) == 3
+
+
+def test_each_row_is_counted_once_in_whatever_order_rows_come(spark, monkeypatch, tmp_path):
+    import os
+
+    from opinara.plans.registry import file_queries
+
+    monkeypatch.setattr(file_queries.logs, "shared_folder", lambda spark: str(tmp_path / "c"))
+    any_order = F.udf(lambda: os.urandom(8), "binary").asNondeterministic()
+    rows = spark.range(200_000).withColumn("r", any_order()).repartition(4, "r").sortWithinPartitions("r")
+    rows = rows.select(F.timestamp_micros(F.col("id") * 1000).alias("at"), F.lit("A").alias("lane"), F.lit(1).alias("prompt_tokens"), F.lit(0).alias("completion_tokens"))
+    out = file_queries.counted(spark, rows, lambda df: jobs.stream_usage(df, "10 seconds", "10 seconds"), ("start", "lane"))
+    assert out.agg(F.sum("calls"), F.sum("tokens")).first()[:] == (200_000, 200_000)
