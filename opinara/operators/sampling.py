@@ -123,19 +123,26 @@ def rolling_usage(ledger: DataFrame, rpm: int, tpm: int, seconds: int = 60) -> D
     """Calls and tokens of a lane in the trailing minute at each call, itself included, and whether they are over a limit.
 
     Times count to the microsecond: a call sees those before it and those of its own microsecond, and none that is
-    ``seconds`` old. A call without a time stays, with nulls. A window is one task's, so time is cut into stretches of 64
-    windows, and calls of a stretch's last window are lent to the next: no task holds a lane, and nothing is joined back.
+    ``seconds`` old. A call without a time stays, with nulls. A call comes at its time and goes ``seconds`` later, so what is
+    there is a running sum, whose work does not grow with the calls of a window. Time is cut into stretches of 8 windows, and
+    calls of a stretch's last window are lent to the next: no task holds a lane, and nothing is joined back.
     """
-    width, stretch = seconds * 1_000_000, 64 * seconds * 1_000_000
+    width, stretch = seconds * 1_000_000, 8 * seconds * 1_000_000
     spent = F.coalesce("prompt_tokens", F.lit(0)) + F.coalesce("completion_tokens", F.lit(0))
-    timed = ledger.withColumns({"_u": F.unix_micros("at"), "_t": spent})
-    own, later = F.floor(F.col("_u") / stretch), F.floor((F.col("_u") + width - 1) / stretch)
+    timed = ledger.select("lane", F.unix_micros("at").alias("_u"), spent.alias("_t"), F.struct(*ledger.columns).alias("_row"))
+    u, in_stretch = F.col("_u"), lambda t: F.floor(t / stretch)
+    own, later, goes = in_stretch(u), in_stretch(u + width - 1), in_stretch(u + width)
+    mark = lambda part, at, n, mine: F.struct(part.alias("part"), at.alias("at"), F.lit(n).alias("n"), F.lit(mine).alias("own"))
     # calls without a time see none; they are dealt by their hash, as they may be many
-    apart = F.array(F.pmod(F.xxhash64("lane", F.monotonically_increasing_id()), F.lit(1 << 16)))
-    dealt = timed.withColumn("_own", own).withColumn("_part", F.explode(F.when(F.col("_u").isNull(), apart).otherwise(F.array_distinct(F.array(own, later)))))
-    w = Window.partitionBy("lane", F.col("_u").isNull(), "_part").orderBy("_u").rangeBetween(-(width - 1), 0)
-    known = lambda c: F.when(F.col("_u").isNotNull(), c.over(w))
-    out = dealt.withColumns({"calls": known(F.count("*")), "tokens": known(F.sum("_t"))}).where("_u is null or _own = _part").drop("_u", "_t", "_own", "_part")
+    apart = mark(F.pmod(F.xxhash64("lane", F.monotonically_increasing_id()), F.lit(1 << 16)), u, 0, True)
+    # a call that goes as a stretch begins is not lent to it
+    lent, gone = F.when(later != own, mark(later, u, 1, False)), F.when(goes == later, mark(goes, u + width, -1, False))
+    marks = F.when(u.isNull(), F.array(apart)).otherwise(F.array_compact(F.array(mark(own, u, 1, True), lent, gone)))
+    dealt = timed.withColumn("_m", F.explode(marks)).select("lane", "_t", "_m.*", F.when(F.col("_m.own"), F.col("_row")).alias("_row"))
+    w = Window.partitionBy("lane", F.col("at").isNull(), "part").orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
+    known = lambda c: F.when(F.col("at").isNotNull(), F.sum(c).over(w))
+    out = dealt.withColumns({"_calls": known(F.col("n").cast("long")), "_tokens": known(F.col("n") * F.col("_t"))}).where("own")
+    out = out.select("_row.*", F.col("_calls").alias("calls"), F.col("_tokens").alias("tokens"))
     return out.withColumn("over_limit", (F.col("calls") > rpm) | (F.col("tokens") > tpm))
 
 

@@ -303,3 +303,16 @@ def test_batches_go_on_from_one_range_into_the_next(spark):
         assert got == whole and len(got) == 1000
         sides = {0: sorted(i for i in got if i % 2 == 0), 1: sorted(i for i in got if i % 2)} if cell else {0: sorted(got)}
         assert all(got[i][0] == k // 7 and got[i] == got[ids[k // 7 * 7]] for ids in sides.values() for k, i in enumerate(ids))
+
+
+def test_usage_is_a_running_sum_and_equals_counting(spark):
+    rng, minute = random.Random(5), 60_000_000
+    times = [rng.choice([rng.randrange(40 * minute), minute * rng.randrange(40), minute * rng.randrange(40) - 1]) for _ in range(400)]
+    rows = [(i, rng.choice(["A", None]), t, rng.randrange(5), rng.choice([None, 3])) for i, t in enumerate(times)]
+    df = spark.createDataFrame(rows, "k int, lane string, u long, prompt_tokens int, completion_tokens int").withColumn("at", F.timestamp_micros("u")).drop("u")
+    out = sampling.rolling_usage(df, 1, 100)
+    seen = lambda r: [x for x in rows if x[1] == r[1] and r[2] - minute < x[2] <= r[2]]
+    want = {r[0]: (len(seen(r)), sum(x[3] + (x[4] or 0) for x in seen(r))) for r in rows}
+    assert {r.k: (r.calls, r.tokens) for r in out.collect()} == want and out.columns == [*df.columns, "calls", "tokens", "over_limit"]
+    frames = [x for x in out._jdf.queryExecution().optimizedPlan().toString().split("specifiedwindowframe(")[1:]]
+    assert frames and all("unboundedpreceding" in x.split(")")[0] for x in frames)
