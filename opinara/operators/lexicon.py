@@ -3,7 +3,8 @@
 A lexicon of a few phrases is better said as expressions (``functions.text.lexicon_hits``). Here it is a table. It is dealt
 into parts by a hash of the phrase, as many as its counted size asks for, so that no part is above a fixed number of
 characters, whatever the lexicon's size; a part is an Aho-Corasick automaton that finds all its phrases in one pass over a
-text. Texts are neither moved nor read again for further parts: a row passes all automata in one pass over the table.
+text. Texts are not read again for further parts: a row passes all automata in one pass over the table. Their hits are many
+times their bytes, so a table of few partitions is dealt over all cores first.
 """
 
 from __future__ import annotations
@@ -11,13 +12,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of a part's phrases, some 300 MB as an automaton at most, and phrases of a part.
 PART_CHARS, PART_PHRASES = 8_000_000, 1_000_000
+#: Tasks for each core, as texts differ in length.
+TASKS_PER_CORE = 4
 HIT = "struct<grp:string,phrase:string>"
 #: Automata of a worker by part, so that each is built once for a process.
 _BUILT: dict[str, tuple] = {}
@@ -46,8 +49,8 @@ def _finder(told: Broadcast):
 
     key = uuid.uuid4().hex
 
-    @F.pandas_udf(f"array<{HIT}>")
-    def find(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(f"array<{HIT}>")
+    def find(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         if key not in _BUILT:
             automaton, everywhere = ahocorasick.Automaton(), []
             for groups, phrase in told.value:
@@ -58,17 +61,21 @@ def _finder(told: Broadcast):
             automaton.make_automaton()
             _BUILT[key] = automaton, everywhere
         automaton, everywhere = _BUILT[key]
-
-        def hits(text: str | None) -> list[dict] | None:
-            if text is None:
-                return None
-            found = {phrase: groups for groups, phrase in everywhere}
-            if len(automaton):
-                found.update((phrase, groups) for _, (groups, phrase) in automaton.iter(text))
-            return [{"grp": g, "phrase": p} for p, groups in found.items() for g in groups]
-
-        for series in texts:
-            yield series.map(hits, na_action=None)
+        for batch in texts:
+            # flat lists and where each text's hits begin: a text may have thousands
+            starts, found_groups, found_phrases = [], [], []
+            for text in batch.to_pylist():
+                starts.append(None if text is None else len(found_phrases))
+                if text is None:
+                    continue
+                found = {phrase: groups for groups, phrase in everywhere}
+                if len(automaton):
+                    found.update((phrase, groups) for _, (groups, phrase) in automaton.iter(text))
+                for phrase, groups in found.items():
+                    found_groups.extend(groups)
+                    found_phrases.extend([phrase] * len(groups))
+            flat = pa.StructArray.from_arrays([pa.array(found_groups, pa.string()), pa.array(found_phrases, pa.string())], ["grp", "phrase"])
+            yield pa.ListArray.from_arrays(pa.array([*starts, len(found_phrases)], pa.int32()), flat)
 
     return find
 
@@ -82,8 +89,9 @@ def lexicon_table_hits(df: DataFrame, lexicon: DataFrame, text: str = "text", pa
     """
     named = lexicon.select(F.coalesce(F.concat(F.lit("="), F.col("grp").cast("string")), F.lit("-")).alias("grp"), "phrase")
     low, spark = F.lower(F.col(text)), df.sparkSession
+    dealt = df.repartition(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
     parts: list[Column] = [_finder(spark.sparkContext.broadcast(part))(low) for part in parts_of(named, part_chars, part_phrases)]
     none = F.array().cast(f"array<{HIT}>")
     found = F.concat(*parts) if parts else F.when(F.col(text).isNotNull(), none)
     plain = F.transform(F.array_sort(found), lambda h: F.struct(F.when(h["grp"] != "-", F.substring(h["grp"], 2, 1 << 30)).alias("grp"), h["phrase"].alias("phrase")))
-    return df.withColumn("hits", plain)
+    return dealt.withColumn("hits", plain)

@@ -145,9 +145,9 @@ def phrases(spark, d):
     SELECT conv_id, turn, CAST(sum(n) AS BIGINT) AS n_hits, CAST(sum(k) AS BIGINT) AS group_chars, CAST(sum(length(phrase)) AS BIGINT) AS chars FROM b JOIN p ON contains(t, phrase) GROUP BY conv_id, turn""")
 def f15_table(spark, d):
     hits = lexicon.lexicon_table_hits(table(spark, d, "conversations"), phrases(spark, d))
-    each = hits.select("conv_id", "turn", F.explode("hits").alias("h"))
-    by = each.groupBy("conv_id", "turn", "h.phrase").agg(F.count("*").alias("n"), F.sum(F.length("h.grp")).alias("k"))
-    return by.groupBy("conv_id", "turn").agg(F.sum("n").alias("n_hits"), F.sum("k").alias("group_chars"), F.sum(F.length("phrase").cast("long")).alias("chars"))
+    chars = lambda texts: F.aggregate(texts, F.lit(0).cast("long"), lambda n, x: n + F.length(x))
+    each = hits.select("conv_id", "turn", F.array_size("hits").alias("n"), chars(F.col("hits.grp")).alias("k"), chars(F.array_distinct("hits.phrase")).alias("c"))
+    return each.groupBy("conv_id", "turn").agg(F.sum("n").alias("n_hits"), F.sum("k").alias("group_chars"), F.sum("c").alias("chars")).where("n_hits > 0")
 
 
 @query("f16_parse_timestamp_mixed", "SELECT event_id, ts AS parsed FROM events WHERE event_id % 5 <> 4 UNION ALL SELECT event_id, NULL FROM events WHERE event_id % 5 = 4")

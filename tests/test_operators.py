@@ -316,3 +316,12 @@ def test_usage_is_a_running_sum_and_equals_counting(spark):
     assert {r.k: (r.calls, r.tokens) for r in out.collect()} == want and out.columns == [*df.columns, "calls", "tokens", "over_limit"]
     frames = [x for x in out._jdf.queryExecution().optimizedPlan().toString().split("specifiedwindowframe(")[1:]]
     assert frames and all("unboundedpreceding" in x.split(")")[0] for x in frames)
+
+
+def test_texts_of_one_partition_are_searched_by_all_cores_and_once(spark):
+    from opinara.operators.lexicon import lexicon_table_hits
+
+    docs = spark.createDataFrame([(i, f"kurta {i}") for i in range(400)], "k int, text string").coalesce(1)
+    hits = lexicon_table_hits(docs, spark.createDataFrame([("a", "kurta"), ("b", "7")], "grp string, phrase string"))
+    assert hits.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert hits.select(F.size("hits")).groupBy().sum().first()[0] == 400 + sum("7" in str(i) for i in range(400))
