@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions import text as T
+from opinara.sources.logs import shared_folder
 
 #: A text hash is heavy if more than one row in so many has it.
 HEAVY = 10_000
@@ -29,9 +30,11 @@ def _joined_by_hash(df: DataFrame, each: DataFrame, rows: str = "_n") -> DataFra
 
     Hashes of more than one row in ``HEAVY`` are fewer than ``HEAVY``, so they are told to all tasks; their rows get a key
     of their own for the shuffle, by which they are dealt evenly. What is left under one hash is no more than one row in
-    ``HEAVY``.
+    ``HEAVY``. ``each`` is written, as it is asked three times and would else hash all texts anew each time.
     """
-    names = [c for c in each.columns if c not in ("_h", rows)]
+    names, path = [c for c in each.columns if c not in ("_h", rows)], shared_folder(df.sparkSession)
+    each.write.parquet(path)
+    each = df.sparkSession.read.schema(each.schema).parquet(path)
     total = each.agg(F.sum(rows).alias("_all"))
     heavy = each.join(F.broadcast(total)).where(F.col(rows) * HEAVY > F.col("_all")).drop("_all", rows)  # one row
     told = df.join(F.broadcast(heavy.select(F.col("_h").alias("_hh"), *(F.col(c).alias(f"_h{c}") for c in names))), F.col("text_sha1") == F.col("_hh"), "left")

@@ -325,3 +325,10 @@ def test_texts_of_one_partition_are_searched_by_all_cores_and_once(spark):
     hits = lexicon_table_hits(docs, spark.createDataFrame([("a", "kurta"), ("b", "7")], "grp string, phrase string"))
     assert hits.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
     assert hits.select(F.size("hits")).groupBy().sum().first()[0] == 400 + sum("7" in str(i) for i in range(400))
+
+
+def test_texts_are_hashed_once_for_counting_and_once_for_the_rows(spark):
+    rows = spark.range(200).select(F.lit("play").alias("source"), F.lit("b").alias("brand"), F.col("id").cast("string").alias("source_id"), F.col("id").alias("captured_at"), F.sha1((F.col("id") % 90).cast("string")).alias("text_sha1"))
+    marked = prepare.with_repeats(prepare.mark_near_duplicates(rows), 2)
+    assert marked._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+    assert {(r.n_ids, r.n) for r in marked.groupBy("n_ids").agg(F.count("*").alias("n")).collect()} == {(3, 60), (0, 140)}
