@@ -29,25 +29,30 @@ def stream_ingest(spark: SparkSession, folder: str, table: str, checkpoint: str,
     Each micro-batch appends the keys that no earlier one has, as the partition ``batch`` of its number. A batch that is
     run again after a failure writes over its own partition and compares with those before it, so it ends as it would have
     at first; a key that returns later, after a restart too, is in the table already. The stream keeps no state: the table
-    itself is the memory, of which a batch reads the key columns. A batch of few keys is told to all tasks, so that only
-    what it may repeat leaves the table's tasks.
+    itself is the memory, of which a batch reads the key columns. Keys are compared first, without the rows; where few are
+    new they are told to all tasks, so that only their rows move. A batch of few keys is told to all tasks, so that only what
+    it may repeat leaves the table's tasks.
     """
     rows = read_stream(spark, folder)
     schema = f"{ENVELOPE}, batch long"
 
     def take(batch: DataFrame, number: int) -> None:
-        own, once = batch.sparkSession, batch.dropDuplicates(list(key))
+        own = batch.sparkSession
         if number > 0:
             there = own.read.schema(schema).parquet(table).where(F.col("batch") < number).select(*key)
-            ids = once.select(*key)
+            ids = batch.select(*key).distinct()
             few = ids.limit(FEW_KEYS + 1).count() <= FEW_KEYS
             # null-safe: a key part may be null
             alike = lambda a, b: reduce(lambda x, y: x & y, (a[k].eqNullSafe(b[k]) for k in key))
             if few:
                 told = F.broadcast(ids)
                 there = there.join(told, alike(there, told), "left_semi").distinct()
-            once = once.join(there, alike(once, there), "left_anti")
-        once.write.mode("overwrite").parquet(f"{table}/batch={number}")
+            # only keys are compared; whole rows move once, and none at all where all keys are there already
+            fresh = ids.join(there, alike(ids, there), "left_anti")
+            left = fresh.limit(FEW_KEYS + 1).count()
+            told = F.broadcast(fresh) if left <= FEW_KEYS else fresh
+            batch = batch.join(told, alike(batch, told), "left_semi") if left else batch.limit(0)
+        batch.dropDuplicates(list(key)).write.mode("overwrite").parquet(f"{table}/batch={number}")
 
     return rows.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

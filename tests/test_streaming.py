@@ -96,3 +96,16 @@ def test_each_row_is_counted_once_in_whatever_order_rows_come(spark, monkeypatch
     rows = rows.select(F.timestamp_micros(F.col("id") * 1000).alias("at"), F.lit("A").alias("lane"), F.lit(1).alias("prompt_tokens"), F.lit(0).alias("completion_tokens"))
     out = file_queries.counted(spark, rows, lambda df: jobs.stream_usage(df, "10 seconds", "10 seconds"), ("start", "lane"))
     assert out.agg(F.sum("calls"), F.sum("tokens")).first()[:] == (200_000, 200_000)
+
+
+def test_rows_of_known_keys_do_not_move(spark, tmp_path, monkeypatch):
+    frame, moved = type(spark.range(1)), []
+    whole = frame.dropDuplicates
+    monkeypatch.setattr(frame, "dropDuplicates", lambda self, *a: moved.append(self.count()) or whole(self, *a))
+    monkeypatch.setattr(jobs, "FEW_KEYS", 1)
+    (tmp_path / "in").mkdir()
+    for k, ids in enumerate((("1", "2", "3"), ("1", "2", "3"), ("3", "4", "5", "5"))):
+        (tmp_path / "in" / f"{k}.jsonl").write_text(lines(*ids))
+        assert jobs.stream_ingest(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination(120)
+    assert moved == [3, 0, 3]
+    assert sorted(r[0] for r in spark.read.schema(ENVELOPE).parquet(str(tmp_path / "t")).select("source_id").collect()) == ["1", "2", "3", "4", "5"]
