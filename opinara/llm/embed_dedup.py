@@ -1,29 +1,36 @@
 """Near-duplicate vectors by int8-quantised tile products with rigorous error bounds.
 
-Equal vectors are one node. Nodes are stored in small blocks, blocks are dealt to groups, and each pair of groups is one
-tile task. A unit vector x is x = s * q + r with q int8 and e = |r| known for each vector, so the product of two vectors
+Equal vectors are one node. Nodes are stored once, in small blocks by group, and each pair of groups is one unit: its task
+reads the two groups from the shared folder and compares them tile by tile, so no vector is shuffled for a comparison. A
+unit vector x is x = s * q + r with q int8 and e = |r| known for each vector, so the product of two vectors
 differs from s_x * s_y * (q_x . q_y) by at most e_x + e_y + e_x * e_y. Integer products below 2**24 are exact in single
 precision, so BLAS multiplies them. Pairs that the bound leaves possibly above the threshold are computed again in double
 precision; only those link. A tile returns link counts of its vectors and a spanning forest of its links, never the pairs.
 
-The work is all pairs of distinct vectors, in tiles; data moved is rows times groups.
+The work is all pairs of distinct vectors, in tiles. What is shuffled and written grows with the vectors, twice and once;
+groups, bounded in bytes, are read once for each other group.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, give_back, shared_dir, spent
 from .components import components
 from .ngram_join import grouped
 
-#: Vectors of a stored block and (about) of a group.
-STORED, GROUP = 256, 2048
+#: Vectors of a stored block, of a tile's side and of the smallest group; bytes of the largest group in double precision.
+STORED, GROUP, GROUP_BYTES = 256, 2048, 32 << 20
+#: Units for each core, where there are vectors enough, and tasks at most.
+UNITS_PER_CORE, UNIT_TASKS = 4, 10_000
 #: Products recomputed at once; more than any rounding of the single precision comparison.
 PAIRS, SLACK = 65_536, 1e-5
 
@@ -49,16 +56,16 @@ def tile(x: np.ndarray, y: np.ndarray, threshold: float, same: bool) -> Iterator
     (qx, sx, ex), (qy, sy, ey) = quantise(x), quantise(y)
     nx, ny = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
     span = max(1, (1 << 24) // (127 * 127))  # dimensions whose integer products stay exact
-    p = np.zeros((len(x), len(y)), np.float32)
-    for at in range(0, x.shape[1], span):
-        part = qx[:, at : at + span] @ qy[:, at : at + span].T
-        part *= sx[:, None]
-        part *= sy
-        p += part
+    p = qx[:, :span] @ qy[:, :span].T
+    for at in range(span, x.shape[1], span):
+        p += qx[:, at : at + span] @ qy[:, at : at + span].T
     # e_x + e_y + e_x e_y, where the last is at most half the squares' sum
-    p += (ex + ex**2 / 2).astype(np.float32)[:, None]
-    p += (ey + ey**2 / 2).astype(np.float32)
-    i, j = np.nonzero(p >= np.float32(threshold - SLACK))
+    bx, by = ex + ex**2 / 2, ey + ey**2 / 2
+    # first a bound for a whole row, by the largest scale and error of y, which one pass compares; then each pair's own
+    need = threshold - SLACK - bx - by.max()
+    i, j = np.nonzero(p >= np.where(need > 0, need / (sx.astype(np.float64) * sy.max()) * (1 - 1e-5), -np.inf).astype(np.float32)[:, None])
+    open_ = p[i, j].astype(np.float64) * sx[i] * sy[j] + bx[i] + by[j] >= threshold - SLACK
+    i, j = i[open_], j[open_]
     if same:
         i, j = i[i < j], j[i < j]
     for at in range(0, len(i), PAIRS):
@@ -76,35 +83,55 @@ def _pack(rows: list[dict]) -> list[dict]:
     return out
 
 
-def _compare(threshold: float):
-    def run(rows: list[dict]) -> list[dict]:
-        out: list[dict] = []
-        for dim in {r["dim"] for r in rows}:
-            sides = []
-            for side in (0, 1):
-                own = [r for r in rows if r["dim"] == dim and r["side"] == side]
-                get = lambda name, kind, own=own: np.concatenate([np.frombuffer(r[name], r["kind"] if kind is None else kind) for r in own]) if own else np.empty(0, np.float64 if kind is None else kind)
-                sides.append((get("nodes", np.int64), get("weights", np.int64), get("data", None).astype(np.float64).reshape(-1, dim)))
-            (nx, wx, x), (ny, wy, y) = sides
-            same = rows[0]["same"]
-            if same:
-                ny, wy, y = nx, wx, x
-            if not len(x) or not len(y):
-                continue
-            cx, cy = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
+def _group(folder: str, g: int, kind: str) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """A stored group: nodes, weights and vectors by number of dimensions."""
+    store, base = pafs.FileSystem.from_uri(folder)
+    found = store.get_file_info(pafs.FileSelector(f"{base}/_g={g}", allow_not_found=True))
+    rows = []
+    for info in sorted(found, key=lambda x: x.path):
+        if info.base_name.endswith(".parquet"):
+            with store.open_input_file(info.path) as f:
+                rows += pq.ParquetFile(f).read(["dim", "nodes", "weights", "data"]).to_pylist()
+    out = {}
+    for dim in sorted({r["dim"] for r in rows}):
+        own = [r for r in rows if r["dim"] == dim]
+        get = lambda name, t, own=own: np.concatenate([np.frombuffer(r[name], t) for r in own])
+        out[dim] = get("nodes", np.int64), get("weights", np.int64), get("data", kind).reshape(-1, dim)
+    return out
+
+
+def _compare(threshold: float, folder: str, groups: int, kind: str):
+    """Units (numbers low * groups + high) -> a forest of the links between two groups, and what each vector's links count."""
+    side = GROUP
+
+    def unit(left: dict, right: dict, same: bool) -> Iterator[pa.RecordBatch]:
+        for dim in sorted(set(left) & set(right)):
+            (nx, wx, x), (ny, wy, y) = left[dim], right[dim]
+            cx = np.zeros(len(x), np.int64)
+            cy = cx if same else np.zeros(len(y), np.int64)
             root = np.arange(len(x) + (0 if same else len(y)))
-            for i, j in tile(x, y, threshold, same):
-                np.add.at(cx, i, wy[j])
-                np.add.at(cy, j, wx[i])
-                tie(root, i, j if same else j + len(x))
-            if same:
-                cx += cy
+            for s in range(0, len(x), side):
+                for t in range(s if same else 0, len(y), side):
+                    for i, j in tile(x[s : s + side].astype(np.float64), y[t : t + side].astype(np.float64), threshold, same and s == t):
+                        i, j = i + s, j + t
+                        np.add.at(cx, i, wy[j])
+                        np.add.at(cy, j, wx[i])
+                        tie(root, i, j if same else j + len(x))
             names = nx if same else np.concatenate([nx, ny])
             counts = cx if same else np.concatenate([cx, cy])
-            top = np.flatnonzero(root != np.arange(len(root)))
-            out += [{"a": int(names[k]), "b": int(names[root[k]]), "n": 0} for k in top]
-            out += [{"a": int(names[k]), "b": None, "n": int(counts[k])} for k in np.flatnonzero(counts)]
-        return out
+            top, some = np.flatnonzero(root != np.arange(len(root))), np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(names[top]), pa.array(names[root[top]]), pa.array(np.zeros(len(top), np.int64))], ["a", "b", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(names[some]), pa.nulls(len(some), pa.int64()), pa.array(counts[some])], ["a", "b", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[int, dict] = (-1, {})
+        for batch in batches:
+            for number in batch.column(0).to_pylist():
+                low, high = divmod(number, groups)
+                if held[0] != low:
+                    held = low, _group(folder, low, kind)
+                yield from unit(held[1], held[1] if low == high else _group(folder, high, kind), low == high)
+        give_back()
 
     return run
 
@@ -130,23 +157,33 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.95, id: str = "v
     link with each other. An empty table gives no rows; other columns are ignored.
     """
     kind = "<f4" if "float" in vectors.schema[vector].dataType.simpleString() else "<f8"
+    spark = vectors.sparkSession
     given = vectors.select(F.col(id).cast("long").alias("vec_id"), F.col(vector).alias("v"))
     finite = F.forall("v", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)) & ~F.isnan(x)) & F.exists("v", lambda x: x != 0)
     given = given.withColumn("v", F.when(F.coalesce(finite, F.lit(False)) & F.col("vec_id").isNotNull(), F.col("v")))
-    nodes = cut(given.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight")))
-    n = nodes.count()
-    groups, blocks = max(1, -(-n // GROUP)), max(1, -(-n // STORED))
-    placed = nodes.select("node", "weight", F.col("v").alias("vector"), F.pmod(F.xxhash64("node"), F.lit(blocks)).alias("block"), F.lit(kind).alias("kind"))
+    # equal vectors are told by 128 bits of two hashes, so that a vector itself moves only to be stored
+    given = given.withColumns({"_k": F.when(F.col("v").isNotNull(), F.xxhash64("v")), "_l": F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(1), "v"))})
+    nodes = cut(given.where("v is not null").groupBy("_k", "_l").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight"), F.max(F.size("v")).alias("dim")))
+    n, dim = nodes.agg(F.count("*"), F.coalesce(F.max("dim"), F.lit(1))).first()
+    # enough groups for all cores, none smaller than a tile's side or larger than its bytes allow
+    least = max(1, -(-n * dim * 8 // GROUP_BYTES))
+    groups = max(least, min(-(-n // GROUP), math.isqrt(2 * UNITS_PER_CORE * spark.sparkContext.defaultParallelism) + 1))
+    blocks = groups * max(1, -(-n // (groups * STORED)))
+    first = given.where("v is not null").join(nodes.drop("dim").withColumnRenamed("node", "vec_id"), ["_k", "_l", "vec_id"]).dropDuplicates(["_k", "_l", "vec_id"])
+    placed = first.select(F.col("vec_id").alias("node"), "weight", F.col("v").alias("vector"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block"), F.lit(kind).alias("kind"))
     stored = grouped(placed, "block", _pack, "block long, dim int, nodes binary, weights binary, data binary", pa.schema([("block", pa.int64()), ("dim", pa.int32()), ("nodes", pa.binary()), ("weights", pa.binary()), ("data", pa.binary())]))
-    mine = (F.col("block") % groups).cast("long")
-    dealt = cut(stored).withColumn("_g", mine).withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
-    low, high = F.least("_g", "_o"), F.greatest("_g", "_o")
-    units = dealt.select((low * groups + high).alias("unit"), F.when(F.col("_g") == low, 0).otherwise(1).alias("side"), (low == high).alias("same"), "dim", "nodes", "weights", "data", F.lit(kind).alias("kind"))
-    found = cut(grouped(units, "unit", _compare(threshold), "a long, b long, n long", pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])))
+    folder = shared_dir(spark)
+    stored.withColumn("_g", F.col("block") % groups).write.partitionBy("_g").parquet(folder)
+    units = groups * (groups + 1) // 2
+    pairs = spark.range(0, groups, 1, min(groups, UNIT_TASKS)).select(F.explode(F.sequence(F.col("id") * groups + F.col("id"), F.col("id") * groups + groups - 1)).alias("unit"))
+    dealt = pairs.repartitionByRange(min(units, UNIT_TASKS), "unit").sortWithinPartitions("unit")
+    found = cut(dealt.mapInArrow(_compare(threshold, folder, groups, kind), "a long, b long, n long"))
+    stored._table = folder
+    spent(stored)
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("others"))
-    least = components(found.where("b is not null").select("a", "b"))
-    about = nodes.join(counts, F.col("node") == F.col("a"), "left").join(least, F.col("node") == F.col("id"), "left")
-    about = about.select(F.col("v").alias("_v"), (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("_n"), F.coalesce("component", "node").alias("_c"))
-    out = given.join(about, F.col("v") == F.col("_v"), "left")
+    tied = components(found.where("b is not null").select("a", "b"))
+    about = nodes.join(counts, F.col("node") == F.col("a"), "left").join(tied, F.col("node") == F.col("id"), "left")
+    about = about.select(F.col("_k").alias("_x"), F.col("_l").alias("_y"), (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("_n"), F.coalesce("component", "node").alias("_c"))
+    out = given.drop("v").join(about, (F.col("_k") == F.col("_x")) & (F.col("_l") == F.col("_y")), "left")
     whole = F.coalesce("_c", "vec_id")
     return out.select("vec_id", F.coalesce("_n", F.lit(0)).cast("long").alias("n_links"), whole.alias("component_id"), F.coalesce(F.col("vec_id") == whole, F.lit(True)).alias("kept"))

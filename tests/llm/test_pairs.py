@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -141,3 +142,26 @@ def test_finite_vectors_of_any_size_link(spark):
         assert (np.abs(embed_dedup.levelled(np.array([r[1] for r in rows[:6]]))).max(axis=1) >= 0.5).all()
     got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
     assert got == {1: (4, 1), 2: (4, 1), 3: (4, 1), 4: (4, 1), 9: (4, 1), 5: (0, 5), 6: (0, 6), 7: (0, 7), 8: (0, 8)}
+
+
+def test_vectors_move_no_more_often_with_more_groups(spark, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "GROUP", 40)
+    monkeypatch.setattr(embed_dedup, "STORED", 8)
+    x = np.random.default_rng(7).normal(size=(2000, 64))
+    x[1999] = x[3] * 1.01
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    sc = spark.sparkContext._jsc.sc()
+
+    def shuffled():
+        spark.range(1).count()
+        time.sleep(0.3)  # the status store is told now and then
+        sc.listenerBus().waitUntilEmpty()
+        return sc.statusStore().executorSummary("driver").totalShuffleWrite()
+
+    before = shuffled()
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_duplicates(df).collect()}
+    assert got == {i: (1, 3) if i in (3, 1999) else (0, i) for i in range(2000)}
+    assert shuffled() - before < 4 * x.nbytes  # before, the vectors once for each of 50 groups: 15.9 MB
+    # groups that their bytes make many are compared in whole
+    monkeypatch.setattr(embed_dedup, "GROUP_BYTES", 100 * 64 * 8)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_duplicates(df).collect()} == got
