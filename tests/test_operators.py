@@ -332,3 +332,49 @@ def test_texts_are_hashed_once_for_counting_and_once_for_the_rows(spark):
     marked = prepare.with_repeats(prepare.mark_near_duplicates(rows), 2)
     assert marked._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
     assert {(r.n_ids, r.n) for r in marked.groupBy("n_ids").agg(F.count("*").alias("n")).collect()} == {(3, 60), (0, 140)}
+
+
+def test_a_large_lexicon_stays_off_the_driver(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from opinara.operators.lexicon import lexicon_table_hits
+
+    plain, told = DataFrame.collect, []
+
+    def collect(df):
+        rows = plain(df)
+        told.append(len(rows))
+        return rows
+
+    lex = spark.range(20_000).select((F.col("id") % 3).cast("string").alias("grp"), F.concat(F.lit("p"), "id", F.lit("q")).alias("phrase"))
+    docs = spark.range(50).select("id", F.concat_ws(" ", F.lit("P7Q"), F.concat(F.lit("p"), F.col("id") * 1000, F.lit("q")), F.lit("p99999q")).alias("text"))
+    monkeypatch.setattr(DataFrame, "collect", collect)
+    hits = lexicon_table_hits(docs, lex, part_chars=30_000)
+    monkeypatch.undo()
+    assert max(told, default=0) <= 1  # all 20,000 before
+    got = {r.id: [tuple(h) for h in r.hits] for r in hits.collect()}
+    assert got == {i: sorted([("1", "p7q")] + [(str(1000 * i % 3), f"p{1000 * i}q")] * (i < 20)) for i in range(50)}
+
+
+def test_slabs_and_pieces_of_any_size_find_the_same(spark, monkeypatch):
+    import pyarrow as pa
+
+    from opinara.operators import lexicon
+
+    rng = random.Random(11)
+    word = lambda n: "".join(rng.choice("ab é\U0001f600") for _ in range(n))
+    texts = [word(rng.choice([0, 1, 5, 40, 300])) for _ in range(60)] + [None, "", "a" * 200, "x" + "ab" * 80]
+    phrases = {word(rng.choice([1, 2, 3, 7])) for _ in range(200)} | {t[k : k + n] for t in texts if t for k in (0, 3) for n in (40, 64, 65, 120)} | {"a" * n for n in (63, 64, 65, 100, 199, 201)} | {"ab" * 32 + "é", "ab" * 40, "b" + "ab" * 60, ""}
+    groups = {p: sorted(rng.sample(["=a", "=b", "=\U0001f600", "=￿", "-"], rng.randrange(1, 4)), key=lambda g: g.encode()) for p in phrases}
+    files = lexicon.parts_of(spark.createDataFrame([(g, p) for p, gs in groups.items() for g in gs], "grp string, phrase string"), part_chars=2_000)
+    want = [None if t is None else [(None if g == "-" else g[1:], p) for g, p in sorted(((g, p) for p in phrases if p in t for g in groups[p]), key=lambda x: (x[0].encode(), x[1].encode()))] for t in texts]
+    assert len(files) > 1
+    for slab, told, piece, kept, compared in ((1 << 20, 1 << 20, 32 << 20, 64 << 20, 1 << 16), (150, 7, 300, 0, 3)):
+        for name, value in (("SLAB", slab), ("TOLD", told), ("PIECE", piece), ("KEPT", kept), ("COMPARED", compared)):
+            monkeypatch.setattr(lexicon, name, value)
+        lexicon._KEPT.clear()
+        given = [pa.array(texts[:30], pa.string()), pa.array([], pa.string()), pa.array(["cut", *texts[30:]], pa.string()).slice(1)]
+        slabs = list(lexicon._slabs(iter(given)))
+        got = [row for s in slabs for part in lexicon._search(s, files) for row in part.to_pylist()]
+        assert [r and [(h["grp"], h["phrase"]) for h in r] if r is not None else None for r in got] == want
+        assert (len(slabs) > 10) == (slab == 150)
