@@ -105,6 +105,10 @@ def counted(told: Observation, rows: DataFrame) -> int:
 
 #: Bytes of a file up to which it is hashed as one value; larger ones are read in parts of CHUNK bytes.
 WHOLE_FILE, CHUNK = 32 << 20, 4 << 20
+#: Files up to which Spark's reader lists and plans them, all on the driver; more are listed and read by tasks.
+LISTED = 20_000
+#: Tasks for each core that list or read, and bytes and rows told at once.
+TASKS_PER_CORE, TOLD_BYTES, TOLD_ROWS = 4, 8 << 20, 2_000
 
 
 def _stored(path: str) -> tuple[fs.FileSystem, str]:
@@ -135,26 +139,134 @@ def write_each(rows: DataFrame, path: str, text: str = "text") -> int:
     return rows.select(text).mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
+def _digest(path: str) -> str:
+    """The hash of a file that is read in parts of CHUNK bytes."""
+    store, place = _stored(path)
+    digest = hashlib.sha256()
+    with store.open_input_stream(place) as stream:
+        while chunk := stream.read(CHUNK):
+            digest.update(chunk)
+    return digest.hexdigest()
+
+
 def _hash_in_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        digests = []
-        for path in batch.column("path").to_pylist():
-            store, place = _stored(path)
-            digest = hashlib.sha256()
-            with store.open_input_stream(place) as stream:
-                while chunk := stream.read(CHUNK):
-                    digest.update(chunk)
-            digests.append(digest.hexdigest())
+        digests = [_digest(path) for path in batch.column("path").to_pylist()]
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string())], names=[*batch.schema.names, "sha256"])
 
 
-def file_manifest(spark: SparkSession, path: str, whole: int = WHOLE_FILE) -> DataFrame:
-    """``path, sha256, bytes, closed_at`` of each file, of any size.
+_ENTRY = pa.schema([("path", pa.string()), ("folder", pa.bool_()), ("bytes", pa.int64()), ("at", pa.int64())])
+_READ = pa.schema([("path", pa.string()), ("bytes", pa.int64()), ("at", pa.int64()), ("content", pa.large_binary()), ("sha256", pa.string())])
+
+
+def _told(rows: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of bounded bytes and rows."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row.get("content") or b"")
+        if size >= TOLD_BYTES or len(held) >= TOLD_ROWS:
+            yield pa.RecordBatch.from_pylist(held, schema)
+            held, size = [], 0
+    yield pa.RecordBatch.from_pylist(held, schema)
+
+
+def _entries(path: str) -> Iterator[dict]:
+    """What is in a folder, as Hadoop would say it: milliseconds, paths with nothing escaped."""
+    store, place = _stored(path)
+    for x in store.get_file_info(fs.FileSelector(place)):
+        yield {"path": f"{path.rstrip('/')}/{x.base_name}", "folder": x.type == fs.FileType.Directory, "bytes": x.size or 0, "at": (x.mtime_ns or 0) // 1_000_000}
+
+
+def _seen(path: str) -> bool:
+    """Whether Spark's readers look at an entry of this name."""
+    name = path.rsplit("/", 1)[1]
+    hidden = (name.startswith("_") and "=" not in name) or name.startswith(".") or name.endswith("._COPYING_")
+    return not hidden or name.startswith(("_common_metadata", "_metadata"))
+
+
+def _children(pattern: str, folders: bool):
+    """Folders -> their entries of names like ``pattern``, only folders if ``folders``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        like = re.compile(pattern, re.S)
+        yield from _told((x for b in batches for path in b.column("path").to_pylist() for x in _entries(path) if like.fullmatch(x["path"].rsplit("/", 1)[1]) and (x["folder"] or not folders)), _ENTRY)
+
+    return run
+
+
+def _files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files stay, folders are their files and those of folders ``key=value`` below; as Spark's readers have it, nothing hidden
+    and no file without a byte."""
+
+    def below(x: dict) -> Iterator[dict]:
+        if not x["folder"]:
+            if x["bytes"] and _seen(x["path"]):
+                yield x
+            return
+        for y in _entries(x["path"]):
+            if not y["folder"] or ("=" in y["path"].rsplit("/", 1)[1] and _seen(y["path"])):
+                yield from below(y)
+
+    yield from _told((y for b in batches for x in b.to_pylist() for y in below(x)), _ENTRY)
+
+
+def _listing(spark: SparkSession, path: str) -> DataFrame | None:
+    """``path, folder, bytes, at`` of the files that Spark's reader finds at ``path``, listed by tasks, folder by folder; none
+    if Arrow does not know the file system or the pattern has escapes or alternatives with a slash."""
+    jvm, conf = spark._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    given = jvm.Path(path)
+    root = given.getFileSystem(conf).makeQualified(given).toString()
+    if "\\" in path or re.search(r"\{[^}]*/", root):
+        return None
+    start, place = re.fullmatch(r"((?:[A-Za-z0-9+.-]+:)?(?://[^/]*)?)(/.*)", root, re.S).groups()
+    names = place.strip("/").split("/")
+    fixed = next((i for i, name in enumerate(names) if re.search(r"[{}\[\]*?]", name)), len(names))
+    root = start + "/" + "/".join(names[:fixed])
+    try:
+        store, place = _stored(root)
+        is_folder = (info := store.get_file_info(place)).type == fs.FileType.Directory
+    except (pa.ArrowException, OSError, ImportError):
+        return None
+    schema, tasks = "path string, folder boolean, bytes long, at long", TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    found = spark.createDataFrame([(root, is_folder, info.size or 0, (info.mtime_ns or 0) // 1_000_000)], schema)
+    for i, name in enumerate(names[fixed:], fixed + 1):
+        like = jvm.GlobPattern(name).compiled().toString() if re.search(r"[{}\[\]*?]", name) else re.escape(name)
+        found = found.mapInArrow(_children(like, i < len(names)), schema).repartition(tasks)
+    return found.mapInArrow(_files, schema)
+
+
+def _read(whole: int):
+    """Files -> the contents of small ones, the hashes of large ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def each(row: dict) -> dict:
+            if row["bytes"] > whole:
+                return row | {"content": None, "sha256": _digest(row["path"])}
+            store, place = _stored(row["path"])
+            with store.open_input_stream(place) as stream:
+                return row | {"content": stream.read(), "sha256": None}
+
+        yield from _told((each(row) for b in batches for row in b.to_pylist()), _READ)
+
+    return run
+
+
+def file_manifest(spark: SparkSession, path: str, whole: int = WHOLE_FILE, listed: int = LISTED) -> DataFrame:
+    """``path, sha256, bytes, closed_at`` of each file, of any size and any number.
 
     A file of up to ``whole`` bytes is one value, hashed where it is read. Larger ones are only listed (their contents are
     not read), dealt over tasks, and hashed there in parts of CHUNK bytes, through the file systems that Arrow knows. Which are
     which is told by the listing, so each side has tasks for its own files only. Spark lists no file without a byte.
+
+    Spark's reader holds the listing and the plan of all files on the driver. So more than ``listed`` files, if Arrow knows their
+    file system, are listed by tasks and dealt over tasks that read them; the rows are the same.
     """
+    found = _listing(spark, path)
+    if found is not None and found.limit(listed + 1).count() > listed:
+        dealt = found.select("path", "bytes", "at").repartition(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, "path")
+        read = dealt.mapInArrow(_read(whole), "path string, bytes long, at long, content binary, sha256 string")
+        return read.select("path", F.coalesce("sha256", F.sha2("content", 256)).alias("sha256"), "bytes", F.timestamp_millis("at").alias("closed_at"))
     files, size = spark.read.format("binaryFile").load(path), F.col("_metadata.file_size")
     meta = (F.col("length").alias("bytes"), F.col("modificationTime").alias("closed_at"))
     small = files.where(size <= whole).select("path", F.sha2("content", 256).alias("sha256"), *meta)

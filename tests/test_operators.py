@@ -378,3 +378,32 @@ def test_slabs_and_pieces_of_any_size_find_the_same(spark, monkeypatch):
         got = [row for s in slabs for part in lexicon._search(s, files) for row in part.to_pylist()]
         assert [r and [(h["grp"], h["phrase"]) for h in r] if r is not None else None for r in got] == want
         assert (len(slabs) > 10) == (slab == 150)
+
+
+def test_many_files_are_listed_and_read_by_tasks(spark, tmp_path):
+    import hashlib
+
+    for name, data in {"0/a": b"one", "0/b c%20ü+#": b"x" * 50, "1/a.txt": b"two", "1/_a": b"hidden", "1/.a": b"hidden", "1/empty": b"", "1/deep/a": b"deep", "k=1/part-0": b"k", "k=1/other": b"o", "_k=2/j=3/part-1": b"kj"}.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(data)
+    for pattern in ("[01]", "0", "0/a", "*/part-*", "?", "{0,1}/a*", "k=1", "_k=2", "*/deep", "*/deep/*"):
+        path = f"file://{tmp_path}/{pattern}"
+        by_spark = sorted(map(tuple, logs.file_manifest(spark, path).collect()))
+        for whole in (0, 10, 1 << 30) if pattern == "0" else (10,):
+            assert sorted(map(tuple, logs.file_manifest(spark, path, whole=whole, listed=0).collect())) == by_spark, pattern
+    assert {r.sha256 for r in logs.file_manifest(spark, f"{tmp_path}/0", listed=1).collect()} == {hashlib.sha256(d).hexdigest() for d in (b"one", b"x" * 50)}
+    many = logs.file_manifest(spark, f"file://{tmp_path}/0", listed=1)
+    # Spark's reader, whose listing the driver holds, is not asked
+    assert "binaryFile" not in many._jdf.queryExecution().executedPlan().toString() and many.count() == 2
+
+
+def test_more_files_than_the_driver_lists(spark, data, tmp_path, monkeypatch):
+    from opinara.plans.registry import file_queries
+
+    asked, reader = [], type(spark.read)
+    plain = reader.format
+    monkeypatch.setattr(reader, "format", lambda self, name: asked.append(name) or plain(self, name))
+    monkeypatch.setattr(logs.file_manifest, "__defaults__", (logs.WHOLE_FILE, 100))
+    rows = file_queries.s05_large(spark, data).collect()
+    n = spark.read.parquet(f"{data}/documents.parquet").count()
+    assert n > 100 and [(r.n_files, r.n_alike) for r in rows] == [(n, n)] and "binaryFile" not in asked
