@@ -28,9 +28,9 @@ PART_CHARS, PART_PHRASES = 8_000_000, 1_000_000
 #: Bytes of a phrase that are hashed: a longer one is found by these and then compared.
 HASHED = 64
 #: Bytes of texts that are searched at once, of a part's piece in memory, and of pieces that a worker may keep.
-SLAB, PIECE, KEPT = 1 << 20, 32 << 20, 64 << 20
+SLAB, PIECE, KEPT = 1 << 19, 16 << 20, 16 << 20
 #: Hits compared at once, and hits told at once.
-COMPARED, TOLD = 1 << 16, 1 << 20
+COMPARED, TOLD = 1 << 16, 1 << 17
 #: Tasks for each core, as texts differ in length.
 TASKS_PER_CORE = 4
 HIT = "struct<grp:string,phrase:string>"
@@ -233,5 +233,6 @@ def lexicon_table_hits(df: DataFrame, lexicon: DataFrame, text: str = "text", pa
     def find(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for slab in _slabs(texts):
             yield from _search(slab, files)
+            pa.default_memory_pool().release_unused()
 
     return dealt.withColumn("hits", find(low) if files else F.when(F.col(text).isNotNull(), F.array().cast(f"array<{HIT}>")))
